@@ -30,7 +30,7 @@ def values(t: Tables):
 
 
 def scored(t: Tables):
-    return V.values_with_totals(values(t), totals(t), ["brief", "item"])
+    return V.values_with_totals(V.human_value(rates(t), ["brief"], min_items=1), totals(t), ["brief", "item"])
 
 
 @query("valid_calls", "P1", """

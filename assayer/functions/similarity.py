@@ -66,9 +66,7 @@ def strict_reply(axes: tuple[str, ...], lo: float, hi: float):
     def constant(_):
         raise _Refused("not JSON")
 
-    decoder = json.JSONDecoder(object_pairs_hook=unique, parse_constant=constant)
-
-    def one(text):
+    def one(text, decoder):
         row = dict.fromkeys(axes)
         if text is None:
             return row | {"reason": "not one JSON object"}
@@ -94,6 +92,7 @@ def strict_reply(axes: tuple[str, ...], lo: float, hi: float):
 
     @F.pandas_udf(f"{fields}, reason STRING")
     def parse(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in text], columns=[*axes, "reason"])
+        decoder = json.JSONDecoder(object_pairs_hook=unique, parse_constant=constant)
+        return pd.DataFrame([one(t, decoder) for t in text], columns=[*axes, "reason"])
 
     return parse

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions.verdicts import CAST_MIN, DRIFT_MAX, FACE_COVERAGE_MIN, STRANGER_FRAMES, deviation_class
 from assayer.operators.ordered import scan_in_order
-from assayer.operators.quantiles import percentiles
+from assayer.operators.quantiles import medians, percentiles
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -42,9 +42,7 @@ def consensus(df: DataFrame, group: list[str], name: str, x: str, y: str) -> Dat
     Groups with fewer than two measurable rows have no consensus and no rows here.
     """
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double")))
-    mx = percentiles(ok, group, x, {"med_x": 0.5}).where("n >= 2").select(*group, "med_x")
-    my = percentiles(ok, group, y, {"med_y": 0.5}).select(*group, "med_y")
-    d = ok.join(mx, group).join(my, group)
+    d = ok.join(medians(ok, group, {"med_x": x, "med_y": y}).where("n >= 2").drop("n"), group)
     dev = F.hypot((F.col(x) - F.col("med_x")) / F.col("med_x"), (F.col(y) - F.col("med_y")) / F.col("med_y"))
     return d.withColumn("deviation", dev).withColumn("class", deviation_class(F.col("deviation"))).drop("med_x", "med_y")
 
@@ -84,9 +82,8 @@ def coverage_p95(df: DataFrame, by: list[str], a: str, b: str, height: str, seen
     """
     cov = df.groupBy(*by).agg(F.avg(seen.cast("double")).alias("coverage"), F.sum(seen.cast("bigint")).alias("seen"))
     rows = df.where(seen)
-    ma, mb, mh = (percentiles(rows, by, col, {f"__{col}": 0.5}).select(*by, f"__{col}") for col in (a, b, height))
-    d = rows.join(ma, by).join(mb, by).join(mh, by)
-    over = F.abs((F.col(a) - F.col(f"__{a}")) - (F.col(b) - F.col(f"__{b}"))) / F.col(f"__{height}")
+    d = rows.join(medians(rows, by, {"__a": a, "__b": b, "__h": height}).drop("n"), by)
+    over = F.abs((F.col(a) - F.col("__a")) - (F.col(b) - F.col("__b"))) / F.col("__h")
     p = percentiles(d.withColumn("__o", over), by, "__o", {"p95": 0.95}).select(*by, "p95")
     ok = (F.col("coverage") >= FACE_COVERAGE_MIN) & (F.col("seen") >= min_rows)
     return cov.join(p, by, "left").select(*by, "coverage", "seen", F.when(ok, F.col("p95")).alias("p95"))

@@ -3,12 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SMALL_PER_CORE = 16 * 1024 * 1024
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy work on a small input all cores.
 
-    A small file is often a single row group and so a single task. Only an input with fewer partitions than the
-    cluster has cores is redistributed; a large scan keeps its own splits and is not shuffled.
+    A small file is often a single row group and so a single task. Only an input whose estimated size is under 16 MB per
+    core is redistributed; a large scan keeps its own splits and is not shuffled. Nothing is run to find out.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SMALL_PER_CORE else df

@@ -27,7 +27,11 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: Column,
     width = F.col("__hi") - F.col("__lo")
     bar = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("__lo")) / width * bars), F.lit(bars - 1))
                  ).otherwise(F.lit(0)).cast("bigint")
-    placed = counts.join(bounds, keys).withColumn("__bar", bar)
+    if keys == ["__all"]:
+        one = bounds.agg(F.max(F.struct("__lo", "__hi", "n"))).scalar()
+        placed = counts.withColumn("__b", one).select("*", "__b.*").drop("__b").withColumn("__bar", bar)
+    else:
+        placed = counts.join(bounds, keys).withColumn("__bar", bar)
     hist = placed.groupBy(*keys, "__bar", "n").agg(F.sum("__c").alias("__h"))
     so_far = Window.partitionBy(*keys).orderBy("__bar").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("__before", F.coalesce(F.sum("__h").over(so_far), F.lit(0)))
@@ -67,6 +71,13 @@ def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, flo
     return wide.select(*out)
 
 
+def medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """One row per group with ``n`` and the median of several columns (name -> column), from one pass in long form."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("__of"), F.col(col).cast("double").alias("__x")) for name, col in columns.items()])
+    long = percentiles(df.select(*keys, F.inline(pairs)), [*keys, "__of"], "__x", {"__m": 0.5})
+    return long.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("__of") == name, F.col("__m"))).alias(name) for name in columns])
+
+
 def lower_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """The middle value, the smaller of the two middle ones for an even count."""
     rank = F.array(F.floor((F.col("n") - 1) / 2).cast("bigint"))

@@ -80,10 +80,13 @@ def pair_rates(sides: DataFrame, by: list[str], weight: Column | None = None) ->
 def human_value(rates: DataFrame, by: list[str], min_items: int = MIN_ITEMS) -> DataFrame:
     """Mean win share of an item over the opponents it met; groups with fewer than ``min_items`` have none.
 
-    Rounded to 12 places, so a tie does not depend on the order of a floating-point sum.
+    Rounded to 12 places, so a tie does not depend on the order of a floating-point sum. ``policy_lines`` asks for as many
+    scored items itself, so plans that end there pass ``min_items=1`` and save the join.
     """
     per = rates.where("n > 0").groupBy(*by, F.col("x").alias("item")).agg(
         F.round(F.avg(F.col("half_points") / (2 * F.col("n"))), 12).alias("value"), F.count(F.lit(1)).alias("opponents"))
+    if min_items <= 1:
+        return per
     sizes = per.groupBy(*by).agg(F.count(F.lit(1)).alias("__items")).where(F.col("__items") >= min_items)
     return per.join(sizes.drop("__items"), by)
 

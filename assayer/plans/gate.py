@@ -12,7 +12,7 @@ def scored_items(votes: DataFrame, calls: DataFrame, judge: str, group: str = "b
     ok, _ = V.valid_calls(calls.where(F.col("judge") == judge))
     totals = V.item_total(ok, [group, "item"])
     rates = V.pair_rates(V.both_directions(votes, [group]), [group])
-    return V.values_with_totals(V.human_value(rates, [group]), totals, [group, "item"])
+    return V.values_with_totals(V.human_value(rates, [group], min_items=1), totals, [group, "item"])
 
 
 def gate_evaluation(votes: DataFrame, calls: DataFrame, judge: str, group: str = "brief") -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "assayer", shuffle_partitions: int | None = None,
@@ -13,6 +13,8 @@ def build_session(master: str | None = None, app: str = "assayer", shuffle_parti
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         # Resampling and sweeps multiply small shuffled inputs; a low floor keeps them on all cores.
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false"))
@@ -39,3 +41,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
     unique = spark.sql("SELECT uuid() AS u").first()["u"]
     return f"{root.rstrip('/')}/{purpose}-{unique}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a reduced result to the shared folder and read it back.
+
+    Cuts the lineage where an expensive result is used several times. The files outlive the executors that wrote them.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

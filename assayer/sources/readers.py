@@ -48,7 +48,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     Each file is read whole, so this is for ledgers and notes of ordinary file size; a large JSON-lines corpus goes
     through :func:`read_ledger`.
     """
-    whole = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     lines = whole.select("file", F.posexplode(F.split("value", "\n", -1)).alias("pos", "text"))
     return lines.where(F.trim("text") != "").select("file", (F.col("pos") + 1).cast("bigint").alias("line_no"), "text")
 
@@ -104,7 +104,7 @@ def parse_reading(probe: Column, text: Column) -> Column:
 
 def read_readings_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """One reading per saved output file named ``<item>.<probe>.txt``; files without a match come second."""
-    t = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("file"), "value")
+    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
     t = t.select("file", F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 1).alias("item"),
                  F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 2).alias("probe"), F.col("value").alias("text"))
     parsed = t.withColumn("reading", parse_reading(F.col("probe"), F.col("text"))).drop("text")

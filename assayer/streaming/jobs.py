@@ -136,7 +136,7 @@ def budget_guard(out: str, budget_cents: int, chunk: Column | None = None) -> Ca
             state = spark.createDataFrame([], f"run {rtype}, spent0 BIGINT, broken BOOLEAN")
         s = running_spend(df.select("run", "seq", "cents"), budget_cents, chunk).drop("breach", "state").join(state, "run", "left")
         total = F.col("spent") + F.coalesce("spent0", F.lit(0))
-        s = s.withColumn("spent", total).withColumn("bad", F.col("cents").isNull() | (total > budget_cents))
+        s = s.withColumn("spent", total).withColumn("bad", F.col("cents").isNull() | (F.col("spent") > budget_cents))
         first = s.where("bad").groupBy("run").agg(F.min("seq").alias("breach"))
         was = F.coalesce("broken", F.lit(False))
         verdict = (F.when(was, "not sent").when(F.col("breach").isNull() | (F.col("seq") < F.col("breach")), "sent")
