@@ -124,10 +124,10 @@ def read_calls(spark: SparkSession, path: str, judge: str | None = None, fmt: st
     return df.where(F.col("judge") == judge) if judge else df
 
 
-def read_pairs(spark: SparkSession, path: str, shoot: str | None = None) -> DataFrame:
-    """Pairs with the clip of each side taken from its url."""
+def read_pairs(spark: SparkSession, path: str, shoot: str | None = None, lines: bool = False) -> DataFrame:
+    """Pairs with the clip of each side taken from its url; one JSON array, or JSON ``lines`` for large sets."""
     from assayer.functions.scalars import clip_of_url
-    df = spark.read.schema(PAIR_SCHEMA).option("multiLine", "true").json(path)
+    df = spark.read.schema(PAIR_SCHEMA).option("multiLine", str(not lines).lower()).json(path)
     df = df.where(F.col("shoot") == shoot) if shoot else df
     return df.select("pair_id", "brief", "shoot", clip_of_url(F.col("a.url")).alias("clip_a"), F.col("a.engine").alias("engine_a"),
                      clip_of_url(F.col("b.url")).alias("clip_b"), F.col("b.engine").alias("engine_b"))
