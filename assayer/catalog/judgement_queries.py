@@ -8,6 +8,7 @@ from assayer.functions import scalars as S
 from assayer.functions import verdicts as D
 from assayer.operators import labels as L
 from assayer.operators import validate as C
+from assayer.sources.inline import inline_table
 
 
 def n(name):
@@ -101,7 +102,7 @@ GATE_ROWS = ", ".join(f"('{a}','{b}','{c}',{d}::DOUBLE,{e}::DOUBLE,{g})" for a,
 
 
 def gates(t: Tables):
-    return t.spark.createDataFrame(GATES, "constant STRING, axis STRING, polarity STRING, value DOUBLE, scale DOUBLE, gating BOOLEAN")
+    return inline_table(t.spark, GATES, "constant STRING, axis STRING, polarity STRING, value DOUBLE, scale DOUBLE, gating BOOLEAN")
 
 
 BRACKET = f"""
@@ -242,7 +243,7 @@ def read_waivers(t):
 def estimate(t):
     d = t.part.selectExpr("p_type AS spot", "CASE p_size % 4 WHEN 0 THEN 'google/gemini-omni-flash' WHEN 1 THEN 'alibaba/wan-3.0/text-to-video' "
                           "WHEN 2 THEN 'bytedance/seedance-2.0/text-to-video' ELSE 'nobody' END AS engine")
-    return C.estimate(d, t.spark.createDataFrame(list(C.PRICES.items()), "engine STRING, cents BIGINT"), ["spot"])
+    return C.estimate(d, inline_table(t.spark, list(C.PRICES.items()), "engine STRING, cents BIGINT"), ["spot"])
 
 
 @query("money_cents", "M3", """

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from assayer.catalog.base import Tables, query
 from assayer.operators import races as R
+from assayer.sources.inline import inline_table
 
 PANEL = [("gesture_up", "hand", "up", None, True), ("gesture_up", "bg", "down", 5.5, False), ("gesture_up", "eye", "down", None, False),
          ("gesture_up", "scene", "down", None, False), ("gesture_up", "level", "down", None, False),
@@ -37,7 +38,7 @@ SCORE_SQL = f"""{PANEL_SQL},
 
 
 def panel(t: Tables):
-    rows = t.spark.createDataFrame(PANEL, "panel_type STRING, probe STRING, direction STRING, bar DOUBLE, is_gate BOOLEAN")
+    rows = inline_table(t.spark, PANEL, "panel_type STRING, probe STRING, direction STRING, bar DOUBLE, is_gate BOOLEAN")
     briefs = t.part.select(F.col("p_brand").alias("brief")).distinct().withColumn("no", F.substring("brief", 7, 9).cast("int"))
     overrides = briefs.where("no % 3 = 0").selectExpr("brief", "'bg' AS probe", "'up' AS direction", "CAST(NULL AS DOUBLE) AS bar", "true AS clear_bar")
     return R.resolve_panels(briefs.selectExpr("brief", "IF(no % 2 = 0, 'gesture_up', 'clutter_down') AS panel_type"), rows, overrides)

@@ -7,6 +7,7 @@ from assayer.catalog.base import Tables, query
 from assayer.operators import votes as V
 from assayer.operators.validate import bounded_rank
 from assayer.plans.gate import gate_evaluation
+from assayer.session import settle
 
 
 def scores(t: Tables):
@@ -279,7 +280,7 @@ def constant_baseline(t):
   SELECT picker, count(*) AS groups, round(avg(value), 6) AS mean_value, count(*) FILTER (item = best) AS matched
   FROM p JOIN v USING (brief, item) JOIN b USING (brief) GROUP BY picker""")
 def picks_vs_best(t):
-    s = scored(t)
+    s = settle(scored(t), "picks")
     pickers = {"judge": lambda d: V.pick_top(d, ["brief"]).select("brief", F.col("picked").alias("item")),
                "first name": lambda d: d.groupBy("brief").agg(F.min("item").alias("item")),
                "best": lambda d: V.pick_top(d.withColumn("total", F.col("value")), ["brief"]).select("brief", F.col("picked").alias("item"))}

@@ -34,8 +34,10 @@ def _spelled(text: Column) -> Column:
     t = F.regexp_replace(t, r"\b(?:0(\d)|([1-9]?\d)):00\b", "$1$2")
     t = F.regexp_replace(t, r"\b(?:0(\d)|([1-9]?\d)):(?:0(\d)|([1-9]\d))\b", "$1$2 $3$4")
     t = F.regexp_replace(t, r"(\d),(\d{3})", "$1$2")
-    t = F.regexp_replace(t, "(?<=[a-z0-9'])[^a-z0-9' ]+(?=[a-z0-9'])", " " + MARK)
-    return F.trim(F.regexp_replace(t, f"[^a-z0-9' {MARK}]+", " "))
+    # A run of punctuation becomes one mark; beside a space or at an end it is a space, between letters it glues.
+    t = F.regexp_replace(t, "[^a-z0-9' ]+", "\x02")
+    t = F.replace(F.replace(t, F.lit(" \x02"), F.lit(" ")), F.lit("\x02 "), F.lit(" "))
+    return F.replace(F.trim(t, F.lit("\x02 ")), F.lit("\x02"), F.lit(" " + MARK))
 
 
 def _words(s: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from assayer.functions.verdicts import MAX_EYE_REJECTS, MAX_SCENE_REROLLS, MAX_WITHDRAWALS
 from assayer.operators.ordered import chunk_of, scan_in_order
+from assayer.sources.inline import inline_table
 
 # The routes of the process, its stop edges and the one that crosses a run boundary.
 ROUTES = {
@@ -24,11 +25,11 @@ END_KINDS = ("close", "waiting", "crashed")
 
 def edges(spark, cross_run: bool = False) -> DataFrame:
     rows = [(a, b) for a, targets in ROUTES.items() for b in targets] + (CROSS_RUN_EDGES if cross_run else [])
-    return spark.createDataFrame(rows, "src STRING, dst STRING")
+    return inline_table(spark, rows, "src STRING, dst STRING")
 
 
 def stop_edges(spark) -> DataFrame:
-    return spark.createDataFrame([(a, "ledger") for a, t in ROUTES.items() if "ledger" in t and a != "review"], "src STRING, dst STRING")
+    return inline_table(spark, [(a, "ledger") for a, t in ROUTES.items() if "ledger" in t and a != "review"], "src STRING, dst STRING")
 
 
 def row_moves(ledger: DataFrame, chunk: Column | None = None, keep: list[str] | None = None) -> DataFrame:

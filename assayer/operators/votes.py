@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayer.session import settle
+
 AXES = ("craft", "message", "warmth")
 MIN_ITEMS = 3
 MAX_ENGINES = 1_000
@@ -142,8 +144,10 @@ def round_robin(pairs: DataFrame, by: list[str]) -> DataFrame:
 def kill_hits(scored: DataFrame, meetings: DataFrame, by: list[str]) -> DataFrame:
     """Whether the kill fell on the least-liked item, a coin's chance of that and the kill's rank from the bottom.
 
-    NULL where the scored items did not all meet. ``meetings`` holds (by, x, y).
+    NULL where the scored items did not all meet. ``meetings`` holds (by, x, y). The item table is used five times and
+    is settled first, so the calls and votes behind it are read once.
     """
+    scored = settle(scored.select(*by, "item", "value", "total"), "scored")
     lines = policy_lines(scored, by)
     member = scored.select(*by, "item")
     pairs = (meetings.select(*by, "x", "y").distinct()
