@@ -2,13 +2,11 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts every row of a key in a single task, which fails when one
 key holds a large share of the data. Here each key is cut into *chunks* along its order (a day of a ledger, 8,192
-positions of a series). The window runs inside (key, chunk); what earlier chunks contribute arrives as one
+positions of a series). The window runs inside (key, chunk); what other chunks contribute arrives as one
 summary row per chunk. Only those summaries, thousands of times fewer than the rows, are ever ordered per key.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,52 +42,48 @@ def scan_in_order(df: DataFrame, keys: list[str], order: list[str], chunk: Colum
     """
     sums, maxes, fill, fill_before = sums or {}, maxes or {}, fill or {}, fill_before or {}
     lag, lead = lag or {}, lead or {}
-    rows = df.withColumn("__chunk", chunk)
     fills = {**fill, **fill_before}
+    values = {**{f"__s_{k}": c for k, c in sums.items()}, **{f"__m_{k}": c for k, c in maxes.items()}, **{f"__f_{k}": c for k, c in fills.items()},
+              **{f"__g_{k}": c for k, c in lag.items()}, **{f"__h_{k}": c for k, c in lead.items()}}
+    rows = df.select("*", chunk.alias("__chunk"), F.lit(1).alias("__flag"), F.lit(1).cast("bigint").alias("__n"), *[c.alias(k) for k, c in values.items()])
+
     at = [F.col(o) for o in order]
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.sum(c).alias(f"__s_{k}") for k, c in sums.items()]
-    aggs += [F.max(c).alias(f"__m_{k}") for k, c in maxes.items()]
-    aggs += [F.max(F.when(c.isNotNull(), F.struct(*at, c.alias("__v")))).alias(f"__f_{k}") for k, c in fills.items()]
+    aggs = [F.sum("__n").alias("__n")]
+    aggs += [F.sum(f"__s_{k}").alias(f"__s_{k}") for k in sums] + [F.max(f"__m_{k}").alias(f"__m_{k}") for k in maxes]
+    aggs += [F.max(F.when(F.col(f"__f_{k}").isNotNull(), F.struct(*at, F.col(f"__f_{k}").alias("__v")))).alias(f"__f_{k}") for k in fills]
     if lag:
-        aggs.append(F.max(F.struct(*at, *[c.alias(f"__v_{k}") for k, c in lag.items()])).alias("__lag"))
+        aggs.append(F.max(F.struct(*at, *[f"__g_{k}" for k in lag])).alias("__last"))
     if lead:
-        aggs.append(F.min(F.struct(*at, *[c.alias(f"__v_{k}") for k, c in lead.items()])).alias("__lead"))
+        aggs.append(F.min(F.struct(*at, *[f"__h_{k}" for k in lead])).alias("__first"))
     summary = rows.groupBy(*keys, "__chunk").agg(*aggs)
 
     by_key = Window.partitionBy(*keys).orderBy("__chunk")
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum("__n").over(earlier).alias("__p_n")]
-    carried += [F.sum(f"__s_{k}").over(earlier).alias(f"__ps_{k}") for k in sums]
-    carried += [F.max(f"__m_{k}").over(earlier).alias(f"__pm_{k}") for k in maxes]
-    carried += [F.max(f"__f_{k}").over(earlier)["__v"].alias(f"__pf_{k}") for k in fills]
-    carried += [F.lag("__lag").over(by_key)[f"__v_{k}"].alias(f"__pl_{k}") for k in lag]
-    carried += [F.lead("__lead").over(by_key)[f"__v_{k}"].alias(f"__pn_{k}") for k in lead]
-    join_cols = [*keys, "__chunk"]
-    carry = summary.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(join_cols)], *carried)
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(join_cols)])
-    both = rows.join(carry, match, "left")
-
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    carried = [F.sum("__n").over(earlier).alias("__n")]
+    carried += [F.sum(f"__s_{k}").over(earlier).alias(f"__s_{k}") for k in sums]
+    carried += [F.max(f"__m_{k}").over(earlier).alias(f"__m_{k}") for k in maxes]
+    carried += [F.max(f"__f_{k}").over(earlier)["__v"].alias(f"__f_{k}") for k in fills]
+    carried += [F.lag("__last").over(by_key)[f"__g_{k}"].alias(f"__g_{k}") for k in lag]
+    carried += [F.lead("__first").over(by_key)[f"__h_{k}"].alias(f"__h_{k}") for k in lead]
+    # What other chunks contribute joins a chunk as rows of its own, one before its first row and, for ``lead``, one
+    # after its last. The window then needs no join: one shuffle and one sort of the rows.
+    carry = summary.select(*keys, "__chunk", *carried)
+    carry = carry.withColumn("__flag", F.explode(F.array(F.lit(0), F.lit(2)))) if lead else carry.withColumn("__flag", F.lit(0))
+    both = rows.unionByName(carry, allowMissingColumns=True)
+
+    inside = Window.partitionBy(*keys, "__chunk").orderBy("__flag", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     new: list[Column] = []
     if row_number:
-        new.append((F.row_number().over(inside) + F.coalesce(F.col("__p_n"), F.lit(0))).cast("bigint").alias(row_number))
-    for k, c in sums.items():
-        new.append((F.coalesce(F.sum(c).over(upto), F.lit(0)) + F.coalesce(F.col(f"__ps_{k}"), F.lit(0))).alias(k))
-    for k, c in maxes.items():
-        new.append(F.greatest(F.max(c).over(upto), F.col(f"__pm_{k}")).alias(k))
-    for k, c in fill.items():
-        new.append(F.coalesce(F.last(c, True).over(upto), F.col(f"__pf_{k}")).alias(k))
-    for k, c in fill_before.items():
-        new.append(F.coalesce(F.last(c, True).over(before), F.col(f"__pf_{k}")).alias(k))
-    first_here, last_here = F.row_number().over(inside) == 1, F.lead(F.lit(1)).over(inside).isNull()
-    for k, c in lag.items():
-        new.append(F.when(first_here, F.col(f"__pl_{k}")).otherwise(F.lag(c).over(inside)).alias(k))
-    for k, c in lead.items():
-        new.append(F.when(last_here, F.col(f"__pn_{k}")).otherwise(F.lead(c).over(inside)).alias(k))
-    return both.select(*[F.col(c) for c in df.columns], *new)
+        new.append(F.sum("__n").over(upto).cast("bigint").alias(row_number))
+    new += [F.coalesce(F.sum(f"__s_{k}").over(upto), F.lit(0)).alias(k) for k in sums]
+    new += [F.max(f"__m_{k}").over(upto).alias(k) for k in maxes]
+    new += [F.last(f"__f_{k}", True).over(upto).alias(k) for k in fill]
+    new += [F.last(f"__f_{k}", True).over(before).alias(k) for k in fill_before]
+    new += [F.lag(f"__g_{k}").over(inside).alias(k) for k in lag]
+    new += [F.lead(f"__h_{k}").over(inside).alias(k) for k in lead]
+    return both.select(*[F.col(c) for c in df.columns], "__flag", *new).where("__flag = 1").drop("__flag")
 
 
 def with_halo(df: DataFrame, position: str, before: int, after: int, width: int = CHUNK_ROWS) -> DataFrame:

@@ -4,9 +4,13 @@ The rule is sequential, yet a chunk of a series only needs to know one thing fro
 is the first it may keep. Each chunk publishes, for the few events that can be first, where its walk ends. A short
 walk over those border rows settles every chunk, and all chunks then emit their kept events in parallel. Nobody
 sees a whole series.
+
+Spark partitions by (key, chunk) and sorts; the tasks stream Arrow batches and hold one chunk at a time.
 """
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,53 +20,92 @@ from pyspark.sql import functions as F
 def _successors(t: np.ndarray, gap: float) -> np.ndarray:
     """Index of the first event at least ``gap`` later, len(t) when there is none."""
     nxt = np.searchsorted(t, t + gap, side="left")
-    i = np.arange(len(t))
-    return np.maximum(nxt, i + 1)
+    return np.maximum(nxt, np.arange(len(t)) + 1)
+
+
+def _whole_chunks(batches: Iterator[pd.DataFrame], work: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Call ``work(rows, bounds)`` on runs of complete (k, c) chunks of a sorted partition; a chunk cut by a batch
+    border waits for its rest."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if not len(pdf):
+            rest = pdf
+            continue
+        k, c = pdf["k"].to_numpy(), pdf["c"].to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]) | (c[1:] != c[:-1])) + 1])
+        rest = pdf.iloc[starts[-1]:]
+        if len(starts) > 1:
+            yield work(pdf.iloc[:starts[-1]], starts)
+    if rest is not None and len(rest):
+        yield work(rest.reset_index(drop=True), np.array([0, len(rest)]))
 
 
 def spaced(df: DataFrame, key: str, t: str, gap: float, chunk: Column) -> DataFrame:
     """Rows (key, t) that survive greedy spacing. ``t`` is numeric; equal times of a key are one event.
 
-    ``chunk`` is non-decreasing in ``t``.
+    ``chunk`` is non-decreasing in ``t`` and should span many gaps.
     """
     ktype, ttype = df.schema[key].dataType.simpleString(), df.schema[t].dataType.simpleString()
-    events = df.select(F.col(key).alias("k"), F.col(t).alias("t"), chunk.alias("c")).where(F.col("t").isNotNull())
-    events = events.distinct()
-
-    def borders(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(pdf["t"].to_numpy())
-        nxt = _successors(ts, gap)
-        end = np.arange(len(ts))
-        for i in range(len(ts) - 1, -1, -1):
-            if nxt[i] < len(ts):
-                end[i] = end[nxt[i]]
-        # An event of the previous chunks blocks less than `gap` past this chunk's first event.
-        last_entry = int(np.searchsorted(ts, ts[0] + gap, side="left"))
-        n = min(last_entry + 1, len(ts))
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]] * n, "c": [pdf["c"].iloc[0]] * n, "entry": ts[:n], "leaves": ts[end[:n]]})
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, chunks, firsts = [], [], []
-        last = None
-        for c, g in pdf.sort_values(["c", "entry"]).groupby("c", sort=True):
-            ok = g if last is None else g[g["entry"] >= last + gap]
-            if len(ok):
-                row = ok.iloc[0]
-                keys.append(row["k"]), chunks.append(c), firsts.append(row["entry"])
-                last = row["leaves"]
-        return pd.DataFrame({"k": keys, "c": chunks, "first": firsts})
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        ts = np.sort(pdf["t"].to_numpy())
-        nxt = _successors(ts, gap)
-        i, kept = int(np.searchsorted(ts, pdf["first"].iloc[0], side="left")), []
-        while i < len(ts):
-            kept.append(ts[i])
-            i = nxt[i]
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]] * len(kept), "t": kept})
-
-    entry = events.groupBy("k", "c").applyInPandas(borders, f"k {ktype}, c bigint, entry {ttype}, leaves {ttype}")
-    first = entry.groupBy("k").applyInPandas(walk, f"k {ktype}, c bigint, first {ttype}")
-    kept = (events.join(first, ["k", "c"]).groupBy("k", "c")
-            .applyInPandas(keep, f"k {ktype}, t {ttype}"))
+    events = df.select(F.col(key).alias("k"), F.col(t).alias("t"), chunk.alias("c")).where(F.col("t").isNotNull() & F.col("k").isNotNull())
+
+    def border_rows(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        k, c, times = pdf["k"].to_numpy(), pdf["c"].to_numpy(), pdf["t"].to_numpy()
+        rows, entries, leaves = [], [], []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            ts = np.unique(times[a:b])
+            nxt, end = _successors(ts, gap), np.arange(len(ts))
+            for i in range(len(ts) - 1, -1, -1):
+                if nxt[i] < len(ts):
+                    end[i] = end[nxt[i]]
+            # An event before this chunk blocks less than `gap` past the chunk's first event.
+            n = min(int(np.searchsorted(ts, ts[0] + gap, side="left")) + 1, len(ts))
+            rows.append(np.full(n, a))
+            entries.append(ts[:n])
+            leaves.append(ts[end[:n]])
+        at = np.concatenate(rows)
+        return pd.DataFrame({"k": k[at], "c": c[at], "entry": np.concatenate(entries), "leaves": np.concatenate(leaves)})
+
+    def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _whole_chunks(batches, border_rows)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, last, done = None, None, None  # key, last event kept, chunk settled
+        for pdf in batches:
+            keep = []
+            for i, (k, c, entry, leave) in enumerate(zip(pdf["k"], pdf["c"], pdf["entry"], pdf["leaves"], strict=True)):
+                if k != now:
+                    now, last, done = k, None, None
+                if c != done and (last is None or entry >= last + gap):
+                    keep.append(i)
+                    last, done = leave, c
+            yield pdf.iloc[keep][["k", "c", "entry"]].rename(columns={"entry": "t"})
+
+    def kept_rows(pdf: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        k, times, first = pdf["k"].to_numpy(), pdf["t"].to_numpy(), pdf["first"].to_numpy(dtype=bool)
+        rows, out = [], []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            marks = np.flatnonzero(first[a:b])
+            if not len(marks):
+                continue
+            ts = np.unique(times[a:b])
+            nxt = _successors(ts, gap)
+            i, walk_ = int(np.searchsorted(ts, times[a + marks[0]])), []
+            while i < len(ts):
+                walk_.append(i)
+                i = int(nxt[i])
+            rows.append(np.full(len(walk_), a))
+            out.append(ts[walk_])
+        if not rows:
+            return pd.DataFrame({"k": k[:0], "t": times[:0]})
+        return pd.DataFrame({"k": k[np.concatenate(rows)], "t": np.concatenate(out)})
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _whole_chunks(batches, kept_rows)
+
+    entry = events.repartition("k", "c").sortWithinPartitions("k", "c", "t").mapInPandas(borders, f"k {ktype}, c bigint, entry {ttype}, leaves {ttype}")
+    first = entry.repartition("k").sortWithinPartitions("k", "c", "entry").mapInPandas(walk, f"k {ktype}, c bigint, t {ttype}")
+    # The settled first event of a chunk travels as one more row of the chunk, so no join is needed.
+    marked = events.withColumn("first", F.lit(False)).unionByName(first.withColumn("first", F.lit(True)))
+    kept = marked.repartition("k", "c").sortWithinPartitions("k", "c", "t").mapInPandas(keep, f"k {ktype}, t {ttype}")
     return kept.select(F.col("k").alias(key), F.col("t").alias(t))

@@ -44,10 +44,15 @@ def test_dense_index_numbers_every_value_once(spark):
     assert sorted(r["idx"] for r in ordered.dense_index(df, "u").collect()) == list(range(137))
 
 
-@pytest.mark.parametrize("gap,width", [(3, 64), (25, 128), (90, 512), (1, 32)])
-def test_greedy_spacing_equals_the_sequential_rule(spark, gap, width):
+@pytest.mark.parametrize("gap,width,batch", [(3, 64, 7), (25, 128, 10_000), (90, 512, 11), (1, 32, 1)])
+def test_greedy_spacing_equals_the_sequential_rule(spark, gap, width, batch):
     df, pdf = table(spark, seed=gap, n=600)
-    got = sorted((r["k"], r["t"]) for r in spacing.spaced(df, "k", "t", gap, ordered.chunk_of("t", width)).collect())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = sorted((r["k"], r["t"]) for r in spacing.spaced(df, "k", "t", gap, ordered.chunk_of("t", width)).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     want = []
     for k, g in pdf.groupby("k"):
         last = None
