@@ -235,7 +235,7 @@ def scan_filenames(t):
 @query("redact", "T15", "SELECT doc_id, md5(regexp_replace(regexp_replace(text, '" + q(MAIL[0].regex) + "', '<email-address>', 'g'), '" + q(MAIL[1].regex)
        + "', '<dotted-quad-address>', 'g')) AS digest FROM documents")
 def redact(t):
-    return t.documents.select("doc_id", F.md5(K.redact(c("text"), MAIL)).alias("digest"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", F.md5(K.redact(c("text"), MAIL)).alias("digest"))
 
 
 @query("dismiss", "T16", f"""
