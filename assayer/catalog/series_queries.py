@@ -81,19 +81,25 @@ def worst_window(t):
     return r6(S.worst_window(t.series, "series", "pos", "v", 24), "worst")
 
 
-ONSET = """cd AS (SELECT series, pos FROM (SELECT series, pos, v, avg(v) OVER w AS q, count(v) OVER w AS k FROM fx_series
-    WINDOW w AS (PARTITION BY series ORDER BY pos ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)) x WHERE v > 3 AND k = 4 AND q < 2.5),
+ONSET = """sc AS (SELECT series, pos, round(v / avg(v) OVER (PARTITION BY series), 6) AS v FROM fx_series), cd AS (SELECT series, pos FROM (SELECT series, pos, v, avg(v) OVER w AS q, count(v) OVER w AS k FROM sc
+    WINDOW w AS (PARTITION BY series ORDER BY pos ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)) x WHERE v > 1.21 AND k = 4 AND q < 1.0300005),
   on_ AS (SELECT series, min(pos) AS pos FROM cd GROUP BY series UNION ALL
     SELECT o.series, (SELECT min(cd.pos) FROM cd WHERE cd.series = o.series AND cd.pos > o.pos + 5) FROM on_ o WHERE o.pos IS NOT NULL)"""
 
 
+def levelled(t: Tables):
+    """Each series in units of its own mean, so one threshold fits every scale."""
+    mean = t.series.groupBy("series").agg(F.avg("v").alias("m"))
+    return t.series.join(mean, "series").select("series", "pos", F.round(c("v") / c("m"), 6).alias("v"))
+
+
 @query("onsets", "W10", f"WITH RECURSIVE {ONSET} SELECT series, pos FROM on_ WHERE pos IS NOT NULL")
 def onsets(t):
-    return S.onsets(t.series, "series", "pos", "v", 3, 2.5, 5)
+    return S.onsets(levelled(t), "series", "pos", "v", 1.21, 1.0300005, 5)
 
 
 def onset_events(t: Tables):
-    return S.onset_candidates(t.series, "series", "pos", "v", 3, 2.5)
+    return S.onset_candidates(levelled(t), "series", "pos", "v", 1.21, 1.0300005)
 
 
 RESPONSE = f"""{ONSET.split('on_ AS')[0].rstrip().rstrip(',')},
@@ -368,7 +374,7 @@ def assembly_drift(t):
   WITH r AS (SELECT l_suppkey AS g, l_discount AS a, l_tax AS b, l_quantity AS h, l_quantity > l_suppkey % 30 AS seen FROM lineitem),
   m AS (SELECT g, avg(seen::INT) AS coverage, count(*) FILTER (seen) AS seen, quantile_cont(a, 0.5) FILTER (seen) AS ma, quantile_cont(b, 0.5) FILTER (seen) AS mb, quantile_cont(h, 0.5) FILTER (seen) AS mh FROM r GROUP BY g),
   o AS (SELECT r.g, quantile_cont(abs((a - ma) - (b - mb)) / mh, 0.95) AS p FROM r JOIN m USING (g) WHERE r.seen GROUP BY r.g)
-  SELECT m.g, round(coverage, 6) AS coverage, m.seen, CASE WHEN coverage >= 0.7 AND m.seen >= 20 THEN round(p, 6) END AS p95 FROM m LEFT JOIN o USING (g)""")
+  SELECT m.g, round(coverage, 6) AS coverage, m.seen, CASE WHEN coverage >= 0.7 AND m.seen >= 20 THEN round(p, 9) END AS p95 FROM m LEFT JOIN o USING (g)""")
 def coverage_p95(t):
     r = t.lineitem.selectExpr("l_suppkey AS g", "l_discount AS a", "l_tax AS b", "l_quantity AS h", "l_quantity > l_suppkey % 30 AS seen")
-    return r6(M.coverage_p95(r, ["g"], "a", "b", "h", c("seen")), "coverage", "p95")
+    return r6(M.coverage_p95(r, ["g"], "a", "b", "h", c("seen")), "coverage").withColumn("p95", F.round("p95", 9))

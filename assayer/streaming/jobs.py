@@ -113,9 +113,11 @@ def late_rows(out: str, ts: str, delay_seconds: int) -> Callable[[DataFrame, int
             newest = marks.agg(F.max("newest")).first()[0]
         mark = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay_seconds} SECONDS")
         late = F.coalesce(F.col(ts) < mark, F.lit(False)) if newest is not None else F.lit(False)
+        df = df.persist()  # written three times
         df.where(late).write.mode("overwrite").parquet(batch_path(f"{out}/late", batch_id))
         df.where(~late).write.mode("overwrite").parquet(batch_path(f"{out}/live", batch_id))
         df.agg(F.max(ts).cast("timestamp").alias("newest")).write.mode("overwrite").parquet(batch_path(f"{out}/marks", batch_id))
+        df.unpersist()
 
     return write
 
