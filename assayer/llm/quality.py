@@ -77,7 +77,7 @@ def judge_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         id_col, "_text", F.size("_words").cast("long").alias("n_words"), chars(F.col("_text")).cast("long").alias("word_chars"),
         signs_in(F.col("_text"), SYMBOLS).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        let(F.col("_words"), repeated_words).cast("long").alias("n_repeat_words"),
+        let(F.col("_words"), lambda w: repeated_words(w)).cast("long").alias("n_repeat_words"),
         F.concat_ws("\n", clean_lines(F.col("_text"))).alias("cleaned"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     kept = ~failed & (100 * chars(F.col("cleaned")) >= MIN_KEPT_PCT * F.col("word_chars"))
