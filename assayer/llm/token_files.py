@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,32 +20,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 from tokenizers import Tokenizer
 
-from assayer.llm.bpe import PIECES, pieces
-from assayer.llm.scan import Recent, scan, slices, texts
+from assayer.llm.bpe import pieces
+from assayer.llm.scan import scan, slices, texts
 from assayer.session import shared_dir
 
 #: Selectors 1 to 14: ids a word and their bits.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE, BLOCK_IDS = 0, 1 << 16
+PIECES = 1_000_000
 SCHEMA = ("part int, block int, doc_ids array<{kind}>, ends array<long>, n_ids long, words binary")
 
 
 def pack(ids: np.ndarray) -> bytes:
     """Simple-8b, each word as full as its next ids allow."""
-    ids = np.ascontiguousarray(ids, np.uint64)
+    ids = np.ascontiguousarray(ids)
     n = len(ids)
     if not n:
         return b""
-    selector, count = np.zeros(n, np.uint8), np.ones(n, np.int64)
+    selector, count = np.zeros(n, np.uint8), np.ones(n, np.uint8)
+    widest = int(ids.max()).bit_length()
     for s in range(len(PACKS), 0, -1):  # later, fuller packs overwrite
         most, bits = PACKS[s - 1]
         if most > n:
             continue
-        big = np.concatenate([[0], np.cumsum(ids >> np.uint64(bits) > 0)])
-        fits = np.flatnonzero(big[most:] == big[:-most])
-        if not len(fits):
-            break  # narrower ids cannot come in longer runs
+        if widest <= bits:
+            fits = slice(0, n - most + 1)
+        else:
+            big = np.zeros(n + 1, np.int32)
+            np.cumsum(ids >> ids.dtype.type(bits) > 0, out=big[1:])
+            fits = big[most:] == big[:-most]
+            if not fits.any():
+                break  # narrower ids cannot come in longer runs
+            fits = np.flatnonzero(fits)
         selector[fits], count[fits] = s, most
+    ids = ids.astype(np.uint64)
     heads, at, step = [], 0, count.tolist()
     while at < n:
         heads.append(at)
@@ -98,29 +107,57 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, Recent]:
+def _tokenizer(path: str) -> tuple[Tokenizer, np.ndarray, dict[str, bytes]]:
+    """The tokenizer, the bytes that each id stands for, counted, and the pieces encoded so far."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    return t, Recent(PIECES)
+    sizes = np.zeros(t.get_vocab_size(), np.int64)
+    for token, i in t.get_vocab().items():
+        sizes[i] = len(token)  # a character per byte in a byte-level vocabulary
+    return t, sizes, {}
+
+
+def _encode_pieces(tokenizer: Tokenizer, sizes: np.ndarray, new: list[str], group: int = 2_000) -> Iterator[tuple[str, bytes]]:
+    """Each piece with its ids.
+
+    Words with a space before them are encoded many in one string: the pre-tokenizer divides that string at the spaces again,
+    and the bytes of the ids tell where a word ends. Other pieces go one by one.
+    """
+    words, others = [], []
+    for p in new:
+        (words if p[0] == " " and p[1:].isalpha() else others).append(p)
+    for p, e in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+        yield p, np.array(e.ids, "<u4").tobytes()
+    groups = [words[i:i + group] for i in range(0, len(words), group)]
+    for ps, e in zip(groups, tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, "<u4")
+        ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(p.encode()) for p in ps])) + 1
+        data, at = ids.tobytes(), 0
+        for p, end in zip(ps, (4 * ends).tolist(), strict=True):
+            yield p, data[at:end]
+            at = end
 
 
 def encoder(path: str, pattern: str):
-    """Whole text to little-endian uint32 ids. The library encodes each piece of the pre-tokenizer's pattern once and it is reused."""
-    tokenizer, cache = _tokenizer(path)
+    """Texts to little-endian uint32 ids. The library encodes each piece of the pre-tokenizer's pattern once while it is remembered."""
+    tokenizer, sizes, known = _tokenizer(path)
     split = regex.compile(pattern)
 
     def encode(many: list[str]) -> list[np.ndarray]:
+        if len(known) > PIECES:  # forget the older half
+            for p in list(islice(known, PIECES // 2)):
+                del known[p]
         found = [pieces(t, split) for t in many]
-        new = [p for p in set().union(*found) if cache.get(p) is None]
-        fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        old, young = cache.old, cache.young
-        out = []
-        for ps in found:
-            out.append(np.frombuffer(b"".join([young.get(p) or fresh.get(p) or old[p] for p in ps]), "<u4"))
-        for p, ids in fresh.items():
-            cache.put(p, ids)
-        return out
+        ids = [list(map(known.get, ps)) for ps in found]
+        lacking = [(i, [k for k, v in enumerate(row) if v is None]) for i, row in enumerate(ids) if None in row]
+        new = list({found[i][k] for i, at in lacking for k in at})
+        known.update(_encode_pieces(tokenizer, sizes, new))
+        for i, at in lacking:
+            row, ps = ids[i], found[i]
+            for k in at:
+                row[k] = known[ps[k]]
+        return [np.frombuffer(b"".join(row), "<u4") for row in ids]
 
     return encode
 
