@@ -1,6 +1,6 @@
 """Token ids in files of Simple-8b words.
 
-A file is Parquet; each row is a block: documents in order with their ends, and one stream of 64-bit little-endian words. The
+A file is Parquet; each row is a block: its part and the ids before it there, documents in order with their ends, and one stream of 64-bit little-endian words. The
 four high bits of a word select how many ids of what width share its other 60 bits, lowest id first. Selector 0 is the escape:
 the next word is one id in full. Ids of a document may continue in its next word but never in another block.
 """
@@ -22,13 +22,13 @@ from tokenizers import Tokenizer
 
 from assayer.llm.bpe import pieces
 from assayer.llm.scan import scan, slices, texts
-from assayer.session import shared_dir
+from assayer.session import settle, shared_dir
 
 #: Selectors 1 to 14: ids a word and their bits.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE, BLOCK_IDS = 0, 1 << 16
 PIECES = 1_000_000
-SCHEMA = ("part int, block int, doc_ids array<{kind}>, ends array<long>, n_ids long, words binary")
+SCHEMA = "part int, before long, doc_ids array<{kind}>, ends array<long>, n_ids long, words binary"
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -176,15 +176,15 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id:
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, block, size, held, docs = encoder(tokenizer, pattern), 0, 0, [], []
+        encode, before, size, held, docs = encoder(tokenizer, pattern), 0, 0, [], []
         part = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             ids = np.concatenate(held)
             ends = np.cumsum([len(h) for h in held])
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([docs], pa.list_(id_type)), pa.array([ends.tolist()], pa.list_(pa.int64())),
-                 pa.array([len(ids)], pa.int64()), pa.array([pack(ids)], pa.binary())], ["part", "block", "doc_ids", "ends", "n_ids", "words"])
+                [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([docs], pa.list_(id_type)), pa.array([ends.tolist()], pa.list_(pa.int64())),
+                 pa.array([len(ids)], pa.int64()), pa.array([pack(ids)], pa.binary())], ["part", "before", "doc_ids", "ends", "n_ids", "words"])
 
         for b in slices(batches, text_col, 1 << 20):
             for doc, ids in zip(b.column(0).to_pylist(), encode(texts(b, text_col)), strict=True):
@@ -193,7 +193,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id:
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield flush()
-                    block, size, held, docs = block + 1, 0, [], []
+                    before, size, held, docs = before + size, 0, [], []
         if docs:
             yield flush()
 
@@ -201,15 +201,16 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, pattern: str, end_id:
 
 
 def read_tokens(spark, path: str, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, start, ids as little-endian uint32 bytes, n_tokens) in file order; start counts the ids before the document."""
+    """(doc_id, start, ids as little-endian uint32 bytes, n_tokens) in file order; start counts the ids before the document.
+
+    Blocks know what comes before them in their part, so only one row per part is summed; that table is written first, so
+    Spark sees its size and joins it without moving blocks where it is small.
+    """
     blocks = spark.read.parquet(path)
     kind = dict(blocks.dtypes)["doc_ids"].removeprefix("array<").removesuffix(">")
-    sizes = blocks.select("part", "block", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("_all"))
-    before = parts.select("part", (F.sum("_all").over(W.orderBy("part")) - F.col("_all")).alias("_before"))
-    inside = sizes.withColumn("_in", F.sum("n_ids").over(W.partitionBy("part").orderBy("block")) - F.col("n_ids"))
-    starts = inside.join(before, "part").select("part", "block", (F.col("_before") + F.col("_in")).alias("first"))
-    joined = blocks.join(starts, ["part", "block"]).select("first", "doc_ids", "ends", "words")
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("_all"))
+    starts = settle(parts.select("part", (F.sum("_all").over(W.orderBy("part")) - F.col("_all")).alias("_start")), "part-starts")
+    joined = blocks.join(starts, "part").select((F.col("_start") + F.col("before")).alias("first"), "doc_ids", "ends", "words")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
