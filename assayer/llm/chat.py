@@ -8,17 +8,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayer.llm.quality import let
+
 END = "\n</turn>\n"
 CONTROL = "(### |</turn>)"
 NAMES = {"system": "System", "user": "User", "assistant": "Assistant", "tool": "Tool"}
 
 
+def held(text: Column) -> Column:
+    """Whether a control string occurs at all; a plain search spares most texts the expressions below."""
+    return text.contains("### ") | text.contains("</turn>")
+
+
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\\*)" + CONTROL, r"\\$1$2")
+    return F.when(held(text), F.regexp_replace(text, r"(\\*)" + CONTROL, r"\\$1$2")).otherwise(text)
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"\\(\\*)" + CONTROL, "$1$2")
+    return F.when(held(text), F.regexp_replace(text, r"\\(\\*)" + CONTROL, "$1$2")).otherwise(text)
 
 
 def header(role: Column) -> Column:
@@ -36,18 +43,21 @@ def role_of(name: Column) -> Column:
     return role
 
 
+def name_of(piece: Column) -> Column:
+    """What stands between ``### `` and the first colon and space."""
+    return F.substring(F.substring_index(piece, ": ", 1), 5, 1 << 30)
+
+
 def parse(formatted: Column) -> Column:
     """array<struct<role,text>>, or null where the text is not of the grammar: a payload holds a live control string."""
     def turn(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^### ([^:\n]*): ", 1)
-        raw = F.substring(piece, F.length(name) + 7, F.length(piece))
-        live = raw.rlike(r"(?<!\\)" + CONTROL) | ~piece.rlike(r"^### (System|User|Assistant|Tool|@[^:\n]*): ")
-        return F.when(~live, F.struct(role_of(name).alias("role"), unescape(raw).alias("text")))
+        return let(name_of(piece), lambda name: let(F.substring(piece, F.length(name) + 7, F.length(piece)), lambda raw: F.when(
+            piece.startswith("### ") & (name.isin(*NAMES.values()) | name.startswith("@")) & ~(held(raw) & raw.rlike(r"(?<!\\)" + CONTROL)),
+            F.struct(role_of(name).alias("role"), unescape(raw).alias("text")))))
 
-    pieces = F.split(formatted, END)
-    turns = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn)
-    whole = F.element_at(pieces, -1) == ""
-    return F.when(whole & ~F.exists(turns, lambda t: t.isNull()), turns)
+    return let(F.split(formatted, END), lambda pieces: let(
+        F.transform(F.slice(pieces, 1, F.size(pieces) - 1), turn),
+        lambda turns: F.when((F.element_at(pieces, -1) == "") & ~F.exists(turns, lambda t: t.isNull()), turns)))
 
 
 def render(turns: Column, escaped: bool) -> Column:
@@ -75,13 +85,12 @@ def format_conversations(df: DataFrame, trained: str = "assistant") -> DataFrame
     read = kept.withColumn("recovered", parse(F.col("formatted")))
 
     def runs(piece: Column) -> Column:
-        head = F.length(F.regexp_extract(piece, r"^### [^:\n]*: ", 0))
+        head = F.length(name_of(piece)) + 6
         on = piece.startswith(f"### {NAMES[trained]}: ")
         run = lambda flag, n: F.struct(flag.alias("trained"), n.cast("long").alias("n_chars"))
         return F.array(run(F.lit(False), head), run(on, F.length(piece) - head), run(F.lit(False), F.lit(len(END))))
 
-    pieces = F.split("formatted", END)
-    mask = F.flatten(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), runs))
+    mask = let(F.split("formatted", END), lambda pieces: F.flatten(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), runs)))
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), "formatted", mask.alias("mask"), "recovered",
                        F.coalesce(F.col("recovered") == F.col("turns"), F.lit(False)).alias("identical"))
 
@@ -90,7 +99,7 @@ def chat_digest(df: DataFrame) -> DataFrame:
     """Digests of what is read back from the formatted text."""
     f = format_conversations(df)
     # Each turn has three runs; the middle one says whether its payload is trained on.
-    chosen = F.filter("recovered", lambda t, i: F.get(F.col("mask"), i * 3 + 1)["trained"])
+    chosen = let(F.col("mask"), lambda m: F.filter("recovered", lambda t, i: F.get(m, i * 3 + 1)["trained"]))
     loss = F.concat_ws("", F.transform(chosen, lambda t: t["text"]))
     every = F.concat_ws("", F.transform("recovered", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
     return (f.withColumn("loss", loss)
