@@ -14,7 +14,7 @@ from assayer.llm.scan import scan, slices, texts
 GRAMS = (3, 4, 5)
 BUCKET_BITS, DIM = 17, 8
 #: The training sample: at most so many labelled rows, each of at most so many characters.
-TRAIN_ROWS, TRAIN_CHARS = 6_000, 20_000
+TRAIN_ROWS, TRAIN_CHARS = 6_000, 10_000
 STEPS, BATCH, RATE, SEED = 1_500, 32, 0.02, 7
 #: N-grams in fewer than this share of the sample's texts (two texts at least) get no embedding: they would learn single texts.
 LEAST_SHARE, DROPPED, DECAY = 0.02, 0.5, 0.2
@@ -125,12 +125,22 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
-    """Train on a bounded sample of labelled rows: those first by a hash of their id, of bounded length, never held-out ones."""
+    """Train on a bounded sample of labelled rows, never on held-out ones.
+
+    About ``rows`` ids (at most that many) are chosen by a hash, whatever their label; only they are looked up in ``docs``, and
+    texts longer than ``chars`` characters are left out of training. Of several labels of an id the larger counts, of several
+    texts the smaller. Null ids, labels and texts are not used. Without two classes the model is the share of class 1.
+    """
     known = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max("toxic").alias("_toxic")))
-    sample = (docs.select("doc_id", "text").filter(F.length("text") <= chars).join(known, "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).select("text", "_toxic").collect())
-    return train([r["text"] for r in sample], [int(r["_toxic"]) for r in sample])
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic")))
+    share = min(1.0, rows / max(1, known.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    ids = known.filter(place < int(share * (1 << 40))).orderBy(place, "doc_id").limit(rows).collect()
+    chosen = docs.sparkSession.createDataFrame([tuple(r) for r in ids], known.schema)
+    sample = (docs.select("doc_id", "text").filter(F.length("text") <= chars)
+              .join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows of two numbers
+              .groupBy("doc_id", "_toxic").agg(F.min("text").alias("text")).orderBy("doc_id").collect())
+    return train([r["text"] for r in sample], [r["_toxic"] for r in sample])
 
 
 def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
