@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from assayer.llm.scan import Recent, scan, slices, texts
 
-PIECES, PAIRS = 400_000, 1_000_000
+PIECES, PAIRS = 320_000, 400_000
 _LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _OTHER = re.compile(r"[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿À-ɏ‐-‧‰-⁞]")
 _PLAIN = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+")
@@ -95,25 +95,22 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.bpe, self.pattern, self.cache = PairwiseBpe(ranks), regex.compile(pattern), Recent(PIECES)
+        self.digits = {r: str(r) for r in ranks.values()}
 
-    def _new(self, piece: str) -> tuple[list[int], str]:
+    def _new(self, piece: str) -> tuple[int, ...]:
         known = self.cache.get(piece)
         if known is None:
-            ids = self.bpe.encode(piece.encode())
-            known = ids, " ".join(map(str, ids))
+            known = tuple(self.bpe.encode(piece.encode()))
             self.cache.put(piece, known)
         return known
 
-    def _all(self, text: str) -> list[tuple[list[int], str]]:
-        near = self.cache.young.get
-        return [near(p) or self._new(p) for p in pieces(text, self.pattern)]
-
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self._all(text)))
+        near = self.cache.young.get
+        return list(chain.from_iterable([near(p) or self._new(p) for p in pieces(text, self.pattern)]))
 
-    def encode_printed(self, text: str) -> tuple[list[int], str]:
-        found = self._all(text)
-        return list(chain.from_iterable([ids for ids, _ in found])), " ".join([s for _, s in found])
+    def printed(self, ids: list[int]) -> str:
+        """Decimal ids, joined by one space."""
+        return " ".join(map(self.digits.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bpe.bytes_of.__getitem__, ids))
@@ -139,9 +136,9 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
         for b in slices(batches, text_col):
             lists, counts, printed, decoded = [], [], [], []
             for t in texts(b, text_col):
-                got, text = c.encode_printed(t)
+                got = c.encode(t)
                 counts.append(len(got))
-                printed.append(hashlib.sha256(text.encode()).hexdigest())
+                printed.append(hashlib.sha256(c.printed(got).encode()).hexdigest())
                 decoded.append(hashlib.sha256(c.decode(got)).hexdigest())
                 if ids:
                     lists.append(got)
