@@ -18,8 +18,11 @@ TRAIN_ROWS, TRAIN_CHARS = 6_000, 10_000
 STEPS, BATCH, RATE, SEED = 1_500, 32, 0.02, 7
 #: N-grams in fewer than this share of the sample's texts (two texts at least) get no embedding: they would learn single texts.
 LEAST_SHARE, DROPPED, DECAY = 0.02, 0.5, 0.2
-#: After the first steps, texts to whose label the model gives less than this are taken for wrongly labelled and left out.
-WARM, DOUBT = 300, 0.3
+#: Averages are of n-grams weighted by how rare they are in the sample, times this, so that few words among many can count.
+SCALE = 20
+#: Once the model gives class 1 this much on its own texts, on average, texts to whose label it gives less than the second
+#: number are taken for wrongly labelled and left out.
+LEARNED, DOUBT = 0.4, 0.3
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
@@ -83,11 +86,12 @@ def train(many: list[str], labels: list[int], steps: int = STEPS, seed: int = SE
         bags.append((ids.astype(np.int32), (count / max(1, count.sum())).astype(np.float32)))
     spread = np.bincount(np.concatenate([b[0] for b in bags]), minlength=buckets)
     useful = spread >= max(2, LEAST_SHARE * len(y))
-    bags = [(ids[useful[ids]], share[useful[ids]]) for ids, share in bags]
+    rare = np.where(useful, SCALE * np.log((len(y) + 1) / np.maximum(spread, 1)), 0).astype(np.float32)
+    bags = [(ids[useful[ids]], (share * rare[ids])[useful[ids]]) for ids, share in bags]
     emb, soft, bias = (rng.normal(0, 0.1, (buckets, DIM))).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.log(np.bincount(y, minlength=2) / len(y))
     m_e, v_e = np.zeros_like(emb), np.zeros_like(emb)
     small = [[np.zeros_like(x), np.zeros_like(x)] for x in (soft, bias)]
-    step, batches = 0, max(1, len(y) // BATCH)
+    step, batches, learned, trimming = 0, max(1, len(y) // BATCH), 0.0, False
     for _ in range(-(-steps // batches)):
         for at in np.array_split(rng.permutation(len(y)), batches):
             step += 1
@@ -101,7 +105,11 @@ def train(many: list[str], labels: list[int], steps: int = STEPS, seed: int = SE
             z = mean @ soft + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            trusted = (p[np.arange(len(at)), y[at]] >= DOUBT) | (step < WARM)
+            own = p[np.arange(len(at)), y[at]]
+            if y[at].any():
+                learned = 0.95 * learned + 0.05 * own[y[at] == 1].mean()
+                trimming = trimming or learned >= LEARNED
+            trusted = (own >= DOUBT) | (not trimming)
             p[np.arange(len(at)), y[at]] -= 1
             p *= trusted[:, None]
             p /= len(at)
@@ -116,8 +124,7 @@ def train(many: list[str], labels: list[int], steps: int = STEPS, seed: int = SE
                 mv[0][...] = 0.9 * mv[0] + 0.1 * gx
                 mv[1][...] = 0.999 * mv[1] + 0.001 * gx * gx
                 x -= rate * fix * mv[0] / (np.sqrt(mv[1]) + 1e-8)
-    emb[~useful] = 0
-    return Model(emb.astype(np.float64) @ (soft[:, 1] - soft[:, 0]).astype(np.float64), float(bias[1] - bias[0]))
+    return Model(rare * (emb.astype(np.float64) @ (soft[:, 1] - soft[:, 0]).astype(np.float64)), float(bias[1] - bias[0]))
 
 
 def held_out(doc_id: Column | str) -> Column:
