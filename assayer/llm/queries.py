@@ -56,4 +56,73 @@ def op10_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_decontaminate, op3_shard, op4_token_files, op5_url_filter, op6_toxicity,
                                    op7_chat_format, op8_quality_rules, op9_simhash, op10_byte_bpe)}
-SQL: dict[str, str] = {}
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2 = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT cast(item_id AS VARCHAR) AS item, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (SELECT DISTINCT item, least(len(w), {contamination.WINDOW}) AS n, array_to_string(w[i:i + least(len(w), {contamination.WINDOW}) - 1], ' ') AS t
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {contamination.WINDOW} + 1, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+dwin AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t
+         FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, dwin.n, item FROM dwin JOIN win ON dwin.t = win.t AND dwin.n = win.n),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(n_hit, 0) AS BIGINT) AS n_hit, cast(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+def _op5() -> str:
+    term = lambda words, weight: " + ".join(
+        f"CASE WHEN regexp_matches(low, '(^|[^a-z0-9]){w}($|[^a-z0-9])') THEN {weight} ELSE 0 END" for w in words)
+    fits = lambda rule: (lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')")(*rule.split("/", 1))
+    order = sorted(urls.RULES, key=lambda r: -len(r[0]))
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for r, _ in order) + " END"
+    verdict = "CASE " + " ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in order) + f" WHEN weight >= {urls.SOFT_HITS} THEN 'block' ELSE 'allow' END"
+    return f"""
+WITH a AS (SELECT page_id, coalesce(url, '') AS url, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM pages),
+b AS (SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM a),
+c AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM b),
+d AS (SELECT page_id, low, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM c),
+e AS (SELECT page_id, host, path, {rule} AS rule, cast({term(urls.STRICT, urls.SOFT_HITS)} + {term(urls.SOFT, 1)} AS INTEGER) AS weight FROM d)
+SELECT page_id, host, path, rule, {verdict} AS verdict, weight FROM e"""
+
+
+_OP7 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, bool_or(contains(text, '### ') OR contains(text, '</turn>')) OVER (PARTITION BY conv_id) AS held FROM c),
+f AS (SELECT *, CASE WHEN held THEN regexp_replace(text, '(\\*)(### |</turn>)', '\\\1\2', 'g') ELSE text END AS payload FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  cast(sum(length(payload) + 6 + 9 + CASE role WHEN 'system' THEN 6 WHEN 'user' THEN 4 WHEN 'assistant' THEN 9 WHEN 'tool' THEN 4 END) AS BIGINT) AS formatted_chars,
+  true AS identical
+FROM f GROUP BY conv_id"""
+
+_OP8 = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + {quality.WINDOW} - 1], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {quality.WINDOW} + 2)) AS i FROM w WHERE len(w) >= {quality.WINDOW})),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {quality.WINDOW})) AS p FROM twice) GROUP BY doc_id),
+line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM t),
+line2 AS (SELECT doc_id, x, length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS c,
+  NOT ((length(x) - length(regexp_replace(x, '[#*$%&<>!]', '', 'g')) - {quality.FREE_SIGNS}) * 100 > {quality.SIGNS_PCT} * length(x))
+  AND length(x) - length(replace(x, '|', '')) < {quality.BARS} AND NOT regexp_matches(x, '{quality.BOILERPLATE}') AS passes
+  FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup, coalesce(sum(c) FILTER (WHERE passes), 0) AS left_chars FROM line2 GROUP BY doc_id),
+m AS (SELECT w.doc_id, cast(len(w) AS BIGINT) AS n_words, cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, cast(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+  cast(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(left_chars, 0) AS left_chars
+  FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PCT} * n_words AS base_failed,
+  NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PCT} * n_words)
+  AND 100 * left_chars >= {quality.MIN_KEPT_PCT} * word_chars AS kept FROM m"""
+
+SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_quality_rules": _OP8}
