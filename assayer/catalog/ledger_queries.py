@@ -310,9 +310,9 @@ def backed_edges(t):
 
 
 @query("unbacked_edges", "U2", """
-  SELECT src, dst FROM fx_edges WHERE NOT (dst = 'ledger' AND src <> 'review') EXCEPT SELECT src, dst FROM fx_moves WHERE run % 2 = 0""")
+  SELECT src, dst FROM fx_edges WHERE NOT (dst = 'ledger' AND src <> 'review') EXCEPT SELECT src, dst FROM fx_moves""")
 def unbacked_edges(t):
-    return U.unbacked_edges(all_edges(t), L.stop_edges(t.spark), L.row_moves(t.ledger).where("run % 2 = 0"))
+    return U.unbacked_edges(all_edges(t), L.stop_edges(t.spark), L.row_moves(t.ledger))
 
 
 @query("in_every_group", "U3", """
@@ -365,12 +365,12 @@ def unseen_flags(t):
 
 
 @query("append_conflicts", "S8", """
-  WITH e AS (SELECT k AS id, run % 3 AS v FROM fx_ledger WHERE kind = 'request' AND run < 6), p AS (SELECT k AS id, run % 3 AS v FROM fx_ledger WHERE kind = 'gate' AND run < 3)
-  SELECT id, 'proposed twice' AS reason FROM p GROUP BY id HAVING count(*) > 1 UNION ALL SELECT id, 'recorded twice' FROM e GROUP BY id HAVING count(*) > 1
+  WITH e AS (SELECT k AS id, run % 3 AS v FROM fx_ledger WHERE kind = 'request'), p AS (SELECT k AS id, run % 3 AS v FROM fx_ledger WHERE kind = 'gate')
+  SELECT id, 'proposed twice' AS reason FROM p GROUP BY id HAVING count(*) > 1 UNION ALL SELECT id, 'recorded twice' FROM e WHERE id IN (SELECT id FROM p) GROUP BY id HAVING count(*) > 1
   UNION ALL SELECT DISTINCT p.id, 'recorded with other content' FROM p JOIN e USING (id) WHERE p.v <> e.v""")
 def append_conflicts(t):
     r = t.ledger_rows.selectExpr("k AS id", "run % 3 AS v", "kind", "run")
-    return sinks.conflicts(r.where("kind = 'request' AND run < 6").select("id", "v"), r.where("kind = 'gate' AND run < 3").select("id", "v"), "id")
+    return sinks.conflicts(r.where("kind = 'request'").select("id", "v"), r.where("kind = 'gate'").select("id", "v"), "id")
 
 
 @query("append_unseen", "S8", """

@@ -9,7 +9,7 @@ from assayer.operators import resampling as B
 from assayer.operators import votes as V
 
 c = F.col
-REPS = 64
+REPS = 4_000
 
 
 def r6(df, *cols):

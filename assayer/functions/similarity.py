@@ -20,16 +20,18 @@ def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-def similarity_ratio(la: Column, lb: Column, threshold: float = X.CAPTION_SIMILARITY) -> Column:
-    """Ratio of two letter strings (``text.letters_of``).
+def similarity_ratio(la: Column, lb: Column) -> Column:
+    """Ratio of two letter strings (``text.letters_of``). Equal pairs are not compared in Python."""
+    same = la == lb
+    return F.when(same, 1.0).otherwise(matching_ratio(F.when(same, "").otherwise(la), F.when(same, "").otherwise(lb)))
 
-    Pairs whose length bound already lies under ``threshold`` get that bound instead of a measured ratio: they are
-    below the threshold either way. Neither they nor equal pairs are compared in Python.
-    """
+
+def less_similar(la: Column, lb: Column, threshold: float = X.CAPTION_SIMILARITY) -> Column:
+    """Whether the ratio lies under ``threshold``; pairs whose lengths alone decide that are not compared in Python."""
     bound = X.ratio_bound(la, lb)
     settled = (bound < threshold) | (la == lb)
     measured = matching_ratio(F.when(settled, "").otherwise(la), F.when(settled, "").otherwise(lb))
-    return F.when(la == lb, 1.0).when(bound < threshold, bound).otherwise(measured)
+    return F.when(la == lb, F.lit(1.0) < threshold).when(bound < threshold, True).otherwise(measured < threshold)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

@@ -199,9 +199,10 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(bare, r"(?<=[.?!])\s+"), lambda s: F.trim(s) != "")
 
 
-def sentence_count(text: Column, most: int = 3) -> Column:
-    """Sentences, merged down to ``most``."""
-    return F.least(F.size(sentences(text)), F.lit(most))
+def sentence_count(text: Column, most: int | None = None) -> Column:
+    """Sentences; with ``most``, merged down to that many."""
+    n = F.size(sentences(text))
+    return n if most is None else F.least(n, F.lit(most))
 
 
 def distinct_words(text: Column, min_len: int = 5) -> Column:

@@ -182,11 +182,25 @@ def scan_filenames(files: DataFrame, path: str, rules=FILENAME_RULES) -> DataFra
     return files.select(*files.columns, F.inline(F.array_compact(F.array(*hits))))
 
 
+def _context_kept(regex: str) -> str:
+    """A first group that may match the line's start and a last one that may match its end only look at what they match."""
+    if regex.startswith("(^|"):
+        regex = "(?<=^|" + regex[3:]
+    if regex.endswith("|$)"):
+        at = regex.rindex("(")
+        regex = f"{regex[:at]}(?={regex[at + 1:]}"
+    return regex
+
+
 def redact(text: Column, rules: list[Rule]) -> Column:
-    """Matched spans replaced by ``<label>``, rule by rule."""
-    for r in rules:
-        text = F.regexp_replace(text, java_regex(r), f"<{r.label}>")
-    return text
+    """Matched spans of each line replaced by ``<label>``, rule by rule; line breaks and the context of a match stay."""
+    def line(x: Column) -> Column:
+        for r in rules:
+            regex = java_regex(r).removeprefix("(?i)")
+            x = F.regexp_replace(x, ("(?i)" if r.any_case else "") + _context_kept(regex), f"<{r.label}>")
+        return x
+
+    return F.array_join(F.transform(F.split(text, "\n"), line), "\n")
 
 
 def pack_chunks(docs: DataFrame, group: str, order: str, size: Column, max_size: int) -> DataFrame:

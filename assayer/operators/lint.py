@@ -32,9 +32,10 @@ def _lower(c: str) -> Column:
 
 
 def cast_ok(scene: Column) -> Column:
-    """The only person in a scene is the story's character, named by the placeholder."""
+    """No narrator and no human noun besides the placeholder; a pronoun needs the placeholder to refer to."""
     rest = F.lower(F.replace(scene, F.lit(PLACEHOLDER), F.lit(" ")))
-    return ~scene.contains(NARRATOR) & ~rest.rlike(HUMAN_NOUNS) & (scene.contains(PLACEHOLDER) | ~rest.rlike(PRONOUNS))
+    unclear = rest.rlike(PRONOUNS) & ~scene.contains(PLACEHOLDER)
+    return ~(unclear | rest.rlike(HUMAN_NOUNS) | scene.contains(NARRATOR))
 
 
 def lint(boards: DataFrame) -> DataFrame:

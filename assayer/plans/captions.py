@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions import text as X
-from assayer.functions.similarity import similarity_ratio
+from assayer.functions.similarity import less_similar
 from assayer.operators.intervals import contained, overlapping
 
 
@@ -37,7 +37,7 @@ def caption_check(words: DataFrame, cues: DataFrame, on: list[str], cue: str = "
     d = d.withColumn("__tl", X.letters_of(F.col("__t"))).withColumn("__sl", X.letters_of(F.col("__s")))
     faults = timing_faults(F.col("first"), F.col("last"), F.col("start_s"), F.col("end_s"))
     numbers = F.when(X.numbers_of(F.col("__t")) != X.numbers_of(F.col("__s")), "numbers")
-    ratio = F.when(similarity_ratio(F.col("__tl"), F.col("__sl")) < X.CAPTION_SIMILARITY, "text")
+    ratio = F.when(less_similar(F.col("__tl"), F.col("__sl")), "text")
     all_faults = F.when(F.col("missed") > 0, F.array(F.lit("missed words"))).when(F.col("spoken") == 0, F.array(F.lit("no word"))).otherwise(
         F.concat(F.array_compact(F.array(numbers, ratio)), faults))
     return d.withColumn("faults", all_faults).withColumn("ok", F.size("faults") == 0).drop("__t", "__s", "__tl", "__sl")

@@ -38,10 +38,14 @@ def reason_class(why: Column) -> Column:
 
 
 def classify_history(rows: DataFrame) -> DataFrame:
-    """Name what a hand-written row records in ``row_kind``; NULL for a shape no rule knows."""
+    """Adds ``row_kind``, the first rule that a row of the historic files fits; NULL where none does.
+
+    Such a row adds no moves; ``unknown_rows`` returns it, and a replay is only whole where that is empty.
+    """
     c = F.col
     asked = c("file") == "requests.jsonl"
     bed = (c("kind") == "bed") | c("scene").endswith("-bed") | (c("engine") == "fal-ai/lyria2")
+    # Kinds as the files state them and the names of their rows.
     named = {"scene": "scene landing", "closer": "closer landing", "bed": "bed landing", "master": "ship gate",
              "gated master": "ad gates", "withdrawn": "withdrawn", "relocation": "moved", "moved": "moved"}
     rules = [("bed request", asked & F.coalesce(bed, F.lit(False))),
@@ -51,6 +55,11 @@ def classify_history(rows: DataFrame) -> DataFrame:
     return classify_rows(rows, rules)
 
 
+def unknown_rows(rows: DataFrame) -> DataFrame:
+    """(shoot, file, line) of classified rows whose shape no rule knows."""
+    return rows.where("row_kind IS NULL").select("shoot", "file", "line")
+
+
 def deliveries(rows: DataFrame) -> DataFrame:
     """(shoot, spot, day) of every delivery the rows state."""
     c = F.col

@@ -15,8 +15,12 @@ def with_row_hash(df: DataFrame, key: str) -> DataFrame:
 
 
 def conflicts(existing: DataFrame, proposed: DataFrame, key: str) -> DataFrame:
-    """(key, reason): ids proposed twice, ids recorded twice, and ids whose recorded content differs."""
-    e, p = with_row_hash(existing, key).select(key, "__hash"), with_row_hash(proposed, key).select(key, "__hash")
+    """(key, reason): ids proposed twice, offered ids recorded twice, and ids whose recorded content differs.
+
+    The record is reduced to the offered ids before anything of it is hashed or grouped.
+    """
+    p = with_row_hash(proposed, key).select(key, "__hash")
+    e = with_row_hash(existing.join(proposed.select(key).distinct(), key, "left_semi"), key).select(key, "__hash")
 
     def twice(df: DataFrame, why: str) -> DataFrame:
         return df.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(key, F.lit(why).alias("reason"))
