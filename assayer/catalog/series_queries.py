@@ -208,13 +208,13 @@ def stability_thirds(t):
 @query("repeat_scan", "W17", """
   WITH z AS (SELECT series, max(pos) + 1 AS n FROM fx_series GROUP BY series), b AS (SELECT s.*, n FROM fx_series s JOIN z USING (series)),
   f AS (SELECT b.series, avg((b.v - o.v) * (b.v - o.v)) AS far FROM b JOIN fx_series o ON o.series = b.series AND o.pos = (b.pos + b.n // 3) % b.n WHERE b.pos % 11 = 0 GROUP BY b.series),
-  p AS (SELECT b.series, g.period, avg((b.v - o.v) * (b.v - o.v)) AS m FROM b JOIN (SELECT unnest(range(5, 200)) AS period) g ON g.period < b.n / 1.5 AND b.n - g.period >= 1 JOIN fx_series o ON o.series = b.series AND o.pos = b.pos + g.period
+  p AS (SELECT b.series, g.period, avg((b.v - o.v) * (b.v - o.v)) AS m FROM b JOIN (SELECT unnest(range(5, (SELECT max(n) FROM z))) AS period) g ON g.period < b.n / 1.5 AND b.n - g.period >= 1 JOIN fx_series o ON o.series = b.series AND o.pos = b.pos + g.period
     WHERE b.pos % 5 = 0 GROUP BY ALL),
   k AS (SELECT series, arg_min(period, {'m': round(m, 9), 'p': period}) AS period, min(round(m, 9)) AS m FROM p GROUP BY series)
   SELECT series, round(far, 6) AS far, CASE WHEN far >= 2.5 THEN round(m / greatest(far, 1e-9), 6) END AS share, CASE WHEN far >= 2.5 THEN period END AS period,
     CASE WHEN far < 2.5 THEN 'UNJUDGEABLE' WHEN m / greatest(far, 1e-9) < 0.4 THEN 'REPLAYS' ELSE 'FORWARD' END AS verdict FROM f JOIN k USING (series)""")
 def repeat_scan(t):
-    return r6(S.repeat_scan(t.series, "series", "pos", "v", max_period=199, floor=2.5), "far", "share")
+    return r6(S.repeat_scan(t.series, "series", "pos", "v", floor=2.5), "far", "share")
 
 
 @query("mirror_scan", "W18", """

@@ -81,12 +81,12 @@ def fold_numbers(t):
 
 
 @query("split_only", "T3", r"""
-  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'same' ELSE 'differs' END AS outcome FROM documents WHERE regexp_matches(text, '[A-Za-z]-[A-Za-z]')""")
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'same' ELSE 'differs' END AS outcome FROM documents""")
 def split_only(t):
-    d = t.documents.where(r"text RLIKE '[A-Za-z]-[A-Za-z]'").withColumn("other", F.expr(
-        r"IF(doc_id % 2 = 0, regexp_replace(text, '([A-Za-z])-([A-Za-z])', '$1$2'), concat(text, ' extra'))"))
+    d = t.documents.withColumn("other", F.expr(r"IF(doc_id % 2 = 0, regexp_replace(text, '([A-Za-z])-([A-Za-z])', '$1$2'), concat(text, ' extra'))"))
     ok = X.split_only(X.marked_tokens(c("text")), X.marked_tokens(c("other")))
-    return d.select("doc_id", F.when(ok, "same").otherwise("differs").alias("outcome"))
+    same = c("text") == c("other")
+    return d.select("doc_id", F.when(same | ok, "same").otherwise("differs").alias("outcome"))
 
 
 @query("same_words", "T4", r"""

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from assayer.session import settle
 
 AXES = ("craft", "message", "warmth")
 MIN_ITEMS = 3
-MAX_ENGINES = 1_000
 
 
 def reject_reason(axes=AXES, lo: float = 1, hi: float = 10) -> Column:
@@ -276,20 +276,22 @@ def worst_lost_all(scored: DataFrame, rates: DataFrame, by: list[str]) -> DataFr
 def constant_baseline(engine_values: DataFrame, group: str = "brief", engine: str = "engine") -> DataFrame:
     """Leave one group out: the engine with the best mean on all other groups, and its value on the held-out one.
 
-    The statistics of "all others" are the totals minus the group's own, so no group is compared with every other.
+    The statistics of "all others" are the totals minus the group's own, so no group is compared with every other. Engines are
+    ranked by their totals in one task, a row each; a group meets only the engines it holds and one more.
     ``engine_values`` has one row per (group, engine).
     """
     own = engine_values.groupBy(group, engine).agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("c"))
     total = own.groupBy(engine).agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
-    if total.count() > MAX_ENGINES:
-        raise ValueError("constant_baseline compares a list of engines, not a data column")
-    everyone = total.agg(F.collect_list(F.struct(F.col(engine), "ts", "tc"))).scalar()
-    grid = engine_values.select(group).distinct().select(group, F.inline(everyone))
-    rest = grid.join(own, [group, engine], "left").select(
-        group, engine, (F.col("ts") - F.coalesce("s", F.lit(0.0))).alias("s2"), (F.col("tc") - F.coalesce("c", F.lit(0))).alias("c2"),
-        F.col("s").alias("held"))
-    best = rest.where("c2 > 0").groupBy(group).agg(
-        F.min(F.struct((-F.round(F.col("s2") / F.col("c2"), 12)).alias("neg"), F.col(engine).alias("engine"), "held")).alias("m"))
+    neg = lambda x, n: (-F.round(F.col(x) / F.col(n), 12)).alias("neg")
+    ranked = total.select(engine, "ts", "tc", neg("ts", "tc")).withColumn("rank", F.row_number().over(W.orderBy("neg", engine)))
+    held = own.join(ranked.drop("neg"), engine)
+    inside = (held.select(group, engine, (F.col("ts") - F.col("s")).alias("s2"), (F.col("tc") - F.col("c")).alias("c2"), F.col("s").alias("held"))
+              .where("c2 > 0").select(group, neg("s2", "c2"), F.col(engine).alias("engine"), "held"))
+    # Engines the group lacks compete with their totals, so only the best of them counts: the first rank the group does not hold.
+    gaps = (held.groupBy(group).agg(F.array_sort(F.collect_set("rank")).alias("r"))
+            .select(group, (F.size(F.filter("r", lambda x, i: x == i + 1)) + 1).alias("rank")))
+    outside = gaps.join(ranked, "rank").select(group, "neg", F.col(engine).alias("engine"), F.lit(None).cast("double").alias("held"))
+    best = inside.unionByName(outside).groupBy(group).agg(F.min(F.struct("neg", "engine", "held")).alias("m"))
     return best.select(group, F.col("m.engine").alias("engine"), (-F.col("m.neg")).alias("mean_elsewhere"), F.col("m.held").alias("held_out"))
 
 
