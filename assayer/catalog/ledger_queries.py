@@ -10,6 +10,7 @@ from assayer.operators import setops as U
 from assayer.operators import validate as C
 from assayer.operators.ordered import chunk_of, day_of
 from assayer.plans import replay as R
+from assayer.session import shared_dir
 from assayer.sources import sinks
 
 c = F.col
@@ -373,6 +374,15 @@ def append_conflicts(t):
     return sinks.conflicts(r.where("kind = 'request'").select("id", "v"), r.where("kind = 'gate'").select("id", "v"), "id")
 
 
+@query("append_twice", "S8", """
+  SELECT o_orderkey AS id, o_orderstatus AS v FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")
+def append_twice(t):
+    rows, target = t.orders.select(c("o_orderkey").alias("id"), c("o_orderstatus").alias("v")), shared_dir(t.spark, "append")
+    for offered in ("id % 3 = 0", "id % 3 = 0", "id % 2 = 0"):
+        sinks.append_idempotent(target, rows.where(offered), "id")
+    return t.spark.read.schema(rows.schema).parquet(target)
+
+
 @query("append_unseen", "S8", """
   SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey % 2 = 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def append_unseen(t):

@@ -55,6 +55,16 @@ def kill(t):
     return V.kill(totals(t), ["brief"]).withColumn("total", F.round("total", 6))
 
 
+@query("kill_refusals", "A2", """
+  WITH g AS (SELECT brief, CASE WHEN right(item, 1) = '3' THEN 'last' ELSE 'rest' END AS part FROM fx_totals)
+  SELECT brief, part, count(*) AS items, 'fewer than 3 items' AS reason FROM g GROUP BY brief, part HAVING count(*) < 3
+  UNION ALL SELECT DISTINCT brief, 'none', 0::BIGINT, 'no calls' FROM g""")
+def kill_refusals(t):
+    g = totals(t).withColumn("part", F.when(F.right("item", F.lit(1)) == "3", "last").otherwise("rest"))
+    asked = g.select("brief", F.explode(F.array(F.lit("last"), F.lit("rest"), F.lit("none"))).alias("part"))
+    return V.kill_refusals(g, ["brief", "part"], asked)
+
+
 @query("ship", "A3", """
   SELECT brief, item, round(total, 6) AS total FROM fx_totals t WHERE item <> (SELECT arg_min(item, {'t': total, 'i': item})
   FROM fx_totals u WHERE u.brief = t.brief)""")

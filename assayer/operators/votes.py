@@ -50,6 +50,16 @@ def kill(totals: DataFrame, group: list[str], item: str = "item", min_items: int
     return g.select(*group, "items", F.when(enough, F.col("m.item")).alias("killed"), F.when(enough, F.col("m.total")).alias("total"))
 
 
+def kill_refusals(totals: DataFrame, group: list[str], expected: DataFrame | None = None, min_items: int = MIN_ITEMS) -> DataFrame:
+    """(group, items, reason) of each group that gets no kill: too few items, or none at all where ``expected`` names the group."""
+    few = (totals.groupBy(*group).agg(F.count(F.lit(1)).alias("items")).where(F.col("items") < min_items)
+           .withColumn("reason", F.lit(f"fewer than {min_items} items")))
+    if expected is None:
+        return few
+    none = expected.select(*group).distinct().join(totals.select(*group).distinct(), group, "left_anti")
+    return few.unionByName(none.select(*group, F.lit(0).cast("bigint").alias("items"), F.lit("no calls").alias("reason")))
+
+
 def ship(totals: DataFrame, group: list[str], item: str = "item") -> DataFrame:
     """Everything but the killed item of each group."""
     dead = kill(totals, group, item).select(*group, F.col("killed").alias(item)).where(F.col(item).isNotNull())
