@@ -51,7 +51,7 @@ def test_history_rows_are_named_or_left_to_look_at(spark):
             row(line=1, file="landings.jsonl", kind="withdrawn", day="2026-08-01", reason="the closer slips", withdrawn=[("mug",)]),
             row(line=2, file="landings.jsonl", kind="gated master", mouth="REVIEW; eye approved", ad="mug"), row(line=3, file="landings.jsonl", kind="strange")]
     named = replay.classify_history(spark.createDataFrame([tuple(r[k] for k in base) for r in rows], cols))
-    assert [(r["file"], r["line"]) for r in named.where("row_kind IS NULL").collect()] == [("landings.jsonl", 3)]
+    assert [tuple(r) for r in replay.unknown_rows(named).collect()] == [("s", "landings.jsonl", 3)]
     got = sorted((r["src"], r["dst"], r["line"]) for r in replay.replay_history(named).collect())
     assert got == sorted([("render", "render", 2), ("review", "render", 3), ("eye", "render", 4), ("deliver", "review", 1), ("review", "closer", 1), ("ad_gates", "eye", 2)])
 
