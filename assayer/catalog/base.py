@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators import ordered
+from assayer.operators.bars import chunks_by_count
 
 FX: dict[str, str] = {
     "fx_calls": """SELECT concat('b',cast(l_orderkey % 5 AS VARCHAR)) AS brief,
@@ -180,9 +181,9 @@ class Tables:
     @cached_property
     def numbered_calls(self) -> DataFrame:
         rn = ordered.scan_in_order(
-            self.calls, ["item", "judge"],
+            chunks_by_count(self.calls, ["item", "judge"], "l_orderkey"), ["item", "judge"],
             ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"],
-            ordered.chunk_of("l_orderkey"), row_number="rep")
+            F.col("__part"), row_number="rep")
         return rn.select("brief", "item", "judge", "craft", "message", "warmth", "rep")
 
     @cached_property
@@ -218,7 +219,8 @@ class Tables:
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return ordered.scan_in_order(self.ledger_rows, ["run"], ["ts", "id"], ordered.day_of("ts"), row_number="seq")
+        parted = chunks_by_count(self.ledger_rows, ["run"], "ts")
+        return ordered.scan_in_order(parted, ["run"], ["ts", "id"], F.col("__part"), row_number="seq").drop("__part")
 
     @cached_property
     def series(self) -> DataFrame:

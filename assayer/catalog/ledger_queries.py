@@ -399,8 +399,10 @@ def append_unseen(t):
     WHEN 'deliver' THEN 'review' WHEN 'review' THEN CASE WHEN pass OR attempts >= 4 OR back = 'elsewhere' THEN 'ledger' ELSE back END END AS routed, actual, count(*) AS n
   FROM v GROUP BY ALL""")
 def next_step(t):
+    from assayer.operators.bars import chunks_by_count
     from assayer.operators.ordered import scan_in_order
-    led = scan_in_order(t.ledger_rows.select("run", "ts", "id", "step", "cents", "k"), ["run"], ["ts", "id"], day_of("ts"), lead={"actual": c("step")})
+    rows = chunks_by_count(t.ledger_rows.select("run", "ts", "id", "step", "cents", "k"), ["run"], "ts")
+    led = scan_in_order(rows, ["run"], ["ts", "id"], c("__part"), lead={"actual": c("step")})
     facts = F.expr(f"""from_json(to_json(named_struct('pass', cents % 3 > 0, 'failed', k % 2 = 0, 'attempts', k % 4, 'caption', 'pass', 'drift', 'pass',
         'mouth', CASE k % 5 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'review' WHEN 3 THEN 'noface' ELSE 'unreadable' END, 'lag_s', (k % 30) / 100.0D,
         'back_to', CASE k % 3 WHEN 0 THEN 'render' WHEN 1 THEN 'elsewhere' ELSE 'build' END)), '{D.NEXT_STEP_FACTS}')""")

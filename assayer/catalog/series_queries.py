@@ -49,7 +49,7 @@ def rest_fraction(t):
   SELECT run, kind, min(t) AS first, max(t) AS last, count(*) AS hits FROM e GROUP BY run, kind, e HAVING count(*) >= 3""")
 def merge_events(t):
     h = t.ledger_rows.select("run", "kind", F.unix_micros("ts").alias("t"))
-    return S.merge_events(h, ["run", "kind"], "t", 36_000_000_000, chunk_of("t", 7 * 86_400_000_000))
+    return S.merge_events(h, ["run", "kind"], "t", 36_000_000_000)
 
 
 @query("first_diff_energy", "W7", """
@@ -262,7 +262,7 @@ def resample_mean(t):
   SELECT run, bin, round(v + (v1 - v) * ((bin * 4096 - t)::DOUBLE / (t1 - t)), 6) AS v FROM e""")
 def resample_linear(t):
     s = t.ledger_rows.groupBy("run", F.unix_seconds("ts").alias("t")).agg(F.max("cents").alias("v"))
-    return r6(S.resample_linear(s, "run", "t", "v", 1 / 4096, chunk_of("t", 86400)), "v")
+    return r6(S.resample_linear(s, "run", "t", "v", 1 / 4096), "v")
 
 
 @query("span_energy", "W22", """

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions.verdicts import CAST_MIN, DRIFT_MAX, FACE_COVERAGE_MIN, STRANGER_FRAMES, deviation_class
+from assayer.operators.bars import chunks_by_count
 from assayer.operators.ordered import scan_in_order
 from assayer.operators.quantiles import medians, percentiles
 
@@ -51,7 +52,7 @@ def survivor(deviations: DataFrame, group: list[str], name: str) -> DataFrame:
     """The middle survivor of each group, or the nearest row when every row drifted, with the survivors counted."""
     d = deviations.select(*group, name, F.round("deviation", 12).alias("dev"))
     n = d.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("dev") <= DRIFT_MAX).cast("bigint")).alias("survivors"))
-    ranked = scan_in_order(d, group, ["dev", name], F.floor(F.col("dev") * 1000).cast("bigint"), row_number="__rn")
+    ranked = scan_in_order(chunks_by_count(d, group, "dev"), group, ["dev", name], F.col("__part"), row_number="__rn")
     want = F.when(F.col("survivors") > 0, F.floor(F.col("survivors") / 2) + 1).otherwise(1)
     return ranked.join(n, group).where(F.col("__rn") == want).select(*group, "rows", "survivors", F.col(name).alias("survivor"))
 

@@ -2,15 +2,19 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts every row of a key in a single task, which fails when one
 key holds a large share of the data. Here each key is cut into *chunks* along its order (a day of a ledger, 8,192
-positions of a series). The window runs inside (key, chunk); what other chunks contribute arrives as one
-summary row per chunk. Only those summaries, thousands of times fewer than the rows, are ever ordered per key.
+positions of a series, a share of its rows by ``bars.chunks_by_count``). The window runs inside (key, chunk); what other
+chunks contribute arrives as one summary row per chunk. Summaries are themselves carried in two levels: spans of 1,024
+chunks, then chunks inside a span, so no task orders all chunks of a key either.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 8192
+SPAN_CHUNKS = 1024
 
 
 def chunk_of(position: Column | str, width: int = CHUNK_ROWS) -> Column:
@@ -25,6 +29,24 @@ def day_of(ts: Column | str) -> Column:
     return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
 
 
+def _outside(summary: DataFrame, keys: list[str], folds: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """Per (keys, __chunk), the folded summaries of all earlier chunks of the key; for ``__first`` those of all later ones.
+
+    Spans of chunks are folded first. What lies outside a span enters it as an edge row before and, where later chunks
+    matter, one after its chunks.
+    """
+    def over(df: DataFrame, part: list[str], order: list[str]) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(*order)
+        earlier, later = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+        return df.withColumns({k: fold(k).over(later if k == "__first" else earlier) for k, fold in folds.items()})
+
+    chunks = summary.withColumn("__span", F.floor(F.col("__chunk") / F.lit(SPAN_CHUNKS)))
+    spans = chunks.groupBy(*keys, "__span").agg(*[fold(k).alias(k) for k, fold in folds.items()])
+    edges = over(spans, keys, ["__span"]).withColumn("__edge", F.explode(F.array(*[F.lit(e) for e in ((0, 2) if "__first" in folds else (0,))])))
+    both = chunks.withColumn("__edge", F.lit(1)).unionByName(edges, allowMissingColumns=True)
+    return over(both, [*keys, "__span"], ["__edge", "__chunk"]).where("__edge = 1").drop("__edge", "__span")
+
+
 def scan_in_order(df: DataFrame, keys: list[str], order: list[str], chunk: Column, *, row_number: str | None = None,
                   sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None,
                   fill: dict[str, Column] | None = None, fill_before: dict[str, Column] | None = None,
@@ -57,17 +79,16 @@ def scan_in_order(df: DataFrame, keys: list[str], order: list[str], chunk: Colum
         aggs.append(F.min(F.struct(*at, *[f"__h_{k}" for k in lead])).alias("__first"))
     summary = rows.groupBy(*keys, "__chunk").agg(*aggs)
 
-    by_key = Window.partitionBy(*keys).orderBy("__chunk")
-    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum("__n").over(earlier).alias("__n")]
-    carried += [F.sum(f"__s_{k}").over(earlier).alias(f"__s_{k}") for k in sums]
-    carried += [F.max(f"__m_{k}").over(earlier).alias(f"__m_{k}") for k in maxes]
-    carried += [F.max(f"__f_{k}").over(earlier)["__v"].alias(f"__f_{k}") for k in fills]
-    carried += [F.lag("__last").over(by_key)[f"__g_{k}"].alias(f"__g_{k}") for k in lag]
-    carried += [F.lead("__first").over(by_key)[f"__h_{k}"].alias(f"__h_{k}") for k in lead]
+    folds = {"__n": F.sum, **{f"__s_{k}": F.sum for k in sums}, **{f"__m_{k}": F.max for k in maxes}, **{f"__f_{k}": F.max for k in fills},
+             **({"__last": F.max} if lag else {}), **({"__first": F.min} if lead else {})}
+    outside = _outside(summary, keys, folds)
+    carried = [F.col(k) for k in folds if k[:4] != "__f_" and k not in ("__last", "__first")]
+    carried += [F.col(f"__f_{k}")["__v"].alias(f"__f_{k}") for k in fills]
+    carried += [F.col("__last")[f"__g_{k}"].alias(f"__g_{k}") for k in lag]
+    carried += [F.col("__first")[f"__h_{k}"].alias(f"__h_{k}") for k in lead]
     # What other chunks contribute joins a chunk as rows of its own, one before its first row and, for ``lead``, one
     # after its last. The window then needs no join: one shuffle and one sort of the rows.
-    carry = summary.select(*keys, "__chunk", *carried)
+    carry = outside.select(*keys, "__chunk", *carried)
     carry = carry.withColumn("__flag", F.explode(F.array(F.lit(0), F.lit(2)))) if lead else carry.withColumn("__flag", F.lit(0))
     both = rows.unionByName(carry, allowMissingColumns=True)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayer.operators.bars import chunks_by_count
 from assayer.operators.ordered import CHUNK_ROWS, chunk_of, drop_halo, halo_window, scan_in_order, with_halo
 from assayer.operators.quantiles import percentiles
 from assayer.operators.spacing import spaced
@@ -47,11 +48,12 @@ def rest_fraction(df: DataFrame, key: str, pos: str, v: str, min_len: int, level
     return out.select(key, "n", "rest", "rest_runs", "rest_fraction", F.when(c("rest_fraction") < floor, "FLAG").otherwise("PASS").alias("verdict"))
 
 
-def merge_events(hits: DataFrame, keys: list[str], t: str, gap: float, chunk: Column, min_hits: int = 3) -> DataFrame:
+def merge_events(hits: DataFrame, keys: list[str], t: str, gap: float, min_hits: int = 3) -> DataFrame:
     """Hits of a key closer than ``gap`` to their predecessor are one event; events need ``min_hits`` hits."""
-    prev = scan_in_order(hits.select(*keys, t), keys, [t], chunk, lag={"__prev": c(t)})
+    parted = chunks_by_count(hits.select(*keys, t), keys, t)
+    prev = scan_in_order(parted, keys, [t], c("__part"), lag={"__prev": c(t)})
     starts = c("__prev").isNull() | (c(t) - c("__prev") >= gap)
-    numbered = scan_in_order(prev, keys, [t], chunk, sums={"__event": starts.cast("bigint")})
+    numbered = scan_in_order(prev, keys, [t], c("__part"), sums={"__event": starts.cast("bigint")})
     g = numbered.groupBy(*keys, "__event").agg(F.min(t).alias("first"), F.max(t).alias("last"), F.count(F.lit(1)).alias("hits"))
     return g.where(c("hits") >= min_hits).drop("__event")
 
@@ -289,9 +291,10 @@ def resample_mean(df: DataFrame, key: str, t: str, v: str, hz: float) -> DataFra
     return df.groupBy(key, F.floor(c(t) * hz).cast("bigint").alias("bin")).agg(F.avg(v).alias("v"), F.count(F.lit(1)).alias("samples"))
 
 
-def resample_linear(df: DataFrame, key: str, t: str, v: str, hz: float, chunk: Column) -> DataFrame:
+def resample_linear(df: DataFrame, key: str, t: str, v: str, hz: float) -> DataFrame:
     """Linear interpolation on the grid k / hz. Each pair of neighbouring samples emits the grid points between them."""
-    seg = scan_in_order(df.select(key, t, v), [key], [t], chunk, lead={"__t1": c(t), "__v1": c(v)}).where(c("__t1") > c(t))
+    parted = chunks_by_count(df.select(key, t, v), [key], t)
+    seg = scan_in_order(parted, [key], [t], c("__part"), lead={"__t1": c(t), "__v1": c(v)}).where(c("__t1") > c(t))
     first, last = F.ceil(c(t) * hz).cast("bigint"), (F.ceil(c("__t1") * hz) - 1).cast("bigint")
     grid = seg.where(last >= first).withColumn("bin", F.explode(F.sequence(first, last)))
     part = (c("bin") / F.lit(hz) - c(t)) / (c("__t1") - c(t))

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.operators import intervals, ordered, quantiles, series, spacing
+from assayer.operators import bars, intervals, ordered, quantiles, series, spacing
 
 
 def table(spark, seed=1, n=400, keys=3):
@@ -68,14 +68,48 @@ def test_percentiles_equal_numpy(spark):
     rows = [(int(k), float(x)) for k in range(4) for x in np.concatenate([r.normal(size=50 * k + 1), r.integers(0, 3, 40), [1e6]])]
     rows += [(0, float("nan")), (1, None)]
     df = spark.createDataFrame(rows, "k INT, v DOUBLE")
-    for bars in (2, 2048):
-        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5, "p95": 0.95}, bars).collect()}
+    for steps in (1, 8):
+        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5, "p95": 0.95}, steps).collect()}
         for k in range(4):
             v = [b for a, b in rows if a == k and b is not None and b == b]
             assert got[k]["n"] == len(v)
             assert np.allclose([got[k]["p5"], got[k]["p50"], got[k]["p95"]], np.percentile(v, [5, 50, 95]))
 
 
+def test_percentiles_follow_ranks_with_outliers_infinities_and_constants(spark):
+    r = np.random.default_rng(8)
+    cases = {"outlier": [*r.random(3000), 1e12], "infinite": [float("-inf"), *r.random(400), float("inf"), float("inf")], "constant": [2.5] * 70, "one": [7.0]}
+    df = spark.createDataFrame([(k, float(x)) for k, v in cases.items() for x in v], "k STRING, v DOUBLE")
+    for steps in (2, 8):
+        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5}, steps).collect()}
+        for k, v in cases.items():
+            assert got[k]["n"] == len(v)
+            assert np.allclose([got[k]["p5"], got[k]["p50"]], np.percentile(v, [5, 50])), k
+
+
+def test_bars_hold_equal_shares_despite_an_outlier(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("k"), F.when(F.col("id") == 0, 1e12).otherwise(F.rand(3)).alias("v"))
+    df = spark.createDataFrame(df.toPandas())
+    sizes = [r["count"] for r in bars.in_bars(df.join(bars.borders(df, ["k"], "v", 4), "k"), "v", "bar", 4).groupBy("bar").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+
+
+def test_chunks_follow_the_row_counts_of_one_crowded_day(spark):
+    rows = [("hot", 1_700_000_000.0 + i / 100) for i in range(20_000)] + [("hot", float(d * 86_400)) for d in range(40)] + [("cold", 5.0), (None, 1.0), (None, None)]
+    df = spark.createDataFrame(rows, "run STRING, t DOUBLE")
+    parted = bars.chunks_by_count(df, ["run"], "t", rows=100, steps=4)
+    sizes = {(r["run"], r["__part"]): r["count"] for r in parted.groupBy("run", "__part").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert sum(sizes.values()) == len(rows) and len(hot) > 150 and max(hot) < 4 * 20_040 / len(hot)
+    spread = parted.where("run = 'hot'").groupBy("__part").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("__part").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(spread, spread[1:], strict=False))
+    got = ordered.scan_in_order(parted, ["run"], ["t"], F.col("__part"), row_number="rn", lag={"p": F.col("t")}, lead={"n": F.col("t")})
+    hot = got.where("run = 'hot'").orderBy("rn").collect()
+    times = sorted(t for k, t in rows if k == "hot")
+    assert [r["t"] for r in hot] == times and [r["rn"] for r in hot] == list(range(1, len(times) + 1))
+    assert [r["p"] for r in hot] == [None, *times[:-1]] and [r["n"] for r in hot] == [*times[1:], None]
+
+
 def test_percentiles_of_everything_and_lower_median(spark):
     df = spark.createDataFrame([(float(x),) for x in (4, 1, 3, 2)], "v DOUBLE")
     assert quantiles.percentiles(df, [], "v", {"m": 0.5}).first()["m"] == 2.5
@@ -149,5 +183,5 @@ def test_nearest_sample_prefers_the_earlier_on_a_tie(spark):
 
 def test_linear_resample(spark):
     df = spark.createDataFrame([("s", 0.0, 0.0), ("s", 2.0, 20.0), ("s", 2.5, 0.0)], "series STRING, t DOUBLE, v DOUBLE")
-    got = {r["bin"]: r["v"] for r in series.resample_linear(df, "series", "t", "v", 2.0, F.floor("t").cast("bigint")).collect()}
+    got = {r["bin"]: r["v"] for r in series.resample_linear(df, "series", "t", "v", 2.0).collect()}
     assert got == {0: 0.0, 1: 5.0, 2: 10.0, 3: 15.0, 4: 20.0}
