@@ -6,7 +6,9 @@ and whatever builds on bars is exact. Borders are settled before use: two readin
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.session import settle
@@ -16,10 +18,10 @@ ACCURACY = 2048
 
 
 def borders(df: DataFrame, keys: list[str], value: str, steps: int = STEPS) -> DataFrame:
-    """(keys, __rows, __borders): 2^steps - 1 ascending borders per group; map-side combined, one small row a group."""
+    """(keys, __borders): 2^steps - 1 ascending borders per group; map-side combined, one small row a group."""
     bars = 2 ** steps
     at = [i / bars for i in range(1, bars)]
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.percentile_approx(value, at, ACCURACY).alias("__borders"))
+    return df.groupBy(*keys).agg(F.percentile_approx(value, at, ACCURACY).alias("__borders"))
 
 
 def in_bars(df: DataFrame, value: str, name: str, steps: int = STEPS) -> DataFrame:
@@ -34,19 +36,26 @@ def in_bars(df: DataFrame, value: str, name: str, steps: int = STEPS) -> DataFra
 def chunks_by_count(df: DataFrame, keys: list[str], order: str, name: str = "__part", rows: int = 65_536, steps: int = STEPS) -> DataFrame:
     """Add ``name``: a chunk number per key, non-decreasing in ``order``, with chunk borders taken from the row counts.
 
-    A key of at most ``rows`` rows stays one chunk. A larger one is cut into 2^steps chunks, and each of those that is still
-    larger into 2^steps again, so a chunk of the hottest key holds about one row in 4^steps. ``order`` is a number or a
-    time; rows that are equal in it stay together, NULLs come first.
+    Keys are counted, and one of more than ``rows`` rows is cut into 2^steps chunks; chunks still above that are cut once
+    more, so a chunk of the hottest key holds about one row in 4^steps. Only crowded keys are sketched, and a level at
+    which nothing is crowded costs its count alone. ``order`` is a number or a time; rows that are equal in it stay
+    together, NULLs come first.
     """
-    at = df.withColumn("__x", F.col(order).cast("double")).withColumn("__high", F.lit(0))
-    levels = []
-    for level, column in enumerate(("__high", "__low")):
-        by = [*keys, *levels]
-        cut = settle(borders(at, by, "__x", steps).where((F.col("__rows") > rows) & F.col("__borders").isNotNull()).drop("__rows"), f"chunks-{level}")
-        cut = cut.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(by)], "__borders")
-        on = F.lit(True)
-        for i, k in enumerate(by):
-            on = on & at[k].eqNullSafe(cut[f"__k{i}"])
-        at = in_bars(at.join(cut, on, "left"), "__x", column, steps).drop("__borders", *[f"__k{i}" for i in range(len(by))])
-        levels.append(column)
+    at = df.withColumn("__x", F.col(order).cast("double")).withColumn("__high", F.lit(0)).withColumn("__low", F.lit(0))
+    by = [*keys]
+    for column in ("__high", "__low"):
+        marks = [f"__k{i}" for i in range(len(by))]
+        renamed = [F.col(k).alias(m) for k, m in zip(by, marks, strict=True)]
+
+        def meets(small: DataFrame, frame: DataFrame = at, pairs: tuple = tuple(zip(by, marks, strict=True))) -> Column:
+            """Equality of the keys in which NULL meets NULL."""
+            return reduce(lambda a, b: a & b, [frame[k].eqNullSafe(small[m]) for k, m in pairs])
+
+        # Settled, so that its true size is known when Spark chooses how to join the rows with it.
+        crowded = settle(at.groupBy(*by).agg(F.count("__x").alias("__rows")).where(F.col("__rows") > rows).select(*renamed), "crowded")
+        if crowded.isEmpty():
+            break
+        cut = settle(borders(at.join(crowded, meets(crowded), "left_semi"), by, "__x", steps).select(*renamed, "__borders"), "borders")
+        at = in_bars(at.drop(column).join(cut, meets(cut), "left"), "__x", column, steps).drop("__borders", *marks)
+        by = [*by, column]
     return at.withColumn(name, (F.col("__high") * F.lit(2 ** steps) + F.col("__low")).cast("bigint")).drop("__x", "__high", "__low")

@@ -1,54 +1,45 @@
 """Exact percentiles and order statistics per group without collecting a group.
 
 ``percentile()`` keeps every distinct value of a group in one aggregation buffer. Here the values are counted once and the
-counts settled. Bars of equal numbers of distinct values say which bar holds the wanted rank; only that bar is cut into
-bars again, and only the bar found then is ordered. The result is the exact order statistic, whatever the distribution.
+counts settled. A group of many distinct values is cut into bars of equal counts; the bar that holds the wanted rank is the
+only one that is ordered. The result is the exact order statistic, whatever the distribution.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.operators.bars import STEPS, borders, in_bars
+from assayer.operators.bars import STEPS, chunks_by_count
 from assayer.session import settle
 
-LEVELS = 2
+BAR_VALUES = 65_536
 
 
-def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: Column, steps: int = STEPS) -> DataFrame:
+def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: Column, values: int = BAR_VALUES, steps: int = STEPS) -> DataFrame:
     """(keys, n, pos, v): the ``pos``-th smallest value (0-based) for each position in ``ranks``.
 
     ``ranks`` is an array expression over the group size ``n``. NULL and NaN are no readings and are left out; an infinity
-    is a value. The input is read once. What one task orders is one bar of one bar: about one distinct value in 4^steps.
+    is a value. The input is read once. A task orders one bar: up to ``values`` distinct values, or one in 4^steps of them.
     """
     v = F.col(value).cast("double")
     base = df.select(*keys, v.alias("__v")).where(v.isNotNull() & ~F.isnan(v))
     if not keys:
         base, keys = base.withColumn("__all", F.lit(1)), ["__all"]
     counts = settle(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")), "counts")
-    sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("n"))
-    start = sizes.withColumn("__pos", F.array_distinct(ranks)).withColumn("__base", F.lit(0).cast("bigint"))
-    rows, by = counts, [*keys]
-    for level in range(LEVELS):
-        # Borders and what is wanted are one small row a group; they reach the counts in one join.
-        cut = borders(rows, by, "__v", steps).drop("__rows").join(start, by)
-        cut = settle(cut, f"borders-{level}")
-        placed = in_bars(rows.join(cut, by), "__v", f"__bar{level}", steps).drop("__borders")
-        hist = placed.groupBy(*by, f"__bar{level}").agg(F.sum("__c").alias("__h"), F.max("n").alias("n"), F.max("__pos").alias("__pos"),
-                                                        F.max("__base").alias("__base"))
-        so_far = Window.partitionBy(*by).orderBy(f"__bar{level}").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("__base", F.col("__base") + F.coalesce(F.sum("__h").over(so_far), F.lit(0)))
-        here = F.filter("__pos", lambda p: (p >= F.col("__base")) & (p < F.col("__base") + F.col("__h")))
-        by = [*by, f"__bar{level}"]
-        start = hist.withColumn("__pos", here).where(F.size("__pos") > 0).select(*by, "n", "__pos", "__base")
-        rows = placed.drop("n", "__pos", "__base").join(start.select(*by), by, "left_semi")
-    inside = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = rows.join(start, by).withColumn("__cum", F.col("__base") + F.sum("__c").over(inside))
-    at = F.filter("__pos", lambda p: (p >= F.col("__cum") - F.col("__c")) & (p < F.col("__cum")))
-    return cum.select(*keys, "n", F.explode(at).alias("pos"), F.col("__v").alias("v"))
-
-
-def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], steps: int = STEPS) -> DataFrame:
+    placed = chunks_by_count(counts, keys, "__v", "__bar", values, steps)
+    by_bar = Window.partitionBy(*keys).orderBy("__bar").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    hist = placed.groupBy(*keys, "__bar").agg(F.sum("__c").alias("__h"))
+    hist = hist.withColumns({"__before": F.coalesce(F.sum("__h").over(by_bar), F.lit(0)), "n": F.sum("__h").over(whole)})
+    wanted = F.filter(F.array_distinct(ranks), lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__h")))
+    hits = hist.withColumn("__pos", wanted).where(F.size("__pos") > 0).drop("__h")
+    inside = Window.partitionBy(*keys, "__bar").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = placed.join(hits, [*keys, "__bar"]).withColumn("__cum", F.col("__before") + F.sum("__c").over(inside))
+    here = F.filter("__pos", lambda p: (p >= F.col("__cum") - F.col("__c")) & (p < F.col("__cum")))
+    return cum.select(*keys, "n", F.explode(here).alias("pos"), F.col("__v").alias("v"))
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], values: int = BAR_VALUES, steps: int = STEPS) -> DataFrame:
     """One row per group: ``n`` and one column per name in ``probs``, linearly interpolated between neighbours."""
     n = F.col("n")
 
@@ -60,7 +51,7 @@ def percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, flo
 
     ranks = F.array(*[f(p) for p in probs.values() for f in (low, high)])
     grouped = [*keys] if keys else ["__all"]
-    stats = order_statistics(df, keys, value, ranks, steps)
+    stats = order_statistics(df, keys, value, ranks, values, steps)
     picks = []
     for name, p in probs.items():
         picks += [F.max(F.when(F.col("pos") == low(p), F.col("v"))).alias(f"__a_{name}"),

@@ -68,8 +68,8 @@ def test_percentiles_equal_numpy(spark):
     rows = [(int(k), float(x)) for k in range(4) for x in np.concatenate([r.normal(size=50 * k + 1), r.integers(0, 3, 40), [1e6]])]
     rows += [(0, float("nan")), (1, None)]
     df = spark.createDataFrame(rows, "k INT, v DOUBLE")
-    for steps in (1, 8):
-        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5, "p95": 0.95}, steps).collect()}
+    for limit, steps in ((3, 1), (65_536, 8)):
+        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5, "p95": 0.95}, limit, steps).collect()}
         for k in range(4):
             v = [b for a, b in rows if a == k and b is not None and b == b]
             assert got[k]["n"] == len(v)
@@ -80,8 +80,8 @@ def test_percentiles_follow_ranks_with_outliers_infinities_and_constants(spark):
     r = np.random.default_rng(8)
     cases = {"outlier": [*r.random(3000), 1e12], "infinite": [float("-inf"), *r.random(400), float("inf"), float("inf")], "constant": [2.5] * 70, "one": [7.0]}
     df = spark.createDataFrame([(k, float(x)) for k, v in cases.items() for x in v], "k STRING, v DOUBLE")
-    for steps in (2, 8):
-        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5}, steps).collect()}
+    for limit, steps in ((1, 2), (1, 8), (65_536, 8)):
+        got = {x["k"]: x for x in quantiles.percentiles(df, ["k"], "v", {"p5": 0.05, "p50": 0.5}, limit, steps).collect()}
         for k, v in cases.items():
             assert got[k]["n"] == len(v)
             assert np.allclose([got[k]["p5"], got[k]["p50"]], np.percentile(v, [5, 50])), k
