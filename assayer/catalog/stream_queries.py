@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from assayer.catalog.base import Tables, query
 from assayer.operators import ledger as L
-from assayer.session import shared_dir
+from assayer.session import settle, shared_dir
 from assayer.streaming import jobs as J
 
 c = F.col
@@ -18,11 +18,22 @@ def events_stream(t: Tables):
     return J.stream_ledger(t.spark, t.sf_dir, schema, glob="events.parquet").withColumn("ts", c("ts").cast("timestamp"))
 
 
-def ledger_files(t: Tables, files: int = 4) -> str:
-    """The run ledger written as ``files`` Parquet files in time order, one folder listing per batch."""
-    path = shared_dir(t.spark, "ledger")
-    t.ledger.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.parquet(path)
-    return path
+BATCHES = 3
+#: Batch of an event: its third of the time span; every tenth event arrives one batch late.
+PARTED = f"""w AS (SELECT e.*, least({BATCHES - 1}, ((epoch_us(ts) - lo) * {BATCHES}) // (hi - lo + 1) + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END) AS b
+  FROM events e, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events) x)"""
+
+
+def third(rows, ts="ts"):
+    """Adds ``b``, the third of the time span that a row lies in."""
+    span_ = rows.agg(F.struct(F.min(us(ts)).alias("lo"), F.max(us(ts)).alias("hi"))).scalar()
+    x = rows.withColumn("x", span_)
+    return x.withColumn("b", F.expr(f"(unix_micros({ts}) - x.lo) * {BATCHES} div (x.hi - x.lo + 1)")).drop("x")
+
+
+def parted_events(t: Tables):
+    late = F.when(c("event_id") % 10 == 3, 1).otherwise(0)
+    return third(t.events).withColumn("b", F.least(F.lit(BATCHES - 1), c("b") + late))
 
 
 def us(col):
@@ -59,50 +70,54 @@ def stream_sessions(t):
     return d.select("user_id", us("start").alias("start_us"), "n")
 
 
-@query("stream_request_landing", "X5", f"""
-  WITH r AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'), l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+@query("stream_request_landing", "X5", """
+  WITH r AS (SELECT id, run, k, ts FROM fx_ledger WHERE kind = 'request'), l AS (SELECT id, run, k, ts FROM fx_ledger WHERE kind = 'landing'),
   wm AS (SELECT least((SELECT max(ts) FROM r), (SELECT max(ts) FROM l)) - INTERVAL 1 HOUR AS w)
-  SELECT r.event_id AS request, l.event_id AS landing FROM r JOIN l ON l.user_id = r.user_id AND l.ts BETWEEN r.ts AND r.ts + INTERVAL 12 HOUR
-  UNION ALL SELECT r.event_id, NULL FROM r, wm WHERE r.ts + INTERVAL 12 HOUR < w AND NOT EXISTS (SELECT 1 FROM l WHERE l.user_id = r.user_id AND l.ts BETWEEN r.ts AND r.ts + INTERVAL 12 HOUR)""")
+  SELECT r.id AS request, l.id AS landing FROM r JOIN l ON l.run = r.run AND l.k = r.k AND l.ts BETWEEN r.ts AND r.ts + INTERVAL 120 HOUR
+  UNION ALL SELECT r.id, NULL FROM r, wm WHERE r.ts + INTERVAL 120 HOUR < w AND NOT EXISTS (SELECT 1 FROM l WHERE l.run = r.run AND l.k = r.k AND l.ts BETWEEN r.ts AND r.ts + INTERVAL 120 HOUR)""")
 def stream_request_landing(t):
-    r = events_stream(t).where("event_type = 'click'").select(c("event_id").alias("request"), "user_id", c("ts").alias("rts"))
-    l = events_stream(t).where("event_type = 'purchase'").select(c("event_id").alias("landing"), "user_id", c("ts").alias("lts"))
-    d = J.request_landing_join(r, l, "user_id", "rts", "lts", "12 HOURS").select("request", "landing")
+    e = events_stream(t).select("event_id", "event_type", "ts", c("user_id").alias("run"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    r = e.where("event_type = 'click'").select(c("event_id").alias("request"), "run", "k", c("ts").alias("rts"))
+    l = e.where("event_type = 'purchase'").select(c("event_id").alias("landing"), "run", "k", c("ts").alias("lts"))
+    d = J.request_landing_join(r, l, ["run", "k"], "rts", "lts", "120 HOURS").select("request", "landing")
     return J.run_available(d, "landings").select("request", "landing")
 
 
 @query("stream_transitions", "X6", """
   SELECT run, seq, src, dst FROM fx_moves m WHERE NOT EXISTS (SELECT 1 FROM fx_edges e WHERE e.src = m.src AND e.dst = m.dst)""")
 def stream_transitions(t):
-    path = ledger_files(t, 1)
-    s = J.stream_ledger(t.spark, path, t.ledger.schema)
-    return J.run_available(J.transition_monitor(s, L.edges(t.spark)), "transitions").select("run", "seq", "src", "dst")
+    out, check = shared_dir(t.spark, "transitions"), shared_dir(t.spark, "transitions-checkpoint")
+    J.run_batches(third(settle(t.ledger, "ledger")), "b", BATCHES,
+                  lambda s: J.run_to_folder(J.transition_monitor(s, L.edges(t.spark)), out, check), "ledger-files")
+    return t.spark.read.parquet(out).select("run", "seq", "src", "dst")
 
 
-@query("stream_budget", "X7", """
-  WITH r AS (SELECT run, seq, CASE WHEN k <> 13 THEN cents END AS cents, sum(CASE WHEN k <> 13 THEN cents END) OVER (PARTITION BY run ORDER BY seq) AS spent FROM fx_ledger WHERE kind = 'request'),
-  b AS (SELECT run, min(seq) AS breach FROM r WHERE cents IS NULL OR spent > 30000 GROUP BY run)
-  SELECT run, seq, CASE WHEN breach IS NULL OR seq < breach THEN 'sent' WHEN seq = breach THEN 'refused' ELSE 'not sent' END AS state FROM r LEFT JOIN b USING (run)""")
+@query("stream_budget", "X7", f"""
+  WITH r AS (SELECT run, seq, ts, CASE WHEN k <> 13 THEN cents END AS cents, sum(CASE WHEN k <> 13 THEN cents END) OVER (PARTITION BY run ORDER BY seq) AS spent FROM fx_ledger WHERE kind = 'request'),
+  b AS (SELECT run, min(seq) AS breach FROM r WHERE cents IS NULL OR spent > 30000 GROUP BY run), x AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM r)
+  SELECT run, seq, ((epoch_us(ts) - lo) * {BATCHES}) // (hi - lo + 1) AS batch,
+    CASE WHEN breach IS NULL OR seq < breach THEN 'sent' WHEN seq = breach THEN 'refused' ELSE 'not sent' END AS state FROM r LEFT JOIN b USING (run), x""")
 def stream_budget(t):
-    path, out = shared_dir(t.spark, "ledger"), shared_dir(t.spark, "budget")
-    rows = t.ledger.where("kind = 'request'").selectExpr("run", "seq", "ts", "IF(k <> 13, cents, NULL) AS cents")
-    rows.coalesce(1).sortWithinPartitions("ts").write.parquet(path)
-    s = J.stream_ledger(t.spark, path, rows.schema)
-    J.run_function(s, J.budget_guard(out, 30000), shared_dir(t.spark, "budget-checkpoint"))
-    return t.spark.read.parquet(f"{out}/decisions").select("run", "seq", "state")
+    out, check = shared_dir(t.spark, "budget"), shared_dir(t.spark, "budget-checkpoint")
+    rows = settle(t.ledger.where("kind = 'request'").selectExpr("run", "seq", "ts", "IF(k <> 13, cents, NULL) AS cents"), "requests")
+    J.run_batches(third(rows), "b", BATCHES, lambda s: J.start_function(s, J.budget_guard(out, 30000), check), "request-files")
+    return t.spark.read.parquet(f"{out}/decisions").select("run", "seq", c("batch").cast("bigint").alias("batch"), "state")
 
 
-@query("stream_append", "X8", "SELECT DISTINCT user_id AS id FROM events")
+@query("stream_append", "X8", f"WITH {PARTED} SELECT user_id AS id, min(b) AS batch FROM w GROUP BY user_id")
 def stream_append(t):
-    target = shared_dir(t.spark, "append")
-    s = events_stream(t).select(c("user_id").alias("id"), "event_type")
-    J.run_function(s, J.append_sink(target, "id"), shared_dir(t.spark, "append-checkpoint"))
-    return t.spark.read.parquet(target).select("id")
+    out, check = shared_dir(t.spark, "append"), shared_dir(t.spark, "append-checkpoint")
+    rows = parted_events(t).select(c("user_id").alias("id"), "b")
+    J.run_batches(rows, "b", BATCHES, lambda s: J.run_to_folder(J.append_once(s.select("id"), "id"), out, check), "append-files")
+    return t.spark.read.parquet(out).select("id", c("batch").cast("bigint").alias("batch"))
 
 
-@query("stream_late_rows", "X9", "SELECT event_id, false AS late FROM events")
+@query("stream_late_rows", "X9", f"""
+  WITH {PARTED}, m AS (SELECT b, max(ts) AS newest FROM w GROUP BY b)
+  SELECT event_id, b AS batch, coalesce(ts < (SELECT max(newest) FROM m WHERE m.b < w.b) - INTERVAL 1 HOUR, false) AS late FROM w""")
 def stream_late_rows(t):
-    out = shared_dir(t.spark, "late")
-    J.run_function(events_stream(t).select("event_id", "ts"), J.late_rows(out, "ts", 3600), shared_dir(t.spark, "late-checkpoint"))
+    out, check = shared_dir(t.spark, "late"), shared_dir(t.spark, "late-checkpoint")
+    J.run_batches(parted_events(t).select("event_id", "ts", "b"), "b", BATCHES, lambda s: J.start_function(s, J.late_rows(out, "ts", 3600), check), "late-files")
     live, late = t.spark.read.parquet(f"{out}/live"), t.spark.read.parquet(f"{out}/late")
-    return live.select("event_id", F.lit(False).alias("late")).unionByName(late.select("event_id", F.lit(True).alias("late")))
+    rows = live.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return rows.select("event_id", c("batch").cast("bigint").alias("batch"), "late")

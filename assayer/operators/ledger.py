@@ -185,12 +185,17 @@ def out_of_order_gates(ledger: DataFrame, by: str, early: Column, late: Column,
 def running_spend(requests: DataFrame, budget_cents: int, chunk: Column | None = None) -> DataFrame:
     """Cumulative cents per run and what happens to each request: sent, refused (the first past the budget or
     without a price) or not sent (everything after it). Spending the budget exactly is allowed."""
-    run = scan_in_order(requests, ["run"], ["seq"], chunk_of("seq") if chunk is None else chunk, sums={"spent": F.col("cents")})
-    bad = F.col("cents").isNull() | (F.col("spent") > budget_cents)
-    first = run.where(bad).groupBy("run").agg(F.min("seq").alias("breach"))
-    state = (F.when(F.col("breach").isNull() | (F.col("seq") < F.col("breach")), "sent")
-             .when(F.col("seq") == F.col("breach"), "refused").otherwise("not sent"))
-    return run.join(first, "run", "left").withColumn("state", state)
+    at = chunk_of("seq") if chunk is None else chunk
+    run = scan_in_order(requests, ["run"], ["seq"], at, sums={"spent": F.col("cents")})
+    return spend_states(run.withColumn("bad", F.col("cents").isNull() | (F.col("spent") > budget_cents)), at)
+
+
+def spend_states(requests: DataFrame, chunk: Column) -> DataFrame:
+    """Adds ``state`` from ``bad``: what precedes the first bad request of a run is sent, that one is refused, the rest not
+    sent. Bad requests are counted in a second ordered scan, so no row of a hot run meets a join."""
+    run = scan_in_order(requests, ["run"], ["seq"], chunk, sums={"__bads": F.col("bad").cast("bigint")})
+    state = F.when(F.col("__bads") == 0, "sent").when(F.col("bad") & (F.col("__bads") == 1), "refused").otherwise("not sent")
+    return run.withColumn("state", state).drop("__bads", "bad")
 
 
 def spend_summary(requests: DataFrame, budget_cents: int, chunk: Column | None = None) -> DataFrame:

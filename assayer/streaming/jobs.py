@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from assayer.operators.ledger import running_spend
+from assayer.operators.ledger import spend_states
+from assayer.operators.ordered import chunk_of, scan_in_order
 from assayer.session import shared_dir
 
 
@@ -43,11 +44,15 @@ def session_events(stream: DataFrame, ts: str, by: list[str], gap: str, delay: s
     return g.agg(F.count(F.lit(1)).alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "n")
 
 
-def request_landing_join(requests: DataFrame, landings: DataFrame, key: str, request_ts: str, landing_ts: str, timeout: str, delay: str = "1 hour") -> DataFrame:
-    """Requests with their landings within ``timeout``; one that never landed comes out with NULLs once it cannot any more."""
+def request_landing_join(requests: DataFrame, landings: DataFrame, keys: list[str], request_ts: str, landing_ts: str, timeout: str, delay: str = "1 hour") -> DataFrame:
+    """Requests with their landings within ``timeout``; one that never landed comes out with NULLs once it cannot any more.
+
+    ``keys`` identify a request, so its state holds its own landings and not those of its whole run.
+    """
     r, l = requests.withWatermark(request_ts, delay).alias("r"), landings.withWatermark(landing_ts, delay).alias("l")
-    on = (F.col(f"r.{key}") == F.col(f"l.{key}")) & (F.col(f"l.{landing_ts}") >= F.col(f"r.{request_ts}")) & (
-        F.col(f"l.{landing_ts}") <= F.col(f"r.{request_ts}") + F.expr(f"INTERVAL {timeout}"))
+    on = (F.col(f"l.{landing_ts}") >= F.col(f"r.{request_ts}")) & (F.col(f"l.{landing_ts}") <= F.col(f"r.{request_ts}") + F.expr(f"INTERVAL {timeout}"))
+    for key in keys:
+        on = on & (F.col(f"r.{key}") == F.col(f"l.{key}"))
     return r.join(l, on, "left_outer")
 
 
@@ -80,6 +85,15 @@ def run_to_folder(stream: DataFrame, out: str, checkpoint: str, mode: str = "app
             .trigger(availableNow=True).foreachBatch(write).start())
 
 
+def run_batches(rows: DataFrame, batch: str, batches: int, start: Callable[[DataFrame], StreamingQuery], purpose: str) -> None:
+    """Feed ``rows`` to a job batch by batch: the rows of one number of ``batch`` are added to the stream's folder, then
+    ``start(stream)`` runs over what is new. With one checkpoint over all calls this is a stream with known batch borders."""
+    spark, source = rows.sparkSession, shared_dir(rows.sparkSession, purpose)
+    for b in range(batches):
+        rows.where(F.col(batch) == b).write.mode("append").parquet(source)
+        start(stream_ledger(spark, source, rows.schema)).awaitTermination()
+
+
 def run_available(stream: DataFrame, name: str, mode: str = "append", transform: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """Run a job over what is there now and return what it wrote, with the batch number."""
     spark = stream.sparkSession
@@ -88,18 +102,13 @@ def run_available(stream: DataFrame, name: str, mode: str = "append", transform:
     return spark.read.parquet(out)
 
 
-def append_sink(target: str, key: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending ids the target does not hold yet. A batch owns its folder, so repeating it
-    changes nothing; ids inside the batch that occur twice are written once."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        fresh = df.dropDuplicates([key])
-        if batch_id > 0:
-            earlier = spark.read.schema(f"{key} {df.schema[key].dataType.simpleString()}, batch BIGINT").parquet(target).where(F.col("batch") < batch_id)
-            fresh = fresh.join(earlier.select(key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(batch_path(target, batch_id))
+def append_once(stream: DataFrame, key: str) -> DataFrame:
+    """Each value of ``key`` once over the stream's whole life.
 
-    return write
+    What was appended before is known to the state store, partitioned by key, so a batch reads nothing of the target.
+    Where repeats can only come within a delay, ``dedupe_by_id`` lets the state be forgotten. A NULL key is a value.
+    """
+    return stream.dropDuplicates([key])
 
 
 def late_rows(out: str, ts: str, delay_seconds: int) -> Callable[[DataFrame, int], None]:
@@ -122,37 +131,47 @@ def late_rows(out: str, ts: str, delay_seconds: int) -> Callable[[DataFrame, int
     return write
 
 
+COMPACT_EVERY = 16
+
+
+def state_paths(out: str, batch_id: int) -> list[str]:
+    """Folders that hold the state before ``batch_id``: the newest compacted one and the changes since."""
+    return [batch_path(out, b) for b in range((batch_id - 1) // COMPACT_EVERY * COMPACT_EVERY, batch_id)] if batch_id else []
+
+
 def budget_guard(out: str, budget_cents: int, chunk: Column | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function deciding each request: sent, refused or not sent.
 
-    The carry between batches is one row per run (cents so far, whether it broke its budget) in ``out/state``; within a
-    batch the running sum is chunked, so a run that fills a batch is not summed in one task. A ledger is appended in
-    order, so a batch's rows follow those of the batches before.
+    The carry between batches is one row per run (cents so far, whether it broke its budget) in ``out/state``. A batch
+    writes the runs it saw; every 16th batch writes all of them, so the state read is bounded by the runs and 15 batches.
+    Within a batch the running sum is chunked, so a run that fills a batch is not summed in one task. A ledger is appended
+    in order, so a batch's rows follow those of the batches before.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        rtype = df.schema["run"].dataType.simpleString()
-        if batch_id > 0:
-            state = spark.read.schema(f"run {rtype}, spent0 BIGINT, broken BOOLEAN").parquet(batch_path(f"{out}/state", batch_id - 1))
-        else:
-            state = spark.createDataFrame([], f"run {rtype}, spent0 BIGINT, broken BOOLEAN")
-        s = running_spend(df.select("run", "seq", "cents"), budget_cents, chunk).drop("breach", "state").join(state, "run", "left")
-        total = F.col("spent") + F.coalesce("spent0", F.lit(0))
-        s = s.withColumn("spent", total).withColumn("bad", F.col("cents").isNull() | (F.col("spent") > budget_cents))
-        first = s.where("bad").groupBy("run").agg(F.min("seq").alias("breach"))
-        was = F.coalesce("broken", F.lit(False))
-        verdict = (F.when(was, "not sent").when(F.col("breach").isNull() | (F.col("seq") < F.col("breach")), "sent")
-                   .when(F.col("seq") == F.col("breach"), "refused").otherwise("not sent"))
-        decided = s.join(first, "run", "left").select("run", "seq", "cents", "spent", verdict.alias("state"))
-        decided.write.mode("overwrite").parquet(batch_path(f"{out}/decisions", batch_id))
-        here = spark.read.parquet(batch_path(f"{out}/decisions", batch_id)).groupBy("run").agg(
-            F.max("spent").alias("spent1"), F.max((F.col("state") != "sent").cast("int")).alias("b"))
-        nxt = state.join(here, "run", "full").select("run", F.coalesce("spent1", "spent0").alias("spent0"),
-                                                     (F.coalesce("broken", F.lit(False)) | (F.coalesce("b", F.lit(0)) == 1)).alias("broken"))
-        nxt.write.mode("overwrite").parquet(batch_path(f"{out}/state", batch_id))
+        form = f"run {df.schema['run'].dataType.simpleString()}, spent0 BIGINT, broken BOOLEAN, at BIGINT"
+        paths = state_paths(f"{out}/state", batch_id)
+        changes = spark.read.schema(form).parquet(*paths) if paths else spark.createDataFrame([], form)
+        state = changes.groupBy("run").agg(F.max_by(F.struct("spent0", "broken"), "at").alias("s")).select("run", "s.*")
+        part = chunk_of("seq") if chunk is None else chunk
+        s = scan_in_order(df.select("run", "seq", "cents"), ["run"], ["seq"], part, sums={"spent": F.col("cents")}).join(state, "run", "left")
+        s = s.withColumn("spent", F.col("spent") + F.coalesce("spent0", F.lit(0)))
+        s = spend_states(s.withColumn("bad", F.col("cents").isNull() | (F.col("spent") > budget_cents)), part)
+        verdict = F.when(F.coalesce("broken", F.lit(False)), "not sent").otherwise(F.col("state"))
+        s.select("run", "seq", "cents", "spent", verdict.alias("state")).write.mode("overwrite").parquet(batch_path(f"{out}/decisions", batch_id))
+        # The state follows from the decisions as written, so the batch is evaluated once.
+        here = spark.read.schema(f"run {df.schema['run'].dataType.simpleString()}, spent BIGINT, state STRING").parquet(
+            batch_path(f"{out}/decisions", batch_id)).groupBy("run").agg(F.max("spent").alias("spent0"), F.max(F.col("state") != "sent").alias("broken"))
+        if batch_id % COMPACT_EVERY == 0:
+            here = here.unionByName(state.join(here.select("run"), "run", "left_anti"))
+        here.withColumn("at", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(batch_path(f"{out}/state", batch_id))
 
     return write
 
 
 def run_function(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start().awaitTermination())
+    start_function(stream, write, checkpoint).awaitTermination()
+
+
+def start_function(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

@@ -203,9 +203,26 @@ def test_stream_functions_over_several_batches(spark, tmp_path):
     for n, rows in enumerate(parts):
         spark.createDataFrame(rows, schema.replace("TIMESTAMP", "STRING")).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(str(src))
         s = jobs.stream_ledger(spark, str(src), schema)
-        for name, fn in (("b", jobs.budget_guard(budget, 200)), ("l", jobs.late_rows(late, "ts", 3600)), ("t", jobs.append_sink(target, "id"))):
+        for name, fn in (("b", jobs.budget_guard(budget, 200)), ("l", jobs.late_rows(late, "ts", 3600))):
             jobs.run_function(s, fn, str(tmp_path / f"check-{name}"))
+        jobs.run_to_folder(jobs.append_once(s.select("id"), "id"), target, str(tmp_path / "check-t")).awaitTermination()
     got = {(r["run"], r["seq"]): r["state"] for r in spark.read.parquet(f"{budget}/decisions").collect()}
     assert got == {("a", 1): "sent", ("b", 1): "refused", ("a", 2): "sent", ("a", 3): "refused", ("a", 4): "not sent"}
     assert sorted(r["seq"] for r in spark.read.parquet(f"{late}/late").collect()) == [2, 4]
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["x", "x2", "y", "z"]
+
+
+def test_state_folders_start_at_the_newest_compaction():
+    assert jobs.state_paths("o", 0) == [] and jobs.state_paths("o", 1) == ["o/batch=0"]
+    assert jobs.state_paths("o", 16) == [f"o/batch={b}" for b in range(16)]
+    assert jobs.state_paths("o", 19) == ["o/batch=16", "o/batch=17", "o/batch=18"]
+
+
+def test_budget_state_survives_a_compaction(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
+    guard = jobs.budget_guard(str(tmp_path), 100)
+    for b, rows in enumerate([[("a", 1, 60), ("b", 1, 10)], [("b", 2, 20)], [("b", 3, 20)], [("a", 2, 40), ("b", 4, 51)], [("a", 3, 1), ("b", 5, 1)]]):
+        guard(spark.createDataFrame(rows, "run STRING, seq BIGINT, cents BIGINT"), b)
+    got = {(r["run"], r["seq"]): r["state"] for r in spark.read.parquet(f"{tmp_path}/decisions").collect()}
+    refused = {k for k, v in got.items() if v != "sent"}
+    assert refused == {("b", 4), ("a", 3), ("b", 5)} and got["b", 5] == "not sent" and got["a", 3] == "refused"
