@@ -104,10 +104,11 @@ def stream_budget(t):
     return t.spark.read.parquet(f"{out}/decisions").select("run", "seq", c("batch").cast("bigint").alias("batch"), "state")
 
 
-@query("stream_append", "X8", f"WITH {PARTED} SELECT user_id AS id, min(b) AS batch FROM w GROUP BY user_id")
+@query("stream_append", "X8", f"""
+  WITH {PARTED} SELECT user_id * 1000 + cast(json_extract_string(props, '$.k') AS BIGINT) AS id, min(b) AS batch FROM w GROUP BY 1""")
 def stream_append(t):
     out, check = shared_dir(t.spark, "append"), shared_dir(t.spark, "append-checkpoint")
-    rows = parted_events(t).select(c("user_id").alias("id"), "b")
+    rows = parted_events(t).select((c("user_id") * 1000 + F.get_json_object("props", "$.k").cast("bigint")).alias("id"), "b")
     J.run_batches(rows, "b", BATCHES, lambda s: J.run_to_folder(J.append_once(s.select("id"), "id"), out, check), "append-files")
     return t.spark.read.parquet(out).select("id", c("batch").cast("bigint").alias("batch"))
 
