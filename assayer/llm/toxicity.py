@@ -17,7 +17,9 @@ BUCKET_BITS, DIM = 17, 8
 TRAIN_ROWS, TRAIN_CHARS = 6_000, 10_000
 STEPS, BATCH, RATE, SEED = 1_500, 32, 0.02, 7
 #: N-grams in fewer than this share of the sample's texts (two texts at least) get no embedding: they would learn single texts.
+#: Those that tell the classes apart, by so many standard deviations, need LEAST_TEXTS texts only.
 LEAST_SHARE, DROPPED, DECAY = 0.02, 0.5, 0.2
+LEAST_TEXTS, TELLING = 5, 4
 #: Averages are of n-grams weighted by how rare they are in the sample, times this, so that few words among many can count.
 SCALE = 20
 #: Once the model gives class 1 this much on its own texts, on average, texts to whose label it gives less than the second
@@ -85,7 +87,10 @@ def train(many: list[str], labels: list[int], steps: int = STEPS, seed: int = SE
         ids, count = np.unique(grams([t])[0], return_counts=True)
         bags.append((ids.astype(np.int32), (count / max(1, count.sum())).astype(np.float32)))
     spread = np.bincount(np.concatenate([b[0] for b in bags]), minlength=buckets)
-    useful = spread >= max(2, LEAST_SHARE * len(y))
+    toxic = np.bincount(np.concatenate([b[0] for b, k in zip(bags, y, strict=True) if k]), minlength=buckets)
+    p = y.mean()
+    told = np.abs(toxic - spread * p) / np.sqrt(np.maximum(spread, 1) * p * (1 - p))
+    useful = (spread >= max(2, LEAST_SHARE * len(y))) | (spread >= LEAST_TEXTS) & (told >= TELLING)
     rare = np.where(useful, SCALE * np.log((len(y) + 1) / np.maximum(spread, 1)), 0).astype(np.float32)
     bags = [(ids[useful[ids]], (share * rare[ids])[useful[ids]]) for ids, share in bags]
     emb, soft, bias = (rng.normal(0, 0.1, (buckets, DIM))).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.log(np.bincount(y, minlength=2) / len(y))
