@@ -5,7 +5,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, chat, contamination, quality, sharding, simhash, substrings, token_files, toxicity, urls
+from assayer.llm import (bpe, chat, contamination, language, merkle, quality, resampling, sharding, simhash, substrings, token_files,
+                         toxicity, urls)
 from assayer.llm.scan import table
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -54,8 +55,21 @@ def op10_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_documents(table(spark, d, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=False)
 
 
+def op11_merkle(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.merkle_digest(table(spark, d, "documents"))
+
+
+def op12_language(spark: SparkSession, d: str) -> DataFrame:
+    return language.language_digest(table(spark, d, "documents"))
+
+
+def op13_resample(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_decontaminate, op3_shard, op4_token_files, op5_url_filter, op6_toxicity,
-                                   op7_chat_format, op8_quality_rules, op9_simhash, op10_byte_bpe)}
+                                   op7_chat_format, op8_quality_rules, op9_simhash, op10_byte_bpe, op11_merkle, op12_language,
+                                   op13_resample)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -125,4 +139,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PCT} * n_words)
   AND 100 * left_chars >= {quality.MIN_KEPT_PCT} * word_chars AS kept FROM m"""
 
-SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_quality_rules": _OP8}
+# Unsigned CRC-32 of the UTF-8 bytes of ``w``, by its table.
+_CRC = """tab8 AS (SELECT i, 0 AS k, i AS v FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tab8 WHERE k < 8),
+tab AS (SELECT i, v FROM tab8 WHERE k = 8),
+steps AS (SELECT w, hex(encode(w)) AS h, 0 AS k, cast(4294967295 AS BIGINT) AS v FROM vocab
+  UNION ALL SELECT w, h, k + 1, xor(s.v >> 8, tab.v) FROM steps s JOIN tab ON tab.i = xor(s.v & 255, cast('0x' || substr(h, 2 * k + 1, 2) AS BIGINT)) WHERE 2 * k < length(h)),
+crc AS (SELECT w, xor(v, 4294967295) AS c FROM steps WHERE 2 * k = length(h))"""
+
+_FIELD = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+_LEAF = lambda text: "sha256(" + " || ".join(_FIELD(c) for c in ("cast(doc_id AS VARCHAR)", "source", "lang", "cast(n_chars AS VARCHAR)", text)) + ")"
+_OP11 = f"""
+WITH RECURSIVE vocab AS (SELECT DISTINCT cast(doc_id AS VARCHAR) AS w FROM documents WHERE doc_id IS NOT NULL), {_CRC},
+leaf AS (SELECT doc_id, coalesce('s' || source, '') AS g, {_LEAF("text")} AS d,
+  CASE WHEN c % {merkle.TAMPERED} = 0 THEN {_LEAF("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS claim
+  FROM documents LEFT JOIN crc ON w = cast(doc_id AS VARCHAR)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+tree AS (SELECT 0 AS l, g, p, n, d FROM placed
+  UNION ALL SELECT l + 1, g, p // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY p)) FROM tree WHERE n > 1 GROUP BY l, g, p // 16, n),
+subs AS (SELECT g, l AS high, d AS subroot, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (SELECT 0 AS l, p, n, subroot AS d FROM subs
+  UNION ALL SELECT l + 1, p // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY p)) FROM top WHERE n > 1 GROUP BY l, p // 16, n),
+whole AS (SELECT g, l, p, d FROM tree WHERE n > 1 UNION ALL SELECT NULL, l, p, d FROM top WHERE n > 1),
+rootd AS (SELECT d AS root FROM top WHERE n = 1),
+sib AS (SELECT a.g, a.l, a.p, coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS lefts, coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS rights
+  FROM whole a JOIN whole b ON a.g IS NOT DISTINCT FROM b.g AND a.l = b.l AND a.p // 16 = b.p // 16 GROUP BY a.g, a.l, a.p),
+climb AS (SELECT doc_id, placed.g, 0 AS l, CASE WHEN high = 0 THEN subs.p ELSE placed.p END AS p, high, subs.p AS q, subroot, d AS leaf, coalesce(claim, d) AS cur, '' AS proof
+  FROM placed JOIN subs USING (g)
+  UNION ALL SELECT doc_id, c.g, c.l + 1, CASE WHEN c.l + 1 = high THEN q ELSE c.p // 16 END, high, q, subroot, leaf, sha256(s.lefts || cur || s.rights), proof || s.lefts || s.rights
+  FROM climb c JOIN sib s ON s.g IS NOT DISTINCT FROM CASE WHEN c.l < high THEN c.g END AND s.l = CASE WHEN c.l < high THEN c.l ELSE c.l - high END AND s.p = c.p)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM climb, rootd WHERE l = high + (SELECT max(l) FROM top)"""
+
+_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP13 = f"""
+WITH RECURSIVE dw AS (SELECT doc_id, {_WORDS} AS ws FROM documents), du AS (SELECT doc_id, unnest(ws) AS w FROM dw), dc AS (SELECT doc_id, w, count(*) AS k FROM du GROUP BY ALL),
+bc AS (SELECT w, count(*) AS k FROM (SELECT unnest({_WORDS}) AS w FROM benchmark) GROUP BY w),
+vocab AS (SELECT DISTINCT w FROM dc UNION SELECT w FROM bc), {_CRC},
+b AS (SELECT w, c % {resampling.BUCKETS} AS b FROM crc),
+s AS (SELECT b, sum(k) AS s FROM dc JOIN b USING (w) GROUP BY b), t AS (SELECT b, sum(k) AS t FROM bc JOIN b USING (w) GROUP BY b),
+tot AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS sa, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS ta),
+g AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sa + {resampling.BUCKETS}) / ((s + 1)::DOUBLE * (ta + {resampling.BUCKETS}))))::BIGINT AS gain FROM s LEFT JOIN t USING (b), tot),
+wt AS (SELECT doc_id, sum(k * gain) AS weight FROM dc JOIN b USING (w) JOIN g USING (b) GROUP BY doc_id),
+sc AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM dw LEFT JOIN wt USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.MIN_WORDS} ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= {resampling.MIN_WORDS}) AS n FROM sc)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resampling.MIN_WORDS} AND place <= n * {resampling.PERCENT} // 100 THEN place END AS rank FROM r"""
+
+SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_quality_rules": _OP8, "op11_merkle": _OP11,
+                       "op13_resample": _OP13}
