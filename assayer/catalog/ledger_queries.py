@@ -375,35 +375,45 @@ def append_conflicts(t):
 
 
 @query("append_twice", "S8", """
-  SELECT o_orderkey AS id, o_orderstatus AS v FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0""")
+  SELECT o_orderkey AS id, o_orderstatus AS v FROM orders""")
 def append_twice(t):
     rows, target = t.orders.select(c("o_orderkey").alias("id"), c("o_orderstatus").alias("v")), shared_dir(t.spark, "append")
-    for offered in ("id % 3 = 0", "id % 3 = 0", "id % 2 = 0"):
+    for offered in ("id % 3 = 0", "id % 3 = 0", "true"):
         sinks.append_idempotent(target, rows.where(offered), "id")
     return t.spark.read.schema(rows.schema).parquet(target)
 
 
 @query("append_unseen", "S8", """
-  SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey % 2 = 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+  SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def append_unseen(t):
-    p = t.orders.where("o_custkey % 2 = 0").select("o_orderkey", "o_orderstatus")
+    p = t.orders.select("o_orderkey", "o_orderstatus")
     return sinks.unseen(t.lineitem.select(c("l_orderkey").alias("o_orderkey")), p, "o_orderkey")
 
 
-@query("next_step", "P17", """
-  WITH v AS (SELECT run, seq, step, lead(step) OVER (PARTITION BY run ORDER BY seq) AS actual, cents % 3 > 0 AS pass, k % 2 = 0 AS failed, k % 4 AS attempts,
+STEPS = ("board", "render", "closer", "build", "ad_gates", "eye", "ship_gate", "deliver", "review")
+CAUSES = ("scene", "closer", "lag", "directional", "replay", "other")
+
+
+@query("next_step", "P17", f"""
+  WITH l AS (SELECT run, seq, k, cents, ({list(STEPS)})[((cents + k) % 9 + 1)::INT] AS step, ({list(CAUSES)})[(k % 6 + 1)::INT] AS cause FROM fx_ledger),
+  v AS (SELECT run, seq, step, cause, lead(step) OVER (PARTITION BY run ORDER BY seq) AS actual, cents % 3 > 0 AS pass, k % 2 = 0 AS failed, k % 4 AS attempts, cents % 7 = 0 AS override,
      CASE k % 5 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'review' WHEN 3 THEN 'noface' ELSE 'unreadable' END AS mouth, (k % 30) / 100.0 AS lag,
-     CASE k % 3 WHEN 0 THEN 'render' WHEN 1 THEN 'elsewhere' ELSE 'build' END AS back FROM fx_ledger)
-  SELECT step, CASE step WHEN 'board' THEN CASE WHEN pass THEN 'render' ELSE 'ledger' END WHEN 'render' THEN CASE WHEN NOT failed THEN 'closer' WHEN attempts <= 1 THEN 'render' ELSE 'ledger' END
-    WHEN 'ad_gates' THEN CASE WHEN mouth IN ('fail', 'noface', 'unreadable') THEN 'ledger' WHEN mouth = 'review' OR lag >= 0.12 THEN 'eye' ELSE 'ship_gate' END
-    WHEN 'deliver' THEN 'review' WHEN 'review' THEN CASE WHEN pass OR attempts >= 4 OR back = 'elsewhere' THEN 'ledger' ELSE back END END AS routed, actual, count(*) AS n
+     CASE k % 3 WHEN 0 THEN 'render' WHEN 1 THEN 'elsewhere' ELSE 'build' END AS back FROM l)
+  SELECT step, CASE step WHEN 'board' THEN CASE WHEN pass THEN 'render' ELSE 'ledger' END WHEN 'render' THEN CASE WHEN NOT failed THEN 'closer' WHEN attempts <= {D.MAX_SCENE_REROLLS} THEN 'render' ELSE 'ledger' END
+    WHEN 'closer' THEN CASE WHEN pass THEN 'build' ELSE 'ledger' END WHEN 'build' THEN CASE WHEN pass THEN 'ad_gates' ELSE 'ledger' END
+    WHEN 'ad_gates' THEN CASE WHEN mouth IN ('fail', 'noface', 'unreadable') THEN 'ledger' WHEN mouth = 'review' OR lag >= {D.LAG_FIX} THEN 'eye' ELSE 'ship_gate' END
+    WHEN 'eye' THEN CASE WHEN pass THEN 'ship_gate' WHEN cause = 'scene' AND attempts <= {D.MAX_EYE_REJECTS} THEN 'render' WHEN cause = 'closer' AND attempts <= {D.MAX_EYE_REJECTS} THEN 'closer'
+      WHEN cause = 'lag' AND attempts < {D.MAX_BUILDS} THEN 'build' ELSE 'ledger' END
+    WHEN 'ship_gate' THEN CASE WHEN pass THEN 'deliver' WHEN cause IN ('directional', 'replay') AND NOT override THEN 'eye' ELSE 'ledger' END
+    WHEN 'deliver' THEN 'review' WHEN 'review' THEN CASE WHEN pass OR attempts > {D.MAX_WITHDRAWALS} OR back = 'elsewhere' THEN 'ledger' ELSE back END END AS routed, actual, count(*) AS n
   FROM v GROUP BY ALL""")
 def next_step(t):
     from assayer.operators.bars import chunks_by_count
     from assayer.operators.ordered import scan_in_order
-    rows = chunks_by_count(t.ledger_rows.select("run", "ts", "id", "step", "cents", "k"), ["run"], "ts")
-    led = scan_in_order(rows, ["run"], ["ts", "id"], c("__part"), lead={"actual": c("step")})
-    facts = F.expr(f"""from_json(to_json(named_struct('pass', cents % 3 > 0, 'failed', k % 2 = 0, 'attempts', k % 4, 'caption', 'pass', 'drift', 'pass',
+    named = t.ledger_rows.select("run", "ts", "id", F.element_at(F.array(*[F.lit(s) for s in STEPS]), ((c("cents") + c("k")) % 9 + 1).cast("int")).alias("step"), "cents", "k")
+    led = scan_in_order(chunks_by_count(named, ["run"], "ts"), ["run"], ["ts", "id"], c("__part"), lead={"actual": c("step")})
+    facts = F.expr(f"""from_json(to_json(named_struct('pass', cents % 3 > 0, 'failed', k % 2 = 0, 'attempts', k % 4, 'caption', 'pass', 'drift', 'pass', 'override', cents % 7 = 0,
+        'cause', element_at(array{CAUSES}, int(k % 6 + 1)),
         'mouth', CASE k % 5 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'review' WHEN 3 THEN 'noface' ELSE 'unreadable' END, 'lag_s', (k % 30) / 100.0D,
         'back_to', CASE k % 3 WHEN 0 THEN 'render' WHEN 1 THEN 'elsewhere' ELSE 'build' END)), '{D.NEXT_STEP_FACTS}')""")
     d = led.withColumn("v", facts)

@@ -99,11 +99,11 @@ def race_agreement(t):
 
 
 @query("reading_agreement", "A34,S5", """
-  SELECT c_custkey, round(c_acctbal / 100, 2) AS value, CASE WHEN c_custkey % 6 > 0 THEN round(c_acctbal / 100, 2) END AS transcribed,
-   c_custkey % 6 > 0 AS agrees FROM customer WHERE c_acctbal >= 0""")
+  SELECT c_custkey, CASE WHEN round(c_acctbal / 100, 2) >= 0 THEN round(c_acctbal / 100, 2) END AS value, CASE WHEN c_custkey % 6 > 0 THEN round(c_acctbal / 100, 2) END AS transcribed,
+   (c_custkey % 6 > 0) = (round(c_acctbal / 100, 2) >= 0) AS agrees FROM customer""")
 def reading_agreement(t):
     from assayer.sources.readers import parse_reading
-    rows = t.customer.where("c_acctbal >= 0").selectExpr("c_custkey", "'hand_probe' AS probe", "round(c_acctbal / 100, 2) AS truth",
+    rows = t.customer.selectExpr("c_custkey", "'hand_probe' AS probe", "round(c_acctbal / 100, 2) AS truth",
                                                          "concat('noise\\nHAND gesture ratio ', cast(round(c_acctbal / 100, 2) AS DECIMAL(12,2)), '  (x)') AS text")
     parsed = rows.select("c_custkey", parse_reading(F.col("probe"), F.col("text")).alias("value"))
     known = rows.where("c_custkey % 6 > 0").select("c_custkey", F.col("truth").alias("value"))
@@ -112,10 +112,10 @@ def reading_agreement(t):
 
 @query("ledger_source_refs", "J18", """
   SELECT p_partkey, string_split(p_name, ' ')[1] AS brief FROM part WHERE string_split(p_name, ' ')[1] IN
-    (SELECT string_split(p_name, ' ')[1] FROM part WHERE p_size > 45) AND p_type = 'ECONOMY'""")
+    (SELECT string_split(p_name, ' ')[1] FROM part) AND p_type = 'ECONOMY'""")
 def ledger_source_refs(t):
     led = t.part.selectExpr("p_partkey", "replace(p_name, ' ', '-') AS scene", "p_type AS engine")
-    briefs = t.part.where("p_size > 45").select(F.element_at(F.split("p_name", " "), 1).alias("brief"))
+    briefs = t.part.select(F.element_at(F.split("p_name", " "), 1).alias("brief"))
     return R.ledger_source_refs(led, briefs, engine="ECONOMY").select("p_partkey", "brief")
 
 

@@ -237,13 +237,13 @@ def segment_ratio(t):
 
 
 @query("drawdown", "W20", """
-  WITH s AS (SELECT l_suppkey AS k, (l_orderkey % 100000) * 10 + l_linenumber AS p, l_quantity, l_tax FROM lineitem),
-  u AS (SELECT k, p, 1 + (avg(l_tax) - 0.04) AS v FROM s WHERE l_quantity > 40 GROUP BY k, p), w AS (SELECT *, greatest(max(v) OVER (PARTITION BY k ORDER BY p), 1.0) AS peak, row_number() OVER (PARTITION BY k ORDER BY p) AS i FROM u)
+  WITH s AS (SELECT l_suppkey AS k, (l_orderkey % 100000) * 10 + l_linenumber AS p, l_tax FROM lineitem),
+  u AS (SELECT k, p, 1 + (avg(l_tax) - 0.04) AS v FROM s GROUP BY k, p), w AS (SELECT *, greatest(max(v) OVER (PARTITION BY k ORDER BY p), 1.0) AS peak, row_number() OVER (PARTITION BY k ORDER BY p) AS i FROM u)
   SELECT k, count(*) AS points, round(max(v) - min(v), 6) AS swing, CASE WHEN count(*) < 5 THEN 'INCONCLUSIVE'
     WHEN min(i) FILTER (i <= 6 AND v < 0.96) < coalesce(min(i) FILTER (i <= 6 AND v > 1.03), 99) THEN 'FAIL' WHEN count(*) FILTER (peak > 1.06 AND v < peak - 0.08) > 0 THEN 'REVIEW' ELSE 'PASS' END AS verdict FROM w GROUP BY k""")
 def drawdown(t):
     from assayer.operators.ordered import scan_in_order
-    s = t.lineitem.where("l_quantity > 40").selectExpr("l_suppkey AS k", "(l_orderkey % 100000) * 10 + l_linenumber AS p", "l_tax")
+    s = t.lineitem.selectExpr("l_suppkey AS k", "(l_orderkey % 100000) * 10 + l_linenumber AS p", "l_tax")
     u = s.groupBy("k", "p").agg((1 + (F.avg("l_tax") - 0.04)).alias("v"))
     u = scan_in_order(u, ["k"], ["p"], chunk_of("p"), row_number="i")
     return r6(S.drawdown(u, "k", "i", "v"), "swing")
@@ -266,13 +266,13 @@ def resample_linear(t):
 
 
 @query("span_energy", "W22", """
-  WITH sp AS (SELECT series, pos AS lo, pos + 6 AS hi FROM fx_series WHERE pos % 24 = 8 AND pos < 500), en AS (SELECT series, max(hi) AS e FROM sp GROUP BY series),
+  WITH sp AS (SELECT series, pos AS lo, pos + 6 AS hi FROM fx_series WHERE pos % 24 = 8), en AS (SELECT series, max(hi) AS e FROM sp GROUP BY series),
   p AS (SELECT s.series, pos, v, e, EXISTS (SELECT 1 FROM sp WHERE sp.series = s.series AND s.pos BETWEEN lo AND hi) AS ins FROM fx_series s JOIN en USING (series)),
   g AS (SELECT series, avg(v) FILTER (ins) AS speech, avg(v) FILTER (NOT ins AND NOT pos > e + 2 AND pos > 1) AS gap, avg(v) FILTER (pos > e + 2) AS post FROM p GROUP BY series)
   SELECT series, round(coalesce(speech, 0), 6) AS speech, round(coalesce(gap, 0), 6) AS gap, round(coalesce(post, 0), 6) AS post, round(greatest(coalesce(speech, 0), coalesce(gap, 0), coalesce(post, 0)), 6) AS energy,
     round(coalesce(post, 0) / greatest(coalesce(speech, 0), 0.01), 6) AS ratio FROM g""")
 def span_energy(t):
-    sp = t.series.where("pos % 24 = 8 AND pos < 500").select("series", c("pos").alias("lo"), (c("pos") + 6).alias("hi"))
+    sp = t.series.where("pos % 24 = 8").select("series", c("pos").alias("lo"), (c("pos") + 6).alias("hi"))
     return r6(S.span_energy(t.series, sp, "series", "pos", "v", "lo", "hi", 2, 64.0, 1), "speech", "gap", "post", "energy", "ratio")
 
 

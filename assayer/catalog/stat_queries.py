@@ -72,9 +72,11 @@ def fair_coin_null(t):
 
 
 @query("poisson_binomial_tail", "A10", """
-  WITH g AS (SELECT n_regionkey AS k, count(*) AS n, 0.3::DOUBLE AS p, 2 AS h FROM nation GROUP BY 1),
-  j AS (SELECT k, n, p, h, unnest(range(h, n + 1)) AS j FROM g)
-  SELECT k, n, round(sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)) * pow(p, j) * pow(1 - p, n - j)), 6) AS tail FROM j GROUP BY k, n""")
+  WITH RECURSIVE tr AS (SELECT l_partkey AS k, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity) AS i, least(greatest(l_discount * 5 + l_tax, 0), 1)::DOUBLE AS p FROM lineitem),
+  st AS (SELECT k, 0::BIGINT AS i, [1.0::DOUBLE] AS d FROM tr WHERE i = 1 UNION ALL
+    SELECT st.k, tr.i, list_transform(range(1, len(d) + 2), lambda j: coalesce(d[j], 0) * (1 - p) + CASE WHEN j > 1 THEN d[j - 1] * p ELSE 0 END) FROM st JOIN tr ON tr.k = st.k AND tr.i = st.i + 1)
+  SELECT k, max(i) AS n, round(list_sum(arg_max(d, i)[9:]), 6) AS tail FROM st GROUP BY k""")
 def poisson_binomial_tail(t):
-    g = t.nation.groupBy(c("n_regionkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("k", "n", F.round(B.at_least(F.array_repeat(F.lit(0.3), c("n").cast("int")), 2), 6).alias("tail"))
+    p = F.least(F.greatest(c("l_discount") * 5 + c("l_tax"), F.lit(0.0)), F.lit(1.0))
+    trials = t.lineitem.select(c("l_partkey").alias("k"), F.struct("l_orderkey", "l_linenumber").alias("trial"), p.alias("p"))
+    return r6(B.successes_at_least(trials, "k", "trial", "p", 8), "tail")

@@ -14,10 +14,12 @@ from assayer.operators import intervals as I
 from assayer.operators import leaks as K
 from assayer.operators import lint as B
 from assayer.operators.partitions import spread
+from assayer.operators.rule_index import scan_rule_table
 from assayer.operators.votes import AXES
 from assayer.plans import captions as P
 from assayer.plans import replay as R
-from assayer.sources import sinks
+from assayer.session import shared_dir
+from assayer.sources import readers, sinks
 
 c = F.col
 
@@ -55,6 +57,32 @@ def content_manifest(t):
     return t.documents.select("doc_id", F.sha2("text", 256).alias("sha256"), (F.length("text") == c("n_chars")).alias("pinned"))
 
 
+@query("file_manifest", "S9", """
+  SELECT n_name AS name, octet_length(encode(n_name)) + 1 AS length, sha256(n_name || chr(10)) AS sha256,
+    CASE n_nationkey % 3 WHEN 0 THEN 'match' WHEN 1 THEN 'differs' ELSE 'unpinned' END AS state FROM nation""")
+def file_manifest(t):
+    path = shared_dir(t.spark, "manifest")
+    t.nation.select(c("n_name").alias("name"), c("n_name").alias("value")).repartition("name").write.partitionBy("name").text(path)
+    found = readers.content_manifest(t.spark, f"{path}/*/*.txt").withColumn("name", F.url_decode(F.regexp_extract("path", "name=([^/]*)/", 1)))
+    line = F.concat(c("n_name"), F.when(c("n_nationkey") % 3 == 0, "\n").otherwise("?"))
+    pins = t.nation.where("n_nationkey % 3 < 2").select(c("n_name").alias("name"), F.sha2(line, 256).alias("sha256"))
+    return readers.against_pins(found, pins, "name").select("name", "length", "sha256", "state")
+
+
+@query("file_readings", "S5", """
+  SELECT s_suppkey::VARCHAR AS item, CASE s_suppkey % 3 WHEN 0 THEN 'hand_probe' WHEN 1 THEN 'level_probe' ELSE 'eye_eval' END AS probe,
+    CASE WHEN round(s_acctbal / 100, 2) >= 0 THEN round(s_acctbal / 100, 2) END AS reading FROM supplier""")
+def file_readings(t):
+    path = shared_dir(t.spark, "readings")
+    said = t.supplier.selectExpr("string(s_suppkey) AS item", "element_at(array('hand_probe', 'level_probe', 'eye_eval'), int(s_suppkey % 3 + 1)) AS probe",
+                                 "cast(round(s_acctbal / 100, 2) AS DECIMAL(12, 2)) AS x")
+    told = F.when(c("probe") == "hand_probe", F.concat(F.lit("HAND gesture ratio "), "x")).when(c("probe") == "level_probe", F.concat(F.lit("at 1 | face "), "x")).otherwise(F.concat(F.lit("EYE PASS: bg "), "x"))
+    said = said.select("item", "probe", F.concat(F.lit("noise\n"), told, F.lit(" (x)")).alias("value"))
+    said.repartition("item").write.partitionBy("item", "probe").text(path)
+    found, missed = readers.read_readings_text(t.spark, path)
+    return found.unionByName(missed, allowMissingColumns=True).select("item", "probe", "reading")
+
+
 NORM = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
     lower(translate({t}, '’‘“”—–', '''''""  ')), '(\$\s*\d+),', '\1', 'g'), '(\$\s*\d+),', '\1', 'g'), '\$\s*(\d+)', '\1 dollars', 'g'),
     '\b(?:0(\d)|([1-9]?\d)):00\b', '\1\2', 'g'), '\b(?:0(\d)|([1-9]?\d)):(?:0(\d)|([1-9]\d))\b', '\1\2 \3\4', 'g'), '(\d),(\d{{3}})', '\1\2', 'g'), '[^a-z0-9'']+', ' ', 'g')"""
@@ -80,31 +108,94 @@ def fold_numbers(t):
     return spread(t.documents.select("doc_id", "text")).select("doc_id", X.tokens(c("text")).alias("w")).select("doc_id", F.size(w).alias("words"), F.md5(F.array_join(w, " ")).alias("digest"))
 
 
-@query("split_only", "T3", r"""
-  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'same' ELSE 'differs' END AS outcome FROM documents""")
+def spelled(number):
+    """A number below a million in words, with hyphens and ``and`` in some of them."""
+    words = F.array(*[F.lit(w) for w in X.UNITS])  # zero to nineteen, then the tens
+
+    def pick(i):
+        return F.element_at(words, i.cast("int") + 1)
+
+    def joined(by, a, b):
+        return F.when(b.isNull(), a).otherwise(F.concat(a, by, b))
+
+    def below_hundred(v):
+        tens = joined(F.when(v % 4 == 1, "-").otherwise(" "), pick(18 + F.floor(v / 10)), F.when(v % 10 > 0, pick(v % 10)))
+        return F.when(v < 20, pick(v)).otherwise(tens)
+
+    def below_thousand(v):
+        hundreds = joined(F.when(v % 2 == 1, " and ").otherwise(" "), F.concat(pick(F.floor(v / 100)), F.lit(" hundred")), F.when(v % 100 > 0, below_hundred(v % 100)))
+        return F.when(v < 100, below_hundred(v)).otherwise(hundreds)
+
+    low = number % 1000
+    return F.when(number < 1000, below_thousand(number)).otherwise(
+        joined(F.lit(" "), F.concat(below_thousand(F.floor(number / 1000)), F.lit(" thousand")), F.when(low > 0, below_thousand(low))))
+
+
+@query("spelled_numbers", "T2", """
+  SELECT o_orderkey, o_orderkey % 1000000 || ' crates by ' || o_custkey % 1000000 AS words, 'and ' || o_orderkey % 1000000 || ' or ' || o_orderkey % 1000 || ' a lot' AS more FROM orders""")
+def spelled_numbers(t):
+    a, b, low = spelled(c("o_orderkey") % 1_000_000), spelled(c("o_custkey") % 1_000_000), spelled(c("o_orderkey") % 1_000)
+    told = spread(t.orders.select("o_orderkey", "o_custkey")).select("o_orderkey", F.concat(F.initcap(a), F.lit(" crates, by "), b, F.lit(".")).alias("words"),
+                                                                     F.concat(F.lit("And "), a, F.lit(" or "), low, F.lit(" a lot!")).alias("more"))
+    return told.select("o_orderkey", *[F.array_join(X.tokens(c(x)), " ").alias(x) for x in ("words", "more")])
+
+
+#: Edits of a text by doc_id % 6 as Spark and DuckDB say them; what they do to its words depends on the text.
+EDITS = r"""CASE doc_id % 6 WHEN 0 THEN replace(text, ' ', '  ') WHEN 1 THEN regexp_replace(text, '([a-z]), ([a-z])', '{1}-{2}'{g}) WHEN 2 THEN regexp_replace(text, '([a-z]), ([a-z])', '{1}{2}'{g})
+    WHEN 3 THEN regexp_replace(text, '([a-z][a-z][a-z][a-z])([a-z][a-z][a-z][a-z])', '{1}-{2}'{g}) WHEN 4 THEN regexp_replace(text, '([0-9])([0-9])', '{1}-{2}'{g}) END"""
+EDITS_SPARK = EDITS.replace("{1}", "$1").replace("{2}", "$2").replace("{g}", "")
+EDITS_DUCK = EDITS.replace("{1}", "\\1").replace("{2}", "\\2").replace("{g}", ", 'g'")
+SPELLED = NORM.removeprefix("regexp_replace(").removesuffix(", '[^a-z0-9'']+', ' ', 'g')")  # before punctuation goes
+
+
+def marked(column: str) -> str:
+    """Words divided by a space, or by a hash where punctuation alone splits them."""
+    return f"trim(replace(replace(regexp_replace(regexp_replace({SPELLED.format(t=column)}, '\\s', ' ', 'g'), '[^a-z0-9'' ]+', '#', 'g'), ' #', ' '), '# ', ' '), '# ')"
+
+
+def borders(side: str) -> str:
+    """DuckDB columns of a marked text: words, letters, and after how many letters a border lies: any, of spaces."""
+    bare = lambda parts: f"list_transform({parts}, lambda u: trim(u, ''''))"
+    return f"""list_filter(string_split_regex({side}, '[ #]+'), lambda x: x <> '') AS w{side}, {bare(f"string_split_regex({side}, '[ #]+')")} AS p{side},
+      list_transform(string_split_regex({side}, ' +'), lambda v: array_to_string({bare("string_split(v, '#')")}, '')) AS s{side}"""
+
+
+SPLITS = f"""g AS (SELECT doc_id, other IS NULL AS none, {marked("text")} AS a, {marked("coalesce(other, '')")} AS b FROM e),
+  x AS (SELECT doc_id, none, {borders("a")}, {borders("b")} FROM g),
+  u AS (SELECT doc_id, kind, unnest(parts) AS u, unnest(range(1, len(parts) + 1)) AS i, len(parts) AS k FROM (SELECT doc_id, unnest(['ba', 'bb', 'ca', 'cb']) AS kind, unnest([pa, pb, sa, sb]) AS parts FROM x) q),
+  o AS (SELECT doc_id, kind, i < k AS ends, sum(length(u)) OVER (PARTITION BY doc_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS n FROM u),
+  y AS (SELECT doc_id, {", ".join(f"coalesce(list(DISTINCT n) FILTER (ends AND kind = '{k}'), []) AS {k}" for k in ("ba", "bb", "ca", "cb"))} FROM o GROUP BY doc_id),
+  z AS (SELECT *, array_to_string(pa, '') AS la, array_to_string(pb, '') AS lb FROM x JOIN y USING (doc_id)),
+  v AS (SELECT *, la = lb AND list_has_all(bb, ca) AND list_has_all(ba, cb) AND list_sort(list_filter(ba, lambda i: regexp_matches(substr(la, i, 2), '^[0-9][0-9]')))
+    = list_sort(list_filter(bb, lambda i: regexp_matches(substr(lb, i, 2), '^[0-9][0-9]'))) AS splits FROM z)"""
+
+
+@query("split_only", "T3", f"""
+  WITH e AS (SELECT doc_id, text, coalesce({EDITS_DUCK}, text || ' extra') AS other FROM documents), {SPLITS}
+  SELECT doc_id, coalesce(splits, false) AS splits FROM v""")
 def split_only(t):
-    d = t.documents.withColumn("other", F.expr(r"IF(doc_id % 2 = 0, regexp_replace(text, '([A-Za-z])-([A-Za-z])', '$1$2'), concat(text, ' extra'))"))
-    ok = X.split_only(X.marked_tokens(c("text")), X.marked_tokens(c("other")))
-    same = c("text") == c("other")
-    return d.select("doc_id", F.when(same | ok, "same").otherwise("differs").alias("outcome"))
+    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.coalesce(F.expr(EDITS_SPARK), F.concat("text", F.lit(" extra"))))
+    return d.select("doc_id", X.split_only(X.marked_tokens(c("text")), X.marked_tokens(c("other"))).alias("splits"))
 
 
-@query("same_words", "T4", r"""
-  SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN CASE WHEN regexp_matches(text, '[A-Za-z0-9]') THEN 'MATCH' ELSE 'NOTHING COMPARED' END
-    WHEN 1 THEN 'MISMATCH' WHEN 2 THEN 'NOTHING COMPARED' ELSE CASE WHEN regexp_matches(text, '[A-Za-z0-9]') THEN 'MATCH' ELSE 'NOTHING COMPARED' END END AS verdict
-  FROM documents WHERE doc_id % 4 <> 1 OR regexp_matches(text, '[A-Za-z0-9]')""")
+@query("same_words", "T4", f"""
+  WITH e AS (SELECT doc_id, text, {EDITS_DUCK} AS other FROM documents), {SPLITS}
+  SELECT doc_id, CASE WHEN none OR len(wa) = 0 OR len(wb) = 0 THEN 'NOTHING COMPARED' WHEN wa = wb THEN 'MATCH' WHEN splits THEN 'MATCH (split)' ELSE 'MISMATCH' END AS verdict FROM v""")
 def same_words(t):
-    d = spread(t.documents.select("doc_id", "text")).where(r"doc_id % 4 <> 1 OR text RLIKE '[A-Za-z0-9]'").withColumn("other", F.expr(
-        "CASE doc_id % 4 WHEN 0 THEN replace(text, ' ', '  ') WHEN 1 THEN concat(text, ' extra') WHEN 3 THEN concat('“ ', text, ' ”') END"))
+    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.expr(EDITS_SPARK))
     return d.select("doc_id", X.same_words(c("text"), c("other")).alias("verdict"))
 
 
-@query("word_diff", "T5", r"""
-  WITH p AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{5,}')) AS a FROM documents)
-  SELECT doc_id, 0::BIGINT AS removed, 1::BIGINT AS added FROM p""")
+def word_list(column: str) -> str:
+    return f"list_filter(string_split({NORM.format(t=column)}, ' '), lambda x: x <> '')"
+
+
+@query("word_diff", "T5", f"""
+  WITH p AS (SELECT a.conv_id, a.turn, {word_list('a.text')} AS a, {word_list('b.text')} AS b FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)
+  SELECT conv_id, turn, len(list_distinct(list_filter(a, lambda x: NOT list_contains(b, x)))) AS removed, len(list_distinct(list_filter(b, lambda x: NOT list_contains(a, x)))) AS added FROM p""")
 def word_diff(t):
-    d = X.word_diff(c("text"), F.concat("text", F.lit("\nzzaddedzz")))
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", d.alias("d")).select("doc_id", F.size("d.removed").cast("bigint").alias("removed"), F.size("d.added").cast("bigint").alias("added"))
+    p = spread(neighbours(t)).select("conv_id", "turn", X.word_diff(c("a"), c("b")).alias("d"))
+    return p.select("conv_id", "turn", F.size("d.removed").cast("bigint").alias("removed"), F.size("d.added").cast("bigint").alias("added"))
 
 
 @query("word_opcodes", "T5")
@@ -129,11 +220,14 @@ def levenshtein_ratio(t):
     return p.select("conv_id", "turn", F.round(X.levenshtein_ratio(c("a"), c("b")), 6).alias("ratio"))
 
 
-@query("numbers_equal", "T7", """
-  SELECT a.conv_id, a.turn, a.turn % 3 = (a.turn + 1) % 2 AS equal FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1""")
+@query("numbers_equal", "T7", f"""
+  WITH e AS (SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN replace(text, '7', '8') WHEN 1 THEN replace(text, '-', ' ') ELSE replace(text, ' a ', ' 4 ') END AS other FROM documents),
+  p AS (SELECT doc_id, {word_list('text')} AS a, {word_list('other')} AS b FROM e)
+  SELECT doc_id, list_filter(a, lambda x: regexp_matches(x, '^[0-9]+$')) = list_filter(b, lambda x: regexp_matches(x, '^[0-9]+$')) AS equal FROM p""")
 def numbers_equal(t):
-    p = neighbours(t).selectExpr("conv_id", "turn", "concat(a, ' costs ', turn % 3) AS a", "concat(a, ' costs ', element_at(array('zero', 'one'), cast((turn + 1) % 2 AS INT) + 1)) AS b")
-    return p.select("conv_id", "turn", X.numbers_equal(c("a"), c("b")).alias("equal"))
+    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.expr(
+        "CASE doc_id % 3 WHEN 0 THEN replace(text, '7', '8') WHEN 1 THEN replace(text, '-', ' ') ELSE replace(text, ' a ', ' 4 ') END"))
+    return d.select("doc_id", X.numbers_equal(c("text"), c("other")).alias("equal"))
 
 
 @query("sentence_count", "T9", r"""
@@ -163,7 +257,18 @@ def regex_scan(t):
 def scan_user_rules(t):
     table = t.spark.createDataFrame([("HIGH", "USER", "names-the-thing", "the [a-z]*on", "-i"), ("LOW", "USER", "exact-case", "Elle|The", None)],
                                     "severity STRING, class STRING, label STRING, regex STRING, flags STRING")
-    return K.regex_scan(t.documents, K.rules_from(table))
+    return scan_rule_table(t.documents, table)
+
+
+@query("scan_item_rules", "F2,T12", r"""
+  WITH w AS (SELECT item_id, regexp_extract_all(text, '[A-Za-z0-9]+') AS w FROM benchmark),
+  r AS (SELECT 'item-' || item_id AS label, lower(w[1]) AS word, CASE WHEN item_id % 2 = 0 THEN '(?i)' ELSE '' END || '\b' || array_to_string(w[1:3], '[^A-Za-z0-9]+') || '\b' AS rx FROM w WHERE len(w) >= 3)
+  SELECT doc_id, line_no, 'LOW' AS severity, 'ITEM' AS "class", label FROM fx_textlines JOIN r ON contains(lower(line), word) AND regexp_matches(line, rx)""")
+def scan_item_rules(t):
+    w = t.benchmark.select("item_id", F.regexp_extract_all("text", F.lit("([A-Za-z0-9]+)"), F.lit(1)).alias("w")).where("size(w) >= 3")
+    rules = w.select(F.lit("LOW").alias("severity"), F.lit("ITEM").alias("class"), F.concat(F.lit("item-"), "item_id").alias("label"),
+                     F.concat(F.lit(r"\b"), F.array_join(F.slice("w", 1, 3), "[^A-Za-z0-9]+"), F.lit(r"\b")).alias("regex"), F.when(c("item_id") % 2 == 0, "-i").alias("flags"))
+    return scan_rule_table(t.documents, rules)
 
 
 ALLOW = [("src1", "issue-tracker-key"), ("src", "wall-clock-time"), ("2", "email-address")]
@@ -336,8 +441,39 @@ def caption_timing(t):
     return d.select("doc", "turn", "cue", "spoken", "missed", F.array_join(P.timing_faults(c("first"), c("last"), c("start_s"), c("end_s")), ",").alias("faults"))
 
 
-@query("caption_check", "T8")
+SHOWN = "CASE (doc + turn + cue) % 4 WHEN 1 THEN {short} WHEN 2 THEN {said} || ' 7' WHEN 3 THEN upper({said}) ELSE {said} END"
+
+
+@query("caption_check", "T8", f"""
+  WITH t AS (SELECT doc, turn, (start_s // 7)::BIGINT AS cue, list(text ORDER BY start_s) AS ws FROM fx_words GROUP BY ALL),
+  k AS (SELECT f.*, {SHOWN.format(said="array_to_string(ws, ' ')", short="array_to_string(ws[1:3], ' ')")} AS shown FROM fx_cues f JOIN t USING (doc, turn, cue)),
+  s AS (SELECT k.doc, k.turn, k.cue, k.start_s, k.end_s, k.shown, count(w.start_s) AS spoken, min(w.start_s) AS f, max(w.end_s) AS l, coalesce(string_agg(w.text, ' ' ORDER BY w.start_s), '') AS said
+     FROM k LEFT JOIN fx_words w ON k.doc = w.doc AND k.turn = w.turn AND w.start_s >= k.spoken_start - 0.05 AND w.end_s <= k.spoken_end + 0.05 GROUP BY ALL),
+  m AS (SELECT k.doc, k.turn, k.cue, count(*) AS missed FROM k JOIN fx_words w ON k.doc = w.doc AND k.turn = w.turn AND w.end_s > k.start_s AND w.start_s < k.end_s
+     WHERE NOT (w.start_s >= k.spoken_start - 0.05 AND w.end_s <= k.spoken_end + 0.05) GROUP BY ALL),
+  x AS (SELECT s.*, coalesce(missed, 0) AS missed, {word_list('shown')} AS a, {word_list('said')} AS b FROM s LEFT JOIN m USING (doc, turn, cue)),
+  y AS (SELECT *, list_filter(a, lambda w: regexp_matches(w, '^[0-9]+$')) AS na, list_filter(b, lambda w: regexp_matches(w, '^[0-9]+$')) AS nb,
+    regexp_replace(array_to_string(a, ''), '[^a-z]', '', 'g') AS la, regexp_replace(array_to_string(b, ''), '[^a-z]', '', 'g') AS lb FROM x)
+  SELECT doc, turn, cue, CASE WHEN missed > 0 THEN 'missed words' WHEN spoken = 0 THEN 'no word' ELSE concat_ws(',', CASE WHEN na <> nb THEN 'numbers' END,
+    CASE WHEN la <> lb AND 2.0::DOUBLE * least(length(la), length(lb)) / (length(la) + length(lb)) < 0.9 THEN 'text' END, CASE WHEN f - start_s > 0.5 THEN 'early' END,
+    CASE WHEN f - start_s < -0.3 THEN 'late' END, CASE WHEN end_s - l < -0.1 THEN 'drops' END) END AS faults FROM y""")
 def caption_check(t):
+    # A caption is what is spoken, its first words, the same with a number more, or the same in capitals.
+    said = t.words.groupBy("doc", "turn", F.floor(c("start_s") / 7).cast("bigint").alias("cue")).agg(F.transform(F.array_sort(F.collect_list(F.struct("start_s", "text"))), lambda x: x["text"]).alias("ws"))
+    shown = F.expr(SHOWN.format(said="array_join(ws, ' ')", short="array_join(slice(ws, 1, 3), ' ')"))
+    cues = t.cues.join(said, ["doc", "turn", "cue"]).withColumn("text", shown).drop("words", "ws")
+    return P.caption_check(t.words, cues, ["doc", "turn"]).select("doc", "turn", "cue", F.array_join("faults", ",").alias("faults"))
+
+
+@query("caption_verdict", "T8", """
+  WITH s AS (SELECT k.doc, k.turn, k.cue, k.start_s, k.end_s, count(w.start_s) AS spoken, min(w.start_s) AS f, max(w.end_s) AS l FROM fx_cues k LEFT JOIN fx_words w ON k.doc = w.doc AND k.turn = w.turn
+     AND w.start_s >= k.spoken_start - 0.05 AND w.end_s <= k.spoken_end + 0.05 GROUP BY ALL),
+  m AS (SELECT k.doc, k.turn, k.cue, count(*) AS missed FROM fx_cues k JOIN fx_words w ON k.doc = w.doc AND k.turn = w.turn AND w.end_s > k.start_s AND w.start_s < k.end_s
+     WHERE NOT (w.start_s >= k.spoken_start - 0.05 AND w.end_s <= k.spoken_end + 0.05) GROUP BY ALL),
+  v AS (SELECT doc, turn, count(*) AS cues, count(*) FILTER (coalesce(missed, 0) > 0 OR spoken = 0 OR f - start_s > 0.5 OR f - start_s < -0.3 OR end_s - l < -0.1) AS failed FROM s LEFT JOIN m USING (doc, turn, cue) GROUP BY doc, turn)
+  SELECT conv_id AS doc, q.turn, coalesce(cues, 0) AS cues, coalesce(failed, 0) AS failed, CASE WHEN coalesce(cues, 0) = 0 OR failed > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict
+  FROM (SELECT DISTINCT conv_id, turn FROM conversations) q LEFT JOIN v ON v.doc = conv_id AND v.turn = q.turn""")
+def caption_verdict(t):
     said = t.words.groupBy("doc", "turn", F.floor(c("start_s") / 7).cast("bigint").alias("cue")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start_s", "text"))), lambda x: x["text"]), " ").alias("text"))
     cues = t.cues.join(said, ["doc", "turn", "cue"])
@@ -355,17 +491,41 @@ def nearest_sample(t):
     return d.select("event_id", "sample")
 
 
-@query("board_lint", "P14", r"""
-  WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS s FROM documents),
-  b AS (SELECT doc_id, coalesce(s[1], '') AS a, coalesce(s[2], '') AS b, coalesce(s[3], '') AS c FROM l WHERE len(s) >= 3)
-  SELECT doc_id, NOT contains(lower(a || ' ' || b), 'the') AS product_absent, NOT regexp_matches(lower(b), 'solves|fixes|resolved|explains|reveals the product|everything is fine') AS escalation,
-    len(list_filter(string_split_regex(a, '\s+'), lambda x: x <> '')) <= 80 AND len(list_filter(string_split_regex(b, '\s+'), lambda x: x <> '')) <= 80
-      AND len(list_filter(string_split_regex(c, '\s+'), lambda x: x <> '')) <= 80 AS scene_length, doc_id % 3 = 0 AS hook_first, doc_id % 2 = 0 AS slots, doc_id % 5 <> 0 AS props FROM b""")
+CHECKS = ("product_absent", "escalation", "quirk_unspoken", "mouths_closed", "crop_clause", "cast", "register", "chain", "slots", "switches", "props", "hook_first", "scene_length")
+
+
+def every(test: str) -> str:
+    return f"len(list_filter(scn, lambda x: NOT ({test}))) = 0"
+
+
+@query("board_lint", "P14", rf"""
+  WITH l AS (SELECT doc_id, n_chars, lang, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS s FROM documents),
+  b AS (SELECT *, len(s) AS n, list_transform(s, lambda x: x || CASE WHEN n_chars % 2 = 0 OR length(x) % 7 > 0 THEN ', Mouth closed' ELSE '' END || CASE WHEN length(x) % 3 = 0 THEN ' {B.PLACEHOLDER}' ELSE '' END) AS scn,
+    coalesce(s[1], '') AS narration, coalesce(s[2], '') AS quirk, string_split(s[1], ' ') AS props, lower(coalesce(substr(s[len(s)], 1, 4), doc_id::VARCHAR)) AS brand FROM l),
+  k AS (SELECT doc_id, n, NOT contains(lower(array_to_string(scn[1:n - 1], ' ')), brand) AS product_absent,
+    doc_id % 11 = 0 OR NOT regexp_matches(lower(coalesce(scn[2], '')), '{"|".join(B.RESOLVERS)}') AS escalation,
+    len(list_filter(list_intersect(regexp_extract_all(lower(quirk), '[a-z]{{5,}}'), regexp_extract_all(lower(narration), '[a-z]{{5,}}')), lambda x: x NOT IN {B.STOP_WORDS})) = 0 AS quirk_unspoken,
+    {every("contains(lower(x), 'mouth') AND contains(lower(x), 'closed') OR contains(lower(x), 'nobody speaks')")} AS mouths_closed,
+    n_chars % 3 = 0 OR contains(lower(narration), 'middle third') AS crop_clause,
+    {every(f"NOT (regexp_matches(lower(replace(x, '{B.PLACEHOLDER}', ' ')), '{B.PRONOUNS}') AND NOT contains(x, '{B.PLACEHOLDER}') OR regexp_matches(lower(replace(x, '{B.PLACEHOLDER}', ' ')), '{B.HUMAN_NOUNS}') OR contains(x, '{B.NARRATOR}'))")} AS cast,
+    NOT regexp_matches(lower(narration), '{B.PRONOUNS}') AS register,
+    doc_id % 7 > 0 OR n > 0 AND (n_chars % 2 = 0 OR len(list_filter(scn[1:2], lambda x: contains(x, '{B.PLACEHOLDER}'))) = 0) AS chain,
+    doc_id % 3 = 1 OR doc_id % 3 = 0 AND n >= {B.BUILDER_SLOTS} AND 1 + len(regexp_extract_all(regexp_replace(narration, '\s+$', ''), '[.?!]\s')) >= {B.BUILDER_SLOTS} AS slots,
+    n_chars % 4 <> 2 AS switches,
+    n = 0 OR len(list_filter(props, lambda x: trim(x) = '')) = 0 AND len(list_distinct(list_transform(props, lambda x: lower(trim(x))))) = len(props) AS props,
+    n > 0 AND n_chars % 2 = 0 AND (doc_id % 10 > 0 OR n = 1) AND (doc_id % 10 <> 5 OR doc_id % 3 <> 1 OR n <= {B.BUILDER_SLOTS}) AS hook_first,
+    {every(f"len(list_filter(string_split_regex(x, '[\\s]+'), lambda w: w <> '')) <= {B.SCENE_WORDS_MAX}")} AS scene_length FROM b)
+  SELECT doc_id, n AS scenes, {", ".join(f'"{k}"' for k in CHECKS)}, CASE WHEN n > 0 AND {" AND ".join(f'"{k}"' for k in CHECKS)} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM k""")
 def board_lint(t):
-    d = t.documents.select("doc_id", F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "").alias("s")).where("size(s) >= 3")
-    b = d.selectExpr("doc_id", "string(doc_id) AS spot", "'the' AS brand", "map('a', s[0], 'b', s[1], 'c', s[2]) AS scenes", "'One. Two. Three.' AS narration", "'' AS quirk",
-                     "IF(doc_id % 3 = 0, 'a', 'b') AS hook", "CAST(NULL AS ARRAY<STRING>) AS order", "CAST(NULL AS ARRAY<STRING>) AS chain",
-                     "IF(doc_id % 2 = 0, array(array('a'), array('b'), array('c')), array(array('a'), array('b', 'c'))) AS slots",
-                     "IF(doc_id % 5 = 0, array('Mug', ' mug '), array('mug')) AS props", "CAST(NULL AS STRING) AS switches", "false AS escalation", "'' AS character_noun", "'middle third' AS guard")
+    s = c("s")
+    d = spread(t.documents.select("doc_id", "n_chars", "lang", "text")).select("doc_id", "n_chars", "lang", F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "").alias("s"))
+    d = d.withColumn("keys", F.transform(s, lambda x, i: F.lpad((i + 1).cast("string"), 9, "0")))
+    scene = lambda x: F.concat(x, F.when((c("n_chars") % 2 == 0) | (F.length(x) % 7 > 0), ", Mouth closed").otherwise(""), F.when(F.length(x) % 3 == 0, f" {B.PLACEHOLDER}").otherwise(""))
+    d = d.withColumn("scenes", F.map_from_arrays("keys", F.transform(s, scene)))
+    b = d.selectExpr("doc_id", "size(s) AS n", "string(doc_id) AS spot", "substr(try_element_at(s, -1), 1, 4) AS brand", "scenes", "coalesce(try_element_at(s, 1), '') AS narration",
+                     "coalesce(try_element_at(s, 2), '') AS quirk", "try_element_at(keys, IF(n_chars % 2 = 0, 1, 2)) AS hook", "CASE doc_id % 10 WHEN 0 THEN reverse(keys) WHEN 5 THEN keys END AS order",
+                     "IF(doc_id % 7 = 0, slice(keys, 1, 2), NULL) AS chain", "CASE doc_id % 3 WHEN 0 THEN array(slice(keys, 1, 1), slice(keys, 2, 1), slice(keys, 3, size(keys))) WHEN 2 THEN array(keys) END AS slots",
+                     "split(try_element_at(s, 1), ' ') AS props", "element_at(array('slots', 'off', 'loud', NULL), int(n_chars % 4 + 1)) AS switches", "doc_id % 11 = 0 AS escalation",
+                     "IF(n_chars % 2 = 0, lang, '') AS character_noun", "IF(n_chars % 3 = 0, 'keep the Middle Third', coalesce(try_element_at(s, 1), '')) AS guard")
     out = B.lint(b)
-    return out.select("doc_id", *[c("checks")[k].alias(k) for k in ("product_absent", "escalation", "scene_length", "hook_first", "slots", "props")])
+    return out.select("doc_id", c("n").cast("bigint").alias("scenes"), *[c("checks")[k].alias(k) for k in CHECKS], "verdict")

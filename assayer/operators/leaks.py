@@ -22,7 +22,6 @@ FILENAME_RULES = (
     Rule("HIGH", "CLASS3-FIRST-PARTY", "stale-backup-file-in-tree", r"backup|\.bak$|\.keep$|~$|\.orig$"),
     Rule("BLOCKER", "CLASS1-CREDENTIALS", "secret-bearing-filename", r"^\.env$|^\.env\.|\.pem$|\.p12$|\.pfx$|\.key$|^id_rsa|^id_ed25519|\.plist$"),
 )
-MAX_RULES = 2_000
 ASCII_BORDER = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
 
 
@@ -51,13 +50,10 @@ def explode_lines(docs: DataFrame, text: str = "text", keep: list[str] | None =
 
 
 def rules_from(df: DataFrame) -> list[Rule]:
-    """A user's rule table (severity, class, label, regex[, flags]) as rules. Rules are configuration and small;
-    a table of more than ``MAX_RULES`` is refused rather than cut."""
-    rows = df.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules; scan in several passes")
+    """A short rule table (severity, class, label, regex[, flags]) as rules of one plan; ``rule_index.scan_rule_table`` takes
+    tables of any length."""
     out = []
-    for r in rows:
+    for r in df.collect():
         d = r.asDict()
         if d.get("regex"):
             out.append(Rule(d["severity"], d["class"], d["label"], d["regex"], "-i" in (d.get("flags") or "")))
@@ -193,14 +189,27 @@ def _context_kept(regex: str) -> str:
 
 
 def redact(text: Column, rules: list[Rule]) -> Column:
-    """Matched spans of each line replaced by ``<label>``, rule by rule; line breaks and the context of a match stay."""
-    def line(x: Column) -> Column:
+    """Matched spans of each line replaced by ``<label>``, rule by rule; line breaks and the context of a match stay.
+
+    The text is tried once per rule, as in ``regex_scan``. Only lines that one of the rules found there matches are rewritten,
+    and those by all rules in turn, since what one of them leaves may match another.
+    """
+    def rewritten(x: Column) -> Column:
         for r in rules:
             regex = java_regex(r).removeprefix("(?i)")
             x = F.regexp_replace(x, ("(?i)" if r.any_case else "") + _context_kept(regex), f"<{r.label}>")
         return x
 
-    return F.array_join(F.transform(F.split(text, "\n"), line), "\n")
+    def line(x: Column, found: Column) -> Column:
+        hit = F.lit(False)
+        for i, r in enumerate(rules):
+            hit = hit | (F.array_contains(found, i) & _guarded(x, r))
+        return F.when(hit, rewritten(x)).otherwise(x)
+
+    found = F.array_compact(F.array(*[F.when(_guarded(text, r, "(?m)"), F.lit(i)) for i, r in enumerate(rules)]))
+    whole = lambda s: F.when(F.size(s["found"]) == 0, s["text"]).otherwise(
+        F.array_join(F.transform(F.split(s["text"], "\n", -1), lambda x: line(x, s["found"])), "\n"))
+    return F.transform(F.array(F.struct(text.alias("text"), found.alias("found"))), whole)[0]
 
 
 def pack_chunks(docs: DataFrame, group: str, order: str, size: Column, max_size: int) -> DataFrame:

@@ -5,11 +5,11 @@ A run can be as long as the whole ledger, so nothing here windows over a whole r
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions.verdicts import MAX_EYE_REJECTS, MAX_SCENE_REROLLS, MAX_WITHDRAWALS
-from assayer.operators.ordered import chunk_of, scan_in_order
+from assayer.operators.ordered import chunk_of, outside, scan_in_order
 from assayer.sources.inline import inline_table
 
 # The routes of the process, its stop edges and the one that crosses a run boundary.
@@ -185,9 +185,24 @@ def out_of_order_gates(ledger: DataFrame, by: str, early: Column, late: Column,
 def running_spend(requests: DataFrame, budget_cents: int, chunk: Column | None = None) -> DataFrame:
     """Cumulative cents per run and what happens to each request: sent, refused (the first past the budget or
     without a price) or not sent (everything after it). Spending the budget exactly is allowed."""
-    at = chunk_of("seq") if chunk is None else chunk
-    run = scan_in_order(requests, ["run"], ["seq"], at, sums={"spent": F.col("cents")})
-    return spend_states(run.withColumn("bad", F.col("cents").isNull() | (F.col("spent") > budget_cents)), at)
+    rows = requests.withColumn("__chunk", chunk_of("seq") if chunk is None else chunk)
+    inside = Window.partitionBy("run", "__chunk").orderBy("seq")
+    rows = rows.withColumn("__own", F.coalesce(F.sum("cents").over(inside.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    # A chunk acts on what was spent before it through its sum, its largest running sum and whether a price is missing. Both
+    # passes over these summaries are small; the rows are shuffled and ordered once.
+    brief = rows.groupBy("run", "__chunk").agg(F.sum("cents").alias("__sum"), F.max("__own").alias("__most"), F.max(F.col("cents").isNull()).alias("__gap"))
+    before = outside(brief, ["run"], {"__sum": F.sum}).select("run", "__chunk", F.coalesce("__sum", F.lit(0)).alias("__paid"))
+    marks = before.select(F.col("run").alias("__run"), F.col("__chunk").alias("__at"), "__paid")
+    met = brief.join(marks, brief["run"].eqNullSafe(marks["__run"]) & (brief["__chunk"] == marks["__at"]))
+    broken = met.select("run", "__chunk", "__paid", (F.col("__gap") | (F.col("__paid") + F.col("__most") > budget_cents)).cast("int").alias("__broke"))
+    late = outside(broken.select("run", "__chunk", "__broke"), ["run"], {"__broke": F.max}).select(
+        F.col("run").alias("__run"), F.col("__chunk").alias("__at"), (F.coalesce("__broke", F.lit(0)) > 0).alias("__late"))
+    carry = broken.drop("__broke").join(late, F.col("run").eqNullSafe(F.col("__run")) & (F.col("__chunk") == F.col("__at"))).select("__run", "__at", "__paid", "__late")
+    run = rows.join(carry, rows["run"].eqNullSafe(carry["__run"]) & (rows["__chunk"] == carry["__at"]))
+    run = run.withColumn("spent", F.col("__paid") + F.col("__own")).withColumn("__bad", (F.col("cents").isNull() | (F.col("spent") > budget_cents)).cast("int"))
+    earlier = F.coalesce(F.max("__bad").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) > 0
+    state = F.when(F.col("__late") | earlier, "not sent").when(F.col("__bad") > 0, "refused").otherwise("sent")
+    return run.withColumn("state", state).select(*requests.columns, "spent", "state")
 
 
 def spend_states(requests: DataFrame, chunk: Column) -> DataFrame:

@@ -29,7 +29,7 @@ def day_of(ts: Column | str) -> Column:
     return F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
 
 
-def _outside(summary: DataFrame, keys: list[str], folds: dict[str, Callable[[str], Column]]) -> DataFrame:
+def outside(summary: DataFrame, keys: list[str], folds: dict[str, Callable[[str], Column]]) -> DataFrame:
     """Per (keys, __chunk), the folded summaries of all earlier chunks of the key; for ``__first`` those of all later ones.
 
     Spans of chunks are folded first. What lies outside a span enters it as an edge row before and, where later chunks
@@ -81,14 +81,14 @@ def scan_in_order(df: DataFrame, keys: list[str], order: list[str], chunk: Colum
 
     folds = {"__n": F.sum, **{f"__s_{k}": F.sum for k in sums}, **{f"__m_{k}": F.max for k in maxes}, **{f"__f_{k}": F.max for k in fills},
              **({"__last": F.max} if lag else {}), **({"__first": F.min} if lead else {})}
-    outside = _outside(summary, keys, folds)
+    around = outside(summary, keys, folds)
     carried = [F.col(k) for k in folds if k[:4] != "__f_" and k not in ("__last", "__first")]
     carried += [F.col(f"__f_{k}")["__v"].alias(f"__f_{k}") for k in fills]
     carried += [F.col("__last")[f"__g_{k}"].alias(f"__g_{k}") for k in lag]
     carried += [F.col("__first")[f"__h_{k}"].alias(f"__h_{k}") for k in lead]
     # What other chunks contribute joins a chunk as rows of its own, one before its first row and, for ``lead``, one
     # after its last. The window then needs no join: one shuffle and one sort of the rows.
-    carry = outside.select(*keys, "__chunk", *carried)
+    carry = around.select(*keys, "__chunk", *carried)
     carry = carry.withColumn("__flag", F.explode(F.array(F.lit(0), F.lit(2)))) if lead else carry.withColumn("__flag", F.lit(0))
     both = rows.unionByName(carry, allowMissingColumns=True)
 
@@ -147,5 +147,5 @@ def islands(df: DataFrame, keys: list[str], order: list[str], chunk: Column, sta
     return scan_in_order(df, keys, order, chunk, sums={"island": flag})
 
 
-__all__ = ["CHUNK_ROWS", "chunk_of", "day_of", "dense_index", "drop_halo", "halo_window", "islands", "scan_in_order",
+__all__ = ["CHUNK_ROWS", "chunk_of", "day_of", "dense_index", "drop_halo", "halo_window", "islands", "outside", "scan_in_order",
            "with_halo"]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.operators.bars import chunks_by_count
-from assayer.operators.ordered import CHUNK_ROWS, chunk_of, drop_halo, halo_window, scan_in_order, with_halo
+from assayer.operators.ordered import CHUNK_ROWS, SPAN_CHUNKS, chunk_of, drop_halo, halo_window, scan_in_order, with_halo
 from assayer.operators.quantiles import percentiles
 from assayer.operators.spacing import spaced
 
@@ -358,20 +358,25 @@ def spaced_top_k(df: DataFrame, key: str, pos: str, change: str, energy: str, k:
     """The ``k`` strongest local peaks at least ``spacing`` apart, taken by energy and returned in time order.
 
     A candidate stands for the largest change within ``half`` samples of it. A pick can rule out only the candidates
-    whose peak lies within ``spacing`` of it, so the first k * (2 * (spacing + half) + 1) candidates decide everything:
-    the rank limit is exact, keeps hot series small, and applies before the shuffle. ``forced`` (key, pos) peaks come first.
+    whose peak lies within ``spacing`` of it, so the first k * (2 * (spacing + half) + 1) candidates decide everything. That exact
+    rank limit is applied inside each chunk, where rows already lie, then inside spans of chunks, then to what is left of a
+    series; only the first of these sees all rows. ``forced`` (key, pos) peaks come first.
     """
     from pyspark.sql import Window
     # Snap to the largest change nearby, the earliest on a tie.
     w = halo_window([key], pos).rowsBetween(-half, half)
     d = with_halo(df.select(key, pos, change, energy), pos, half, half)
     d = d.withColumn("__pk", F.max(F.struct(c(change).alias("ch"), (-c(pos)).alias("np"))).over(w))
-    cand = drop_halo(d).where(c(energy) >= min_energy).select(key, (-F.round(energy, 9)).alias("neg"), c(pos).alias("at"), (-c("__pk.np")).alias("peak"))
+    cand = d.where(c("__own") & (c(energy) >= min_energy)).select(key, "__chunk", (-F.round(energy, 9)).alias("neg"), c(pos).alias("at"), (-c("__pk.np")).alias("peak"))
     if last_pos is not None:
         cand = cand.where(c("peak") <= last_pos)
     limit = k * (2 * (spacing + half) + 1)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("neg", "at"))
-    few = cand.withColumn("__rk", rank).where(c("__rk") <= limit).drop("__rk")
+
+    def first(rows: DataFrame, by: list[str | Column]) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("neg", "at"))
+        return rows.withColumn("__rk", rank).where(c("__rk") <= limit).drop("__rk")
+
+    few = first(first(first(cand, [key, "__chunk"]), [key, F.floor(c("__chunk") / SPAN_CHUNKS)]), [key])
     lists = few.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("neg", "at", "peak"))).alias("__c"))
     start = F.array().cast("array<bigint>")
     if forced is not None:

@@ -103,10 +103,17 @@ def parse_reading(probe: Column, text: Column) -> Column:
 
 
 def read_readings_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """One reading per saved output file named ``<item>.<probe>.txt``; files without a match come second."""
-    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    t = t.select("file", F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 1).alias("item"),
-                 F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 2).alias("probe"), F.col("value").alias("text"))
+    """One reading per saved output file; files without a match come second.
+
+    A file is named ``<item>.<probe>.txt``, or lies in folders ``item=.../probe=...`` under any name.
+    """
+    t = spark.read.text(path, wholetext=True)
+    file = F.col("_metadata.file_name").alias("file")
+    if "item" in t.columns and "probe" in t.columns:
+        t = t.select(file, F.col("item").cast("string").alias("item"), F.col("probe").cast("string").alias("probe"), F.col("value").alias("text"))
+    else:
+        t = t.select(file, "value").select("file", F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 1).alias("item"),
+                                           F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 2).alias("probe"), F.col("value").alias("text"))
     parsed = t.withColumn("reading", parse_reading(F.col("probe"), F.col("text"))).drop("text")
     return parsed.where("reading IS NOT NULL"), parsed.where("reading IS NULL").drop("reading")
 

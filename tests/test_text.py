@@ -1,4 +1,5 @@
 """Spoken and written lines, captions, leak scanning and board lint."""
+import random
 import re
 
 import pytest
@@ -11,34 +12,101 @@ from assayer.operators import leaks as K
 from assayer.operators import lint as B
 from assayer.plans import captions as P
 
-SAME = [
-    ("Our co-op opens at nine.", "Our coop opens at 9."), ("Visit acme.io before noon", "visit acme io before noon"), ("They re-sent four parcels", "They resent 4 parcels"),
-    ("The 'quiet' car", "the quiet car"), ("Pay $2,500 today", "pay two thousand five hundred dollars today"), ("Bus 07:15", "bus seven 15"),
-    ("\u201cLet\u2019s go\u201d", "\"let's go\""), ("Model B-12 ships", "model B12 ships"),
-]
-DIFFERENT = [
-    ("Our coop opens", "Our coops open"), ("seven eight", "seventy eight"), ("row 4 5", "row 45"), ("all together now", "altogether now"), ("gate thirty-one", "gate31"),
-    ("It weighs 2.5 pounds", "It weighs 25 pounds"), ("The cat naps", "The cap naps"), ("We'll see", "Well see"),
-]
+c = F.col
+TENS = ["", "", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety"]
+SMALL = list(X.UNITS)[:20]
 
 
-def test_same_and_different_words(spark):
-    rows = [(a, b, True) for a, b in SAME] + [(a, b, False) for a, b in DIFFERENT]
-    df = spark.createDataFrame(rows, "a STRING, b STRING, same BOOLEAN")
-    for r in df.select("a", "b", "same", X.same_words(F.col("a"), F.col("b")).alias("v")).collect():
-        assert r["v"].startswith("MATCH") == r["same"], tuple(r)
+def in_words(n, r):
+    """A number below ten million as words, hyphens and ``and`` drawn at random."""
+    if n >= 1_000_000:
+        return in_words(n // 1_000_000, r) + " million" + (" " + in_words(n % 1_000_000, r) if n % 1_000_000 else "")
+    if n >= 1_000:
+        return in_words(n // 1_000, r) + " thousand" + (" " + in_words(n % 1_000, r) if n % 1_000 else "")
+    if n >= 100:
+        return SMALL[n // 100] + " hundred" + (r.choice([" ", " and "]) + in_words(n % 100, r) if n % 100 else "")
+    return SMALL[n] if n < 20 else TENS[n // 10] + (r.choice([" ", "-"]) + SMALL[n % 10] if n % 10 else "")
 
 
-NUMBERS = [
-    ("three hundred and forty two tickets", "342 tickets"), ("six seven", "6 7"), ("ninety nine", "99"), ("salt and pepper", "salt and pepper"), ("a million reasons by eight", "1000000 reasons by 8"),
-    ("fifty sixty", "50 60"), ("eleven two", "11 2"), ("thousand", "1000"), ("four thousand and six", "4006"), ("three and four", "3 and 4"), ("forty and", "40 and"), ("zero nine", "0 9"),
-]
+def drawn_word(r, low=4, high=9):
+    return "".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(r.randint(low, high) // 2 + 1))
+
+
+def drawn(r):
+    """A line as words, one number among them."""
+    words = [drawn_word(r) for _ in range(r.randint(3, 8))]
+    at = r.randrange(len(words))
+    return words, at, r.choice([r.randrange(10), r.randrange(100), r.randrange(1_000), r.randrange(1_000_000)])
+
+
+def line(words, at, number):
+    return " ".join([*words[:at], str(number), *words[at:]])
+
+
+# Name of an edit: what it makes of a drawn line. Each draws no letter anew.
+KEEP = {
+    "spelled number": lambda w, i, n, r: line(w, i, in_words(n, r)),
+    "grouped digits": lambda w, i, n, r: line(w, i, f"{n:,}"),
+    "capitals": lambda w, i, n, r: line(w, i, n).upper(),
+    "blanks": lambda w, i, n, r: line(w, i, n).replace(" ", r.choice(["  ", "\t", "\n", "\u00a0"])),
+    "stops and commas": lambda w, i, n, r: line([x + r.choice([",", ".", "!", "?", ";", ""]) for x in w], i, n),
+    "curly quotes": lambda w, i, n, r: "\u201c" + line(w, i, n) + "\u201d",
+    "a dash": lambda w, i, n, r: line([w[0] + r.choice([" \u2014", " -", "\u2013"]), *w[1:]], max(1, i), n) if i else "- " + line(w, i, n),
+}
+SPLIT = {
+    "hyphen in a word": lambda w, i, n, r: line([w[0][:2] + "-" + w[0][2:], *w[1:]], i, n),
+    "points in a word": lambda w, i, n, r: line([*w[:-1], w[-1][:3] + "." + w[-1][3:]], i, n),
+}
+CHANGE = {
+    "a letter": lambda w, i, n, r: line([w[0][:-1] + "xy"[w[0][-1] == "x"], *w[1:]], i, n),
+    "a word less": lambda w, i, n, r: line(w[1:], max(0, i - 1), n),
+    "a word more": lambda w, i, n, r: line([*w, "more"], i, n),
+    "the next number": lambda w, i, n, r: line(w, i, n + 1),
+    "digits apart": lambda w, i, n, r: line(w, i, f"{n} {n}"),
+    "a space in a word": lambda w, i, n, r: line([w[0][:2] + " " + w[0][2:], *w[1:]], i, n),
+    "two words in one": lambda w, i, n, r: line([w[0] + w[1], *w[2:]], max(0, i - 1), n),
+    "a point between digits": lambda w, i, n, r: line(w, i, f"1{n}.{n}") + " ",
+}
+
+
+@pytest.mark.parametrize(("edits", "verdict"), [(KEEP, "MATCH"), (SPLIT, "MATCH (split)"), (CHANGE, "MISMATCH")])
+def test_edits_keep_split_or_change_words(spark, edits, verdict):
+    r, rows = random.Random(len(edits)), []
+    for name, edit in edits.items():
+        for _ in range(25):
+            words, at, number = drawn(r)
+            rows.append((name, line(words, at, number), edit(words, at, number, r)))
+    df = spark.createDataFrame(rows, "edit STRING, a STRING, b STRING")
+    got = df.select("*", X.same_words(c("a"), c("b")).alias("v"), X.same_words(c("b"), c("a")).alias("w")).collect()
+    wrong = [tuple(x) for x in got if x["v"] != verdict or x["w"] != verdict]
+    assert not wrong, wrong[:5]
+
+
+def test_prices_and_clocks_are_said_as_numbers(spark):
+    r, rows = random.Random(7), []
+    for _ in range(60):
+        noun, price, hour, minute = drawn_word(r), r.randrange(1, 1_000_000), r.randrange(1, 24), r.randrange(10, 60)
+        rows += [(f"{noun} for ${price:,}", f"{noun} for {in_words(price, r)} dollars"), (f"{noun} until {hour}:00", f"{noun} until {in_words(hour, r)}"),
+                 (f"{noun} at {hour:02d}:{minute}", f"{noun} at {in_words(hour, r)} {minute}")]
+    got = spark.createDataFrame(rows, "a STRING, b STRING").select("a", "b", X.same_words(c("a"), c("b")).alias("v")).where("v <> 'MATCH'").collect()
+    assert not got, got[:5]
 
 
 def test_number_words(spark):
-    df = spark.createDataFrame(NUMBERS, "t STRING, want STRING")
-    for r in df.select("t", "want", F.array_join(X.tokens(F.col("t")), " ").alias("got")).collect():
-        assert r["got"] == r["want"], r["t"]
+    r, rows = random.Random(11), []
+    for _ in range(200):
+        n, m, noun = r.randrange(10_000_000), r.randrange(10), drawn_word(r)
+        rows.append((f"{in_words(n, r)} {noun}", f"{n} {noun}"))
+        rows.append((f"{noun} and {in_words(n, r)}, {noun}", f"{noun} and {n} {noun}"))
+        # A unit can't follow a unit or a teen, nor a ten a ten: two numbers.
+        rows.append((f"{SMALL[m]} {SMALL[r.randrange(10)]}", None))
+        rows.append((f"{TENS[2 + m % 8]} {TENS[2 + n % 8]}", f"{10 * (2 + m % 8)} {10 * (2 + n % 8)}"))
+        rows.append((f"{SMALL[10 + m]} {SMALL[m]} {noun}", f"{10 + m} {m} {noun}"))
+        rows.append((f"a {r.choice(list(X.SCALES))}", None))
+    rows = [(t, w if w is not None else " ".join(str(X.UNITS[x]) for x in t.split()) if t[:2] != "a " else str(X.SCALES[t[2:]])) for t, w in rows]
+    df = spark.createDataFrame(rows, "t STRING, want STRING").select("t", "want", F.array_join(X.tokens(c("t")), " ").alias("got"))
+    wrong = [tuple(x) for x in df.collect() if x["got"] != x["want"]]
+    assert not wrong, wrong[:5]
 
 
 def test_sentences_words_and_diffs(spark):
