@@ -445,7 +445,7 @@ SHOWN = "CASE (doc + turn + cue) % 4 WHEN 1 THEN {short} WHEN 2 THEN {said} || '
 
 
 @query("caption_check", "T8", f"""
-  WITH t AS (SELECT doc, turn, (start_s // 7)::BIGINT AS cue, list(text ORDER BY start_s) AS ws FROM fx_words GROUP BY ALL),
+  WITH t AS (SELECT doc, turn, cast(floor(start_s / 7) AS BIGINT) AS cue, list(text ORDER BY start_s) AS ws FROM fx_words GROUP BY ALL),
   k AS (SELECT f.*, {SHOWN.format(said="array_to_string(ws, ' ')", short="array_to_string(ws[1:3], ' ')")} AS shown FROM fx_cues f JOIN t USING (doc, turn, cue)),
   s AS (SELECT k.doc, k.turn, k.cue, k.start_s, k.end_s, k.shown, count(w.start_s) AS spoken, min(w.start_s) AS f, max(w.end_s) AS l, coalesce(string_agg(w.text, ' ' ORDER BY w.start_s), '') AS said
      FROM k LEFT JOIN fx_words w ON k.doc = w.doc AND k.turn = w.turn AND w.start_s >= k.spoken_start - 0.05 AND w.end_s <= k.spoken_end + 0.05 GROUP BY ALL),
