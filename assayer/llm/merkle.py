@@ -179,7 +179,7 @@ def _met(blocks: DataFrame, above: DataFrame, keys: list[str]) -> DataFrame:
 
 def descend(levels: list[DataFrame], keys: list[str], roots: DataFrame, tall: int) -> DataFrame:
     """The lowest blocks with the paths of their roots. ``roots``: (keys, lefts, rights, subroot, root) of each tree."""
-    start = roots.withColumn("_at", F.lit(0).cast("bigint"))
+    start = settle(roots.withColumn("_at", F.lit(0).cast("bigint")), "paths")
     above = None
     for depth in range(len(levels) - 1, -1, -1):
         blocks = levels[depth]
@@ -249,7 +249,7 @@ def verify_rows(df: DataFrame, claims: dict[str, Column] | None = None, id_col:
     lowest = descend(above, [], start, tall)
     by_place = _below(lowest, [], tall).drop("subroot")
     told = groups.select("_group", "pos", F.lower(F.hex("digest")).alias("subroot")).join(by_place, F.col("pos") == F.col("_at"))
-    return _proven(descend(trees, ["_group"], settle(told.select("_group", "lefts", "rights", "subroot", "root"), "paths"), tall), id_col, tall)
+    return _proven(descend(trees, ["_group"], told.select("_group", "lefts", "rights", "subroot", "root"), tall), id_col, tall)
 
 
 def tampered_text(id_col: str = "doc_id", text_col: str = "text") -> Column:

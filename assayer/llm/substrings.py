@@ -3,397 +3,313 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from difflib import SequenceMatcher
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from assayer.llm.scan import scan, slices, texts
+from assayer.llm.numbering import numbered
+from assayer.llm.passages import KMER, MARGIN, MIN_WORDS, SPAN, align, chains, keys, word_hashes, worth_following
+from assayer.llm.scan import Recent, scan, slices, texts
 from assayer.session import settle
 
-#: Words per seed and seeds per window: of each run of KMER + WINDOW - 1 equal words (17) a seed is kept, and the same one in all texts.
-KMER, WINDOW = 6, 12
-MIN_WORDS, SIMILARITY = 50, 0.8
-GAP_COST, MAX_GAP, MAX_SHIFT = 0.1, 40, 20
-#: Words carried on both sides of a chain for its extension; words that may be skipped at once there and that must agree after.
-MARGIN, SKIP, AGREE = 256, 4, 4
-#: Words around a chain that show whether its passage can have MIN_WORDS; characters sent on at once.
-NEAR, HELD = 64, 4 << 20
-#: So many neighbouring seeds count as a seed as well: other texts that hold lines of a passage seldom hold its line borders.
-RUN = 3
+#: Words of texts whose seeds meet in one bucket, at least and at most; buckets are cut by size, not by key.
+FEW_WORDS, MANY_WORDS = 1 << 18, 1 << 24
 #: A seed in more texts of one slice than this goes on as its first text alone; the others are tied to that one and to each other.
-HOT_IN_SLICE, ASKED_AT_ONCE = 8, 1_000
-
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+HOT_IN_SLICE, HOT_REMEMBERED = 8, 1 << 16
+#: Places of a seed in a text that are linked with each other.
+FEW_PLACES = 4
 _WORD = re.compile(r"[^ \t-\r]+")
-_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def words_of(text: str) -> list[bytes]:
-    return text.encode().translate(_LOWER).split()
-
-
-class _Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 1 << 20)
-            grow = lambda b: np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, b, np.uint64)]))
-            self.up, self.down = grow(_BASE), grow(_INVERSE)
-        return self.up, self.down
-
-
-_powers = _Powers()
-
-
-def seeds(many: list[list[bytes]], k: int = KMER, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text index, word index) of the minimizers: of every ``window`` neighbouring k-mers the one of least hash."""
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(w) for w in many])
-    if not sizes.sum():
-        return none
-    data = np.frombuffer(b" ".join(b" ".join(w) for w in many if w), np.uint8)
-    up, down = _powers.to(len(data) + 1)
-    spaces = np.flatnonzero(data == 32)
-    begin, end = np.concatenate([[0], spaces + 1]), np.append(spaces, len(data))
-    owner = np.repeat(np.arange(len(many)), sizes)
-    n = len(begin) - k - window + 2
-    if n <= 0:
-        return none
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)])])
-    h = (sums[end[k - 1:]] - sums[begin[:len(begin) - k + 1]]) * down[begin[:len(begin) - k + 1]]
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    at = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(n)
-    at = np.unique(at[owner[:n] == owner[k + window - 2:]])
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    return h[at], owner[at], at - first[owner[at]]
-
-
-def _keys(many: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Seeds and runs of RUN neighbouring seeds, which have a hash of their own and begin where their first seed does."""
-    h, who, pos = seeds(many)
-    if len(h) < RUN:
-        return h, who, pos
-    ends = len(h) - RUN + 1
-    run = np.full(ends, 0x5555555555555555, np.uint64)
-    for i in range(RUN):
-        run = (run ^ h[i:i + ends]) * np.uint64(_BASE)
-        run ^= run >> np.uint64(29)
-    one = who[:ends] == who[RUN - 1:]
-    return np.concatenate([h, run[one]]), np.concatenate([who, who[:ends][one]]), np.concatenate([pos, pos[:ends][one]])
-
-
-def _slice_rows(docs: np.ndarray, many: list[list[bytes]]) -> tuple[tuple[np.ndarray, ...], pa.Array]:
-    """Rows (g, doc, pos, last, src, spos, slast) of a slice and each one's further places; src -1: a seed, to be grouped by its hash g;
-    else a link. A row holds all places of a seed in a text."""
-    h, who, pos = _keys(many)
-    doc = docs[who]
-    order = np.lexsort((pos, doc, h))
-    h, doc, pos = h[order], doc[order], pos[order]
-    if not len(h):
-        return (np.zeros(0, np.int64),) * 7, pa.array([], pa.list_(pa.int32()))
-    other = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))
-    keep = other | np.append(True, pos[1:] != pos[:-1])  # rows that repeat an id
-    h, doc, pos, fresh = h[keep], doc[keep], pos[keep], other[keep]
-    starts = np.flatnonzero(fresh)
-    size = np.diff(np.append(starts, len(h)))
-    more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size - 1)), pa.int32()), pa.array(pos[~fresh], pa.int32()))
-    g, d, p, last = h[starts], doc[starts], pos[starts], pos[starts + size - 1]
-    head = np.append(True, g[1:] != g[:-1])
-    lead = np.maximum.accumulate(np.where(head, np.arange(len(g)), 0))
-    count = np.diff(np.append(np.flatnonzero(head), len(g)))[np.cumsum(head) - 1]
-    tied = (count > HOT_IN_SLICE) & ~head
-    twice = np.flatnonzero(tied & (lead < np.arange(len(g)) - 1))
-    at = np.append(np.arange(len(g)), twice)
-    to = np.append(np.where(tied, lead, -1), twice - 1)
-    src, spos, slast = (np.where(to >= 0, x[to], -1) for x in (d, p, last))
-    mixed = g[at]
-    mixed[to >= 0] ^= d[at][to >= 0].astype(np.uint64) * np.uint64(_BASE)  # ties need no meeting, so they are dealt anywhere
-    return (mixed.view(np.int64), d[at], p[at], last[at], src, spos, slast), more.take(pa.array(at))
-
-
-def seed_links(df: DataFrame) -> DataFrame:
-    """(doc_id, source_id, pos, spos): each place of a seed or run tied to its first text and to the one before, in order of ids.
-
-    Of the source its first and its last place are used. The number of links grows with the seeds, not with pairs of texts. A seed
-    that is frequent in a slice of texts meets other slices through one of its texts, the others are tied to that one and to the
-    one before them in the slice, so what is gathered under a frequent seed is a row per slice.
-    """
-    names = ["g", "doc_id", "pos", "last", "src", "spos", "slast", "more"]
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
-            b = b.filter(b.column(0).is_valid())
-            many = [words_of(t) for t in texts(b, "text")]
-            cols, more = _slice_rows(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), many)
-            kinds = (np.int64, np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(t, copy=False)) for c, t in zip(cols, kinds, strict=True)), more], names)
-
-    rows = scan(df.select(F.col("doc_id").cast("long"), "text"), task,
-                "g long, doc_id long, pos int, last int, src long, spos int, slast int, more array<int>")
-    by = W.partitionBy("g").orderBy("doc_id", "pos")
-    place = F.struct(F.col("doc_id").alias("source_id"), F.col("pos").alias("spos"), F.col("last").alias("slast"))
-    met = (rows.withColumn("_first", F.first(place).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
-           .withColumn("_prev", F.lag(place).over(by)))
-    tie = F.struct(F.col("src").alias("source_id"), "spos", "slast")
-    ends = F.when(F.col("src") >= 0, F.array(tie)).otherwise(F.array_distinct(F.array("_first", F.coalesce("_prev", "_first"))))
-    return (met.filter("src >= 0 OR _first.source_id < doc_id").select("doc_id", "pos", "more", F.explode(ends).alias("s"))
-            .filter("s.source_id <> doc_id").select("doc_id", "s", F.explode(F.concat(F.array("pos"), "more")).alias("pos"))
-            .select("doc_id", "s.source_id", "pos", F.explode(F.array_distinct(F.array("s.spos", "s.slast"))).alias("spos")))
-
-
-def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Disjoint chains of matches rising on both sides, best first.
-
-    A match is worth KMER words; a step costs GAP_COST per word it passes on either side, halved. The best predecessor is a
-    prefix maximum over source positions, kept in a Fenwick tree. Chains are cut at wide or lopsided steps.
-    """
-    matches = sorted(set(matches))
-    rank = {s: i + 1 for i, s in enumerate(sorted({s for _, s in matches}))}
-    tree: list[tuple[float, int]] = [(0.0, -1)] * (len(rank) + 1)
-    score, before, waiting = [], [], []
-    for j, (p, s) in enumerate(matches):
-        if waiting and matches[waiting[0]][0] < p:
-            for i in waiting:
-                entry, at = (score[i] + GAP_COST * sum(matches[i]) / 2, i), rank[matches[i][1]]
-                while at < len(tree):
-                    if entry > tree[at]:
-                        tree[at] = entry
-                    at += at & -at
-            waiting = []
-        best, at = (0.0, -1), rank[s] - 1
-        while at:
-            if tree[at] > best:
-                best = tree[at]
-            at -= at & -at
-        gain = best[0] - GAP_COST * (p + s) / 2
-        score.append(KMER + max(0.0, gain))
-        before.append(best[1] if best[1] >= 0 and gain > 0 else -1)
-        waiting.append(j)
-    used, out = [False] * len(matches), []
-    for j in sorted(range(len(matches)), key=lambda i: -score[i]):
-        run = []
-        while j >= 0 and not used[j]:
-            used[j] = True
-            run.append(matches[j])
-            j = before[j]
-        piece: list[tuple[int, int]] = []
-        for m in reversed(run):
-            if piece and (max(m[0] - piece[-1][0], m[1] - piece[-1][1]) > MAX_GAP or abs(m[0] - piece[-1][0] - m[1] + piece[-1][1]) > MAX_SHIFT):
-                out.append(piece)
-                piece = []
-            piece.append(m)
-        if piece:
-            out.append(piece)
-    return out
-
-
-def _equal(a: list, b: list, i: int, j: int, step: int) -> int:
-    n = 0
-    while 0 <= i < len(a) and 0 <= j < len(b) and a[i] == b[j]:
-        n, i, j = n + 1, i + step, j + step
-    return n
-
-
-def _extend(a: list, b: list, i: int, j: int, step: int) -> tuple[int, int, int]:
-    """Go on from (i, j) over equal words, past up to SKIP differing ones where AGREE words agree again; (i, j, matched)."""
-    matched = 0
-    while True:
-        n = _equal(a, b, i, j, step)
-        i, j, matched = i + step * n, j + step * n, matched + n
-        jump = next(((x, y) for far in range(1, 2 * SKIP + 1) for x in range(max(0, far - SKIP), min(far, SKIP) + 1)
-                     for y in [far - x] if _equal(a, b, i + step * x, j + step * y, step) >= AGREE), None)
-        if jump is None:
-            return i, j, matched
-        i, j = i + step * jump[0], j + step * jump[1]
-
-
-def align(a: list[str], b: list[str], anchors: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Passages (start, end, source start, source end, matched words) of a chain, long and similar enough.
-
-    Words between anchors are matched by their longest matching blocks, both ends are extended. Where the whole isn't similar
-    enough, it is cut at the step with most unmatched words and both sides are tried.
-    """
-    steps = []
-    for (p, s), (q, t) in zip(anchors, anchors[1:], strict=False):
-        x, y = a[p:q], b[s:t]
-        n = len(x) if x == y else sum(m.size for m in SequenceMatcher(None, x, y, False).get_matching_blocks())
-        steps.append((n, len(x) + len(y) - 2 * n))
-
-    def part(lo: int, hi: int) -> list[tuple[int, int, int, int, int]]:
-        (p, s), (q, t) = anchors[lo], anchors[hi]
-        i, j, left = _extend(a, b, p - 1, s - 1, -1)
-        e, f, right = _extend(a, b, q, t, 1)
-        matched = left + right + sum(n for n, _ in steps[lo:hi])
-        i, j = i + 1, j + 1
-        if max(e - i, f - j) < MIN_WORDS:
-            return []
-        if 2 * matched >= SIMILARITY * (e - i + f - j):
-            return [(i, e, j, f, matched)] if e - i >= MIN_WORDS else []
-        if lo == hi:
-            return []
-        cut = max(range(lo, hi), key=lambda k: steps[k][1])
-        return part(lo, cut) + part(cut + 1, hi)
-
-    return part(0, len(anchors) - 1)
-
-
-def _candidates(links: DataFrame) -> DataFrame:
-    """(doc_id, source_id, n, lo, hi, slo, shi, anchors): a chain a row, with the word ranges it needs on both sides."""
-    pairs = (links.groupBy("doc_id", "source_id").agg(F.collect_set(F.struct("pos", "spos")).alias("m"))
-             .select("doc_id", "source_id", F.col("m.pos").alias("p"), F.col("m.spos").alias("s")))
-    names = ["doc_id", "source_id", "n", "lo", "hi", "slo", "shi", "p", "s"]
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for doc, src, p, s in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                for n, run in enumerate(chains(list(zip(p, s, strict=True)))):
-                    lo, slo = max(0, run[0][0] - MARGIN), max(0, run[0][1] - MARGIN)
-                    rows.append((doc, src, n, lo, run[-1][0] + KMER + MARGIN, slo, run[-1][1] + KMER + MARGIN, [x - lo for x, _ in run], [y - slo for _, y in run]))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, *[pa.list_(pa.int32())] * 2]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+_LINK = np.dtype([("doc", "<i8"), ("src", "<i8"), ("pos", "<i4"), ("spos", "<i4"), ("reach", "<i4")])
+_SEED = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("reach", "<i4")])
 
-    return scan(pairs, task, "doc_id long, source_id long, n int, lo int, hi int, slo int, shi int, p array<int>, s array<int>")
 
+def _packed(kind: int, bucket: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """One row (kind, bucket, data) per bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, rows = bucket[order], rows[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(rows))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), kind, np.int32)), pa.array(bucket[starts] if len(bucket) else bucket),
+                                       pa.array([rows[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], ["kind", "bucket", "data"])
 
-def _words_asked(df: DataFrame, asked: DataFrame, short: bool) -> DataFrame:
-    """asked: (need, doc_id, source_id, n, source, lo, hi). Adds the words, as one string, from each text once per thousand asked of it;
-    ``short``: a character of seven bits for each word."""
-    counts = asked.groupBy("need").agg(F.count("*").alias("_n"))
-    dealt = (asked.join(counts, "need").withColumn("_deal", F.pmod(F.xxhash64("doc_id", "source_id", "n"), F.floor(F.col("_n") / ASKED_AT_ONCE) + 1))
-             .groupBy("need", "_deal").agg(F.collect_list(F.struct("doc_id", "source_id", "n", "source", "lo", "hi")).alias("ask")))
-    names = ["doc_id", "source_id", "n", "source", "words"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string())
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: tuple[list, ...] = ([], [], [], [], [])
-        held = 0
-        for b in slices(batches, "text", 2 << 20):
-            for t, ask in zip(texts(b, "text"), b.column(1).to_pylist(), strict=True):
-                w = words_of(t)
-                if short:
-                    w = bytes(crc32(x) & 127 for x in w)
-                for q in ask:
-                    part = w[q["lo"]:q["hi"]]
-                    part = (part if short else b" ".join(part)).decode()
-                    held += len(part)
-                    for col, v in zip(cols, (q["doc_id"], q["source_id"], q["n"], q["source"], part), strict=True):
-                        col.append(v)
-                    if held >= HELD:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
-                        cols, held = ([], [], [], [], []), 0
-        if cols[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
-
-    return scan(df.join(dealt, F.col("_id") == F.col("need")).select("text", "ask"), task, "doc_id long, source_id long, n int, source boolean, words string")
-
-
-def _with_words(docs: DataFrame, found: DataFrame, short: bool = False) -> DataFrame:
-    """``found`` with the words of both sides, a and b."""
-    asked = (found.select(F.col("doc_id").alias("need"), "doc_id", "source_id", "n", F.lit(False).alias("source"), "lo", "hi")
-             .unionByName(found.select(F.col("source_id").alias("need"), "doc_id", "source_id", "n", F.lit(True).alias("source"), F.col("slo").alias("lo"), F.col("shi").alias("hi"))))
-    texts_ = _words_asked(docs.withColumnRenamed("doc_id", "_id"), asked, short)
-    both = texts_.groupBy("doc_id", "source_id", "n").agg(F.min(F.when(~F.col("source"), F.col("words"))).alias("a"), F.min(F.when(F.col("source"), F.col("words"))).alias("b"))
-    return found.join(both, ["doc_id", "source_id", "n"])
-
-
-def _long_enough(docs: DataFrame, brief: DataFrame) -> DataFrame:
-    """The chains that can be extended to MIN_WORDS, by characters that stand for their words and the NEAR words around.
-
-    Equal words have equal characters; where different ones do as well, the extension goes on, so no chain is lost.
+def _links(rows: np.ndarray, src: np.ndarray, spos: np.ndarray) -> np.ndarray:
+    """Links of seeds with places of other texts; those of earlier texts with later ones are turned."""
+    out = np.zeros(len(rows), _LINK)
+    turned = rows["doc"] < src
+    out["doc"], out["src"] = np.where(turned, src, rows["doc"]), np.where(turned, rows["doc"], src)
+    out["pos"], out["spos"], out["reach"] = np.where(turned, spos, rows["pos"]), np.where(turned, rows["pos"], spos), rows["reach"]
+    return out[out["doc"] != out["src"]]
+
+
+def _ties(rows: np.ndarray) -> np.ndarray:
+    """Links of every place of a seed in a text with places in the first text that has the seed and in the one before it.
+
+    Where both texts hold it a few times, all their places are linked, else those of equal number, and the rest with the last
+    one. ``rows``: seeds in order of hash, text and place.
     """
-    ends = brief.select("doc_id", "source_id", "n", *[(F.col(at) + F.element_at(c, k)).alias(f"{c}{i}")
-                                                      for at, c in (("lo", "p"), ("slo", "s")) for i, k in enumerate((1, -1))])
-    near = ends.select("doc_id", "source_id", "n", F.greatest(F.lit(0), F.col("p0") - NEAR).alias("lo"), (F.col("p1") + KMER + NEAR).alias("hi"),
-                       F.greatest(F.lit(0), F.col("s0") - NEAR).alias("slo"), (F.col("s1") + KMER + NEAR).alias("shi"),
-                       F.least("p0", F.lit(NEAR)).alias("p"), F.least("s0", F.lit(NEAR)).alias("s"),
-                       (F.col("p1") - F.col("p0")).alias("dp"), (F.col("s1") - F.col("s0")).alias("ds"))
-    ready = _with_words(docs, near, True).select("doc_id", "source_id", "n", "p", "s", "dp", "ds", "a", "b")
+    if not len(rows):
+        return np.zeros(0, _LINK)
+    h, doc, pos = rows["h"], rows["doc"], rows["pos"]
+    fresh = np.append(True, h[1:] != h[:-1])
+    other = fresh | np.append(True, doc[1:] != doc[:-1])
+    starts = np.flatnonzero(other)  # first place of a seed in a text
+    count = np.diff(np.append(starts, len(h)))
+    group = np.cumsum(other) - 1
+    lead = np.maximum.accumulate(np.where(fresh[starts], np.arange(len(starts)), 0))[group]
+    nth = np.arange(len(h)) - starts[group]
+    out = []
+    for of, late in ((lead, lead < group), (group - 1, group - 1 > lead)):
+        few = late & (count[group] <= FEW_PLACES) & (count[of] <= FEW_PLACES)
+        for j in range(FEW_PLACES):
+            at = np.flatnonzero(few & (count[of] > j))
+            out.append(_links(rows[at], doc[starts[of[at]]], pos[starts[of[at]] + j]))
+        at = np.flatnonzero(late & ~few)
+        out.append(_links(rows[at], doc[starts[of[at]]], pos[starts[of[at]] + np.minimum(nth[at], count[of[at]] - 1)]))
+    return np.concatenate(out)
+
+
+def _met(words: DataFrame, buckets: int) -> DataFrame:
+    """(kind, bucket, data): packed links by the bucket of their later text.
+
+    Seeds meet by hash in buckets of bounded size. A seed frequent in a slice of texts, or in one before it in the same task,
+    goes on as one text; the others are tied to that one and among themselves, so under the most frequent seed a few rows per task
+    are gathered.
+    """
+    def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = Recent(HOT_REMEMBERED)  # seed: (text, first place, last place)
+        for b in slices(batches, "words", 4 << 20):
+            if not b.num_rows:
+                continue
+            data = b.column(2).to_pylist()
+            sizes = np.array([len(d) // 4 for d in data])
+            h, who, pos, reach = keys(np.frombuffer(b"".join(data), np.uint32), sizes)
+            rows = np.zeros(len(h), _SEED)
+            rows["h"], rows["doc"], rows["pos"], rows["reach"] = h, b.column(0).to_numpy()[who], pos, reach
+            rows = rows[np.lexsort((rows["pos"], rows["doc"], rows["h"]))]
+            if not len(rows):
+                continue
+            fresh = np.append(True, rows["h"][1:] != rows["h"][:-1])
+            other = fresh | np.append(True, rows["doc"][1:] != rows["doc"][:-1])
+            begin = np.flatnonzero(fresh)
+            held = np.add.reduceat(other.astype(np.int64), begin)
+            seed_of = np.cumsum(fresh) - 1
+            crowded = (held > HOT_IN_SLICE)[seed_of]
+            first_doc = rows["doc"][begin][seed_of]
+            if crowded.any():
+                yield _packed(1, *_by_doc(_ties(rows[crowded]), buckets))
+                known, leads = [], rows[crowded & (rows["doc"] == first_doc)]
+                cut = np.flatnonzero(np.append(True, leads["h"][1:] != leads["h"][:-1]))
+                stop = np.append(cut[1:], len(leads))
+                stays = np.ones(len(leads), bool)
+                for a, z in zip(cut.tolist(), stop.tolist(), strict=True):
+                    key, own = int(leads["h"][a]), (int(leads["doc"][a]), int(leads["pos"][a]), int(leads["pos"][z - 1]))
+                    before = hot.get(key)
+                    if before is None:
+                        hot.put(key, own)
+                    else:
+                        stays[a:z] = False
+                        known.append((a, z, before))
+                if known:
+                    at = np.concatenate([np.arange(a, z) for a, z, _ in known])
+                    src, lo, hi = (np.repeat([x[i] for _, _, x in known], [z - a for a, z, _ in known]) for i in range(3))
+                    yield _packed(1, *_by_doc(np.concatenate([_links(leads[at], src, lo), _links(leads[at], src, hi)]), buckets))
+                rows = np.concatenate([rows[~crowded], leads[stays]])
+            yield _packed(0, ((rows["h"] >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64), rows)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for kind, bucket, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if kind:
+                    yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([bucket], pa.int64()), pa.array([data], pa.binary())], ["kind", "bucket", "data"])
+                    continue
+                if bucket != now and held:
+                    yield from _tied(held, buckets)
+                    held = []
+                now = bucket
+                held.append(data)
+        if held:
+            yield from _tied(held, buckets)
+
+    schema = "kind int, bucket bigint, data binary"
+    return scan(_dealt(scan(words, planted, schema), ["kind", "bucket"]), met, schema)
+
+
+def _by_doc(links: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    return links["doc"] % buckets, links
+
+
+def _tied(held: list[bytes], buckets: int) -> Iterator[pa.RecordBatch]:
+    rows = np.frombuffer(b"".join(held), _SEED)
+    rows = rows[np.argsort(rows["h"], kind="stable")]
+    # Most seeds are in one place only.
+    shared = np.append(rows["h"][1:] == rows["h"][:-1], False)
+    rows = rows[shared | np.append(False, shared[:-1])]
+    rows = rows[np.lexsort((rows["pos"], rows["doc"], rows["h"]))]
+    links = _ties(rows)
+    if len(links):
+        yield _packed(1, *_by_doc(links, buckets))
+
+
+def _dealt(rows: DataFrame, order: list[str]) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket", *[c for c in order if c != "bucket"])
+
+
+_CHAIN = ["src", "doc", "lo", "slo", "shi", "p", "s", "a"]
+_CHAIN_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+
+
+def _chained(links: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """(src, doc, lo, slo, shi, p, s, a): a chain a row, with the words it needs of the later text."""
+    own = words.select(F.lit(0).alias("kind"), (F.col("tid") % buckets).alias("bucket"), "words", "tid")
+    rows = own.withColumnRenamed("words", "data").unionByName(links, allowMissingColumns=True)
+
+    def told(texts_: dict[int, bytes], held: list[bytes]) -> Iterator[pa.RecordBatch]:
+        rows = np.unique(np.frombuffer(b"".join(held), _LINK)) if held else np.zeros(0, _LINK)
+        if not len(rows):
+            return
+        # A pair is worth a look with a run of seeds or two seeds that span enough words.
+        starts = np.flatnonzero(np.append(True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["src"][1:] != rows["src"][:-1])))
+        size = np.diff(np.append(starts, len(rows)))
+        span = np.maximum.reduceat(rows["pos"] + rows["reach"], starts) - np.minimum.reduceat(rows["pos"], starts)
+        out: list[list] = [[] for _ in _CHAIN]
+        large = 0
+        for a in np.flatnonzero(span >= SPAN).tolist():
+            pair = rows[starts[a]:starts[a] + size[a]]
+            doc, src = int(pair["doc"][0]), int(pair["src"][0])
+            at = list(zip(pair["pos"].tolist(), pair["spos"].tolist(), strict=True))
+            reach: dict[tuple[int, int], int] = {}
+            for m, r in zip(at, pair["reach"].tolist(), strict=True):
+                reach[m] = max(r, reach.get(m, 0))
+            w = texts_[doc]
+            for chain in chains(at):
+                if worth_following(chain, reach):
+                    lo, slo = max(0, chain[0][0] - MARGIN), max(0, chain[0][1] - MARGIN)
+                    part = w[4 * lo:4 * (chain[-1][0] + KMER + MARGIN)]
+                    row = (src, doc, lo, slo, chain[-1][1] + KMER + MARGIN, [x - lo for x, _ in chain], [y - slo for _, y in chain], part)
+                    for c, v in zip(out, row, strict=True):
+                        c.append(v)
+                    large += len(part)
+                    if large > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _CHAIN_KINDS, strict=True)], _CHAIN)
+                        out, large = [[] for _ in _CHAIN], 0
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _CHAIN_KINDS, strict=True)], _CHAIN)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts_, held = None, {}, []
         for b in batches:
-            ok = []
-            for p, s, dp, ds, x, y in zip(*(b.column(i).to_pylist() for i in range(3, 9)), strict=True):
-                i, j, _ = _extend(x, y, p - 1, s - 1, -1)
-                e, f, _ = _extend(x, y, p + dp, s + ds, 1)
-                ok.append(max(e - i, f - j) > MIN_WORDS)
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(3)], ["doc_id", "source_id", "n"]).filter(pa.array(ok, pa.bool_()))
+            for kind, bucket, data, tid in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if bucket != now:
+                    yield from told(texts_, held)
+                    now, texts_, held = bucket, {}, []
+                if kind:
+                    held.append(data)
+                else:
+                    texts_[tid] = data
+        yield from told(texts_, held)
 
-    return brief.join(scan(ready, task, "doc_id long, source_id long, n int"), ["doc_id", "source_id", "n"], "left_semi")
+    return scan(_dealt(rows, ["kind"]).select("kind", "bucket", "data", "tid"), task, "src bigint, doc bigint, lo int, slo int, shi int, p array<int>, s array<int>, a binary")
 
 
-def repeated_passages(df: DataFrame) -> DataFrame:
-    """(doc_id, source_id, start, end, source_start, source_end, matched, similarity) per repeated passage, in words.
-
-    A passage of ``doc_id`` of MIN_WORDS words or more repeats one of the text ``source_id``, a smaller id, if their aligned words
-    agree to SIMILARITY (twice the matched words by the words of both). Words are divided by white space and compared lower-cased
-    (A-Z). Each seed of a passage is tied to the first text that has it and to the one before, so of many copies all but
-    the first are found without comparing all pairs; words at the ends of a passage that only yet another text shares are not
-    reported with it. Repeats inside one text don't count.
-
-    Rows with a null id and null or short texts have no passage. Rows that repeat an id and text count once; of different texts
-    under one id the smallest is used. Other columns are not read. An empty table gives no rows.
-    """
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    chained = settle(_candidates(seed_links(docs)), "chains")
-    brief = F.greatest(F.element_at("p", -1) - F.col("p")[0], F.element_at("s", -1) - F.col("s")[0]) < MIN_WORDS
-    found = settle(chained.filter(~brief).unionByName(_long_enough(docs, chained.filter(brief)).select(*chained.columns)), "chains")
-    ready = _with_words(docs, found).select("doc_id", "source_id", "lo", "slo", "p", "s", "a", "b")
-    names = ["doc_id", "source_id", "start", "end", "source_start", "source_end", "matched", "similarity"]
+def _aligned(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc, src, start, end, source_start, source_end, matched, similarity) of the chains that hold a passage."""
+    ready = found.join(words.select(F.col("tid").alias("src"), "words"), "src").select("doc", "src", "lo", "slo", "p", "s", "a", F.expr("substring(words, 4 * slo + 1, 4 * (shi - slo))").alias("b"))
+    names = ["doc", "src", "start", "end", "source_start", "source_end", "matched", "similarity"]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.float64()]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "a", 1 << 20):
             rows = []
             for doc, src, lo, slo, p, s, a, b in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-                x, y = a.split(" "), b.split(" ")
-                anchors = [(i, j) for i, j in zip(p, s, strict=True) if x[i:i + KMER] == y[j:j + KMER]]
-                if not anchors:
-                    continue  # equal hashes of different words
-                for i, e, j, f, matched in align(x, y, anchors):
+                x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+                anchors = [(i, j) for i, j in zip(p, s, strict=True) if (x[i:i + KMER] == y[j:j + KMER]).all()]  # not if hashes of seeds collide
+                for i, e, j, f, matched in align(x, y, anchors) if anchors else ():
                     rows.append((doc, src, lo + i, lo + e, slo + j, slo + f, matched, 2 * matched / (e - i + f - j)))
             if rows:
-                kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return scan(ready, task, "doc_id long, source_id long, start int, end int, source_start int, source_end int, matched int, similarity double").distinct()
+    return scan(ready, task, "doc bigint, src bigint, start int, end int, source_start int, source_end int, matched int, similarity double").distinct()
+
+
+def text_key(text: str | Column = "text") -> Column:
+    """What tells texts under one id apart."""
+    return F.xxhash64(text)
+
+
+def repeated_passages(df: DataFrame) -> DataFrame:
+    """(doc_id, text_key, source_id, start, end, source_start, source_end, matched, similarity) per repeated passage, in words.
+
+    A passage of the text ``text_key`` of ``doc_id`` repeats one of a text of ``source_id`` that comes before it in the order of ids,
+    if their aligned words agree to SIMILARITY (twice the matched words by the words of both) in MIN_MATCHED words or more,
+    which is what a passage of MIN_WORDS words that similar has. Words are divided by white space and compared lower-cased (A-Z),
+    as numbers of 32 bits. Of equal texts only the one of the smallest id is searched; the others repeat it as a whole, if they
+    have MIN_WORDS words. Each seed of a passage is tied to the first text that has it and to the one before, so of many copies
+    all but the first are found without comparing all pairs; words at the ends of a passage that only yet another text shares
+    are not reported with it. Repeats inside one text don't count.
+
+    Rows with a null id and null or short texts have no passage. Rows that repeat an id and text count once; different texts under
+    one id are texts of their own. Other columns are not read. An empty table gives no rows.
+    """
+    spark = df.sparkSession
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("text_key"), F.md5("text").alias("m")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    known = settle(docs.groupBy("doc_id", "text_key", "m").agg(F.count(F.lit(1)).alias("rows")), "texts")
+    leads = known.groupBy("m").agg(F.min(F.struct("doc_id", "text_key")).alias("x")).select("m", "x.*")
+    ids = settle(numbered(leads, [], [F.col("doc_id").asc(), F.col("m").asc()], "tid", "texts"), "text-ids")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            made = [word_hashes(t) for t in texts(b, "text")]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in made], pa.int32()), pa.array([w.tobytes() for w in made], pa.binary())], ["tid", "n", "words"])
+
+    words = scan(docs.drop("text_key").join(ids.select("doc_id", "m", "tid"), ["doc_id", "m"]).select("tid", "text"), hashed, "tid bigint, n int, words binary")
+    if not known.filter("rows > 1").isEmpty():  # rows that repeat an id and text
+        words = words.dropDuplicates(["tid"])
+    words = settle(words, "words")
+    size = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    buckets = int(max(1, -(-size // MANY_WORDS), min(least, -(-size // FEW_WORDS))))
+    found = _aligned(_chained(_met(words, buckets), words, buckets), words)
+    later, earlier = ids.select(F.col("tid").alias("doc"), "doc_id", "text_key"), ids.select(F.col("tid").alias("src"), F.col("doc_id").alias("source_id"))
+    told = ["doc_id", "text_key", "source_id", "start", "end", "source_start", "source_end", "matched", "similarity"]
+    parts = found.join(later, "doc").join(earlier, "src").select(*told)
+    long = ids.join(words.select("tid", "n").filter(F.col("n") >= MIN_WORDS), "tid").select("m", F.col("doc_id").alias("source_id"), "n")
+    copies = known.join(long, "m").filter("doc_id <> source_id")
+    zero, n = F.lit(0), F.col("n")
+    return parts.unionByName(copies.select("doc_id", "text_key", "source_id", zero.alias("start"), n.alias("end"), zero.alias("source_start"), n.alias("source_end"),
+                                           n.alias("matched"), F.lit(1.0).alias("similarity")))
 
 
 def cut_passages(df: DataFrame, passages: DataFrame) -> DataFrame:
     """``df`` with the passages cut out of the texts (and what is left joined by a line break); other rows and columns as they were.
 
-    A column ``n_chars`` is set to the new length where a text was cut.
+    A row is cut if it has the passage's id and text; so rows that repeat an id with another text stay whole. A column ``n_chars`` is
+    set to the new length where a text was cut. Columns may have any names. Null ids and texts stay, an empty table gives no rows.
     """
-    spans = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_key"), "_spans")
-    found = df.join(spans, F.col("doc_id") == F.col("_key"), "left").drop("_key")
-    out = found.schema.fieldNames()[:-1]
+    free = lambda name: name if name not in df.columns else free(f"_{name}")
+    id_, key, spans = free("_id"), free("_text_key"), free("_spans")
+    found = passages.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias(spans)).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), spans)
+    joined = df.join(found, (F.col("doc_id") == F.col(id_)) & (text_key() == F.col(key)), "left").drop(id_, key)
+    out = df.columns
     at = out.index("text")
     n_at = out.index("n_chars") if "n_chars" in out else None
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            cut = [None if t is None else t if not spans else cut_text(t, [(s["start"], s["end"]) for s in spans])
-                   for t, spans in zip(b.column(at).to_pylist(), b.column(len(out)).to_pylist(), strict=True)]
+            cuts = b.column(len(out)).to_pylist()
+            cut = [t if not s else cut_text(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(b.column(at).to_pylist(), cuts, strict=True)]
             cols = [b.column(i) for i in range(len(out))]
             cols[at] = pa.array(cut, cols[at].type)
             if n_at is not None:
-                cols[n_at] = pa.array([n if not s or t is None else len(t) for n, s, t in zip(cols[n_at].to_pylist(), b.column(len(out)).to_pylist(), cut, strict=True)], cols[n_at].type)
+                cols[n_at] = pa.array([len(t) if s else n for n, s, t in zip(cols[n_at].to_pylist(), cuts, cut, strict=True)], cols[n_at].type)
             yield pa.RecordBatch.from_arrays(cols, out)
 
-    return found.mapInArrow(task, df.schema)
+    return joined.mapInArrow(task, df.schema)
 
 
 def cut_text(text: str, spans: list[tuple[int, int]]) -> str:

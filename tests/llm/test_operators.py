@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import tiktoken
-from assayer.llm import bpe, chat, contamination, quality, sharding, simhash, substrings, token_files, toxicity, urls
+from assayer.llm import bpe, chat, contamination, passages, quality, sharding, simhash, substrings, token_files, toxicity, urls
 from assayer.llm.components import components
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -202,7 +202,7 @@ def test_passages_cover_all_shared_runs(spark, docs):
     got = substrings.repeated_passages(d).collect()
     cover = {}
     for r in got:
-        assert r["source_id"] < r["doc_id"] and r["similarity"] >= 0.8 and r["end"] - r["start"] >= 50
+        assert r["source_id"] < r["doc_id"] and r["similarity"] >= 0.8 and r["matched"] >= passages.MIN_MATCHED
         cover.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
     first = {}
     for i, t in sorted((x for x in pairs(d) if x[0] is not None and x[1]), key=lambda x: x):
@@ -218,14 +218,14 @@ def test_passages_cover_all_shared_runs(spark, docs):
 
 def test_chain_is_the_best_by_exhaustion():
     r = random.Random(2)
-    k, cost = substrings.KMER, substrings.GAP_COST
+    k, cost = passages.KMER, passages.GAP_COST
     for _ in range(200):
         m = sorted({(r.randint(0, 30), r.randint(0, 30)) for _ in range(8)})
         best = {}
         for j, (p, s) in enumerate(m):
             best[j] = k + max([0.0, *(best[i] - cost * (p - q + s - t) / 2 for i, (q, t) in enumerate(m[:j]) if q < p and t < s)])
         value = lambda c: sum(k - cost * (b[0] - a[0] + b[1] - a[1]) / 2 for a, b in zip(c, c[1:], strict=False)) + k
-        chains = substrings.chains(m)
+        chains = passages.chains(m)
         assert sorted(x for c in chains for x in c) == m
         if max(abs(p - s) for p, s in m) <= 5:
             assert abs(max(map(value, chains)) - max(best.values())) < 1e-9
