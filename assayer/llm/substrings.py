@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +28,36 @@ _LINK = np.dtype([("doc", "<i8"), ("src", "<i8"), ("pos", "<i4"), ("spos", "<i4"
 _SEED = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("reach", "<i4")])
 
 
+def _pack(rows: np.ndarray) -> bytes:
+    """Seeds as columns: 48 bits of the hash, for a bucket tells more of it, and what compresses well, compressed. A few words far
+    apart that look alike make links that the alignment drops."""
+    rows = rows[np.lexsort((rows["pos"], rows["doc"]))]
+    low = rows["doc"][:1].astype("<i8").tobytes()
+    rest = np.diff(rows["doc"], prepend=rows["doc"][0]).astype("<i8").tobytes() + rows["pos"].astype("<i4").tobytes() + np.minimum(rows["reach"], 255).astype(np.uint8).tobytes()
+    hashes = np.ascontiguousarray(rows["h"]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return len(rows).to_bytes(4, "little") + low + hashes + zstandard.ZstdCompressor(level=1).compress(rest)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    rows = np.zeros(n, _SEED)
+    h = np.zeros((n, 8), np.uint8)
+    h[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 12).reshape(-1, 6)
+    rest = zstandard.ZstdDecompressor().decompress(data[12 + 6 * n:])
+    rows["h"] = h.view("<u8").ravel()
+    rows["doc"] = int.from_bytes(data[4:12], "little", signed=True) + np.cumsum(np.frombuffer(rest, "<i8", n))
+    rows["pos"], rows["reach"] = np.frombuffer(rest, "<i4", n, 8 * n), np.frombuffer(rest, np.uint8, n, 12 * n)
+    return rows
+
+
 def _packed(kind: int, bucket: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """One row (kind, bucket, data) per bucket."""
+    """One row (kind, bucket, data) per bucket: seeds (0) or links (1)."""
     order = np.argsort(bucket, kind="stable")
     bucket, rows = bucket[order], rows[order]
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(rows))
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), kind, np.int32)), pa.array(bucket[starts] if len(bucket) else bucket),
-                                       pa.array([rows[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], ["kind", "bucket", "data"])
+    made = [rows[a:b].tobytes() if kind else _pack(rows[a:b]) for a, b in zip(starts, ends, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), kind, np.int32)), pa.array(bucket[starts] if len(bucket) else bucket), pa.array(made, pa.binary())], ["kind", "bucket", "data"])
 
 
 def _links(rows: np.ndarray, src: np.ndarray, spos: np.ndarray) -> np.ndarray:
@@ -85,7 +108,7 @@ def _met(words: DataFrame, buckets: int) -> DataFrame:
         for b in slices(batches, "words", 4 << 20):
             if not b.num_rows:
                 continue
-            data = b.column(2).to_pylist()
+            data = b.column(1).to_pylist()
             sizes = np.array([len(d) // 4 for d in data])
             h, who, pos, reach = keys(np.frombuffer(b"".join(data), np.uint32), sizes)
             rows = np.zeros(len(h), _SEED)
@@ -119,7 +142,7 @@ def _met(words: DataFrame, buckets: int) -> DataFrame:
                     src, lo, hi = (np.repeat([x[i] for _, _, x in known], [z - a for a, z, _ in known]) for i in range(3))
                     yield _packed(1, *_by_doc(np.concatenate([_links(leads[at], src, lo), _links(leads[at], src, hi)]), buckets))
                 rows = np.concatenate([rows[~crowded], leads[stays]])
-            yield _packed(0, ((rows["h"] >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64), rows)
+            yield _packed(0, ((rows["h"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64), rows)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -137,7 +160,7 @@ def _met(words: DataFrame, buckets: int) -> DataFrame:
             yield from _tied(held, buckets)
 
     schema = "kind int, bucket bigint, data binary"
-    return scan(_dealt(scan(words, planted, schema), ["kind", "bucket"]), met, schema)
+    return scan(_dealt(scan(words.select("tid", "words"), planted, schema), ["kind"]), met, schema)
 
 
 def _by_doc(links: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +168,7 @@ def _by_doc(links: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tied(held: list[bytes], buckets: int) -> Iterator[pa.RecordBatch]:
-    rows = np.frombuffer(b"".join(held), _SEED)
+    rows = np.concatenate([_unpack(d) for d in held])
     rows = rows[np.argsort(rows["h"], kind="stable")]
     # Most seeds are in one place only.
     shared = np.append(rows["h"][1:] == rows["h"][:-1], False)
@@ -157,69 +180,64 @@ def _tied(held: list[bytes], buckets: int) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(rows: DataFrame, order: list[str]) -> DataFrame:
-    return rows.repartition("bucket").sortWithinPartitions("bucket", *[c for c in order if c != "bucket"])
+    return rows.repartition("bucket").sortWithinPartitions("bucket", *order)
 
 
-_CHAIN = ["src", "doc", "lo", "slo", "shi", "p", "s", "a"]
-_CHAIN_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+_CHAIN = ["doc", "src", "lo", "hi", "slo", "shi", "p", "s"]
+_CHAIN_KINDS = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.list_(pa.int32()), pa.list_(pa.int32())]
 
 
-def _chained(links: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """(src, doc, lo, slo, shi, p, s, a): a chain a row, with the words it needs of the later text."""
-    own = words.select(F.lit(0).alias("kind"), (F.col("tid") % buckets).alias("bucket"), "words", "tid")
-    rows = own.withColumnRenamed("words", "data").unionByName(links, allowMissingColumns=True)
-
-    def told(texts_: dict[int, bytes], held: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _chained(links: DataFrame) -> DataFrame:
+    """(doc, src, lo, hi, slo, shi, p, s): a chain a row, with the places of its seeds in the words it needs of both texts."""
+    def told(held: list[bytes]) -> Iterator[pa.RecordBatch]:
         rows = np.unique(np.frombuffer(b"".join(held), _LINK)) if held else np.zeros(0, _LINK)
         if not len(rows):
             return
-        # A pair is worth a look with a run of seeds or two seeds that span enough words.
+        # A pair is worth a look if its seeds and runs span enough words.
         starts = np.flatnonzero(np.append(True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["src"][1:] != rows["src"][:-1])))
         size = np.diff(np.append(starts, len(rows)))
         span = np.maximum.reduceat(rows["pos"] + rows["reach"], starts) - np.minimum.reduceat(rows["pos"], starts)
         out: list[list] = [[] for _ in _CHAIN]
-        large = 0
         for a in np.flatnonzero(span >= SPAN).tolist():
             pair = rows[starts[a]:starts[a] + size[a]]
-            doc, src = int(pair["doc"][0]), int(pair["src"][0])
             at = list(zip(pair["pos"].tolist(), pair["spos"].tolist(), strict=True))
             reach: dict[tuple[int, int], int] = {}
             for m, r in zip(at, pair["reach"].tolist(), strict=True):
                 reach[m] = max(r, reach.get(m, 0))
-            w = texts_[doc]
             for chain in chains(at):
                 if worth_following(chain, reach):
-                    lo, slo = max(0, chain[0][0] - MARGIN), max(0, chain[0][1] - MARGIN)
-                    part = w[4 * lo:4 * (chain[-1][0] + KMER + MARGIN)]
-                    row = (src, doc, lo, slo, chain[-1][1] + KMER + MARGIN, [x - lo for x, _ in chain], [y - slo for _, y in chain], part)
+                    (p, s), (q, t) = chain[0], chain[-1]
+                    lo, slo = max(0, p - MARGIN), max(0, s - MARGIN)
+                    row = (int(pair["doc"][0]), int(pair["src"][0]), lo, q + KMER + MARGIN, slo, t + KMER + MARGIN, [x - lo for x, _ in chain], [y - slo for _, y in chain])
                     for c, v in zip(out, row, strict=True):
                         c.append(v)
-                    large += len(part)
-                    if large > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _CHAIN_KINDS, strict=True)], _CHAIN)
-                        out, large = [[] for _ in _CHAIN], 0
+            if len(out[0]) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _CHAIN_KINDS, strict=True)], _CHAIN)
+                out = [[] for _ in _CHAIN]
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, _CHAIN_KINDS, strict=True)], _CHAIN)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, texts_, held = None, {}, []
+        now, held = None, []
         for b in batches:
-            for kind, bucket, data, tid in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for bucket, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if bucket != now:
-                    yield from told(texts_, held)
-                    now, texts_, held = bucket, {}, []
-                if kind:
-                    held.append(data)
-                else:
-                    texts_[tid] = data
-        yield from told(texts_, held)
+                    yield from told(held)
+                    now, held = bucket, []
+                held.append(data)
+        yield from told(held)
 
-    return scan(_dealt(rows, ["kind"]).select("kind", "bucket", "data", "tid"), task, "src bigint, doc bigint, lo int, slo int, shi int, p array<int>, s array<int>, a binary")
+    return scan(_dealt(links, []), task, "doc bigint, src bigint, lo int, hi int, slo int, shi int, p array<int>, s array<int>")
 
 
 def _aligned(found: DataFrame, words: DataFrame) -> DataFrame:
     """(doc, src, start, end, source_start, source_end, matched, similarity) of the chains that hold a passage."""
-    ready = found.join(words.select(F.col("tid").alias("src"), "words"), "src").select("doc", "src", "lo", "slo", "p", "s", "a", F.expr("substring(words, 4 * slo + 1, 4 * (shi - slo))").alias("b"))
+    # Most texts have no chain; the words of the others are all that is moved.
+    needed = found.select(F.explode(F.array("doc", "src")).alias("tid")).distinct()
+    few = settle(words.join(needed, "tid", "left_semi").select("tid", "words"), "chained-words")
+    part = lambda low, high: F.substring("words", 4 * F.col(low) + 1, 4 * (F.col(high) - F.col(low)))
+    one = found.join(few.withColumnRenamed("tid", "doc"), "doc").select("doc", "src", "lo", "slo", "shi", "p", "s", part("lo", "hi").alias("a"))
+    ready = one.join(few.withColumnRenamed("tid", "src"), "src").select("doc", "src", "lo", "slo", "p", "s", "a", part("slo", "shi").alias("b"))
     names = ["doc", "src", "start", "end", "source_start", "source_end", "matched", "similarity"]
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.float64()]
 
@@ -265,16 +283,18 @@ def repeated_passages(df: DataFrame) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             made = [word_hashes(t) for t in texts(b, "text")]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in made], pa.int32()), pa.array([w.tobytes() for w in made], pa.binary())], ["tid", "n", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(w) for w in made], pa.int32()), pa.array([w.tobytes() for w in made], pa.binary())], names)
 
-    words = scan(docs.drop("text_key").join(ids.select("doc_id", "m", "tid"), ["doc_id", "m"]).select("tid", "text"), hashed, "tid bigint, n int, words binary")
+    names = ["doc_id", "text_key", "n", "words"]
+    words = scan(docs.select("doc_id", "text_key", "text"), hashed, "doc_id bigint, text_key bigint, n int, words binary")
+    words = words.join(ids.select("doc_id", "text_key", "tid"), ["doc_id", "text_key"]).select("tid", "n", "words")
     if not known.filter("rows > 1").isEmpty():  # rows that repeat an id and text
         words = words.dropDuplicates(["tid"])
     words = settle(words, "words")
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     buckets = int(max(1, -(-size // MANY_WORDS), min(least, -(-size // FEW_WORDS))))
-    found = _aligned(_chained(_met(words, buckets), words, buckets), words)
+    found = _aligned(settle(_chained(_met(words, buckets)), "chains"), words)
     later, earlier = ids.select(F.col("tid").alias("doc"), "doc_id", "text_key"), ids.select(F.col("tid").alias("src"), F.col("doc_id").alias("source_id"))
     told = ["doc_id", "text_key", "source_id", "start", "end", "source_start", "source_end", "matched", "similarity"]
     parts = found.join(later, "doc").join(earlier, "src").select(*told)
