@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from assayer.llm.scan import Recent, scan, slices, texts
 
 PIECES, PAIRS = 320_000, 400_000
+#: Longer pieces (in characters) aren't remembered; pieces of more bytes are matched where a token can begin, not everywhere.
+REMEMBERED, LONG = 64, 2_048
 _LATIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _OTHER = re.compile(r"[^\t\n\r -~¡-¨«¬®-±´¶-¸»¿À-ɏ‐-‧‰-⁞]")
 _PLAIN = re.compile(rf" ?[{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+")
@@ -40,7 +42,7 @@ class PairwiseBpe:
         for t, r in ranks.items():
             self.found.add_word(t.decode("latin-1"), (r, len(t)))
         self.found.make_automaton()
-        self.pairs = Recent(PAIRS)
+        self.pairs, self.longest = Recent(PAIRS), max(map(len, ranks))
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first: the definition. Only used on two neighbouring tokens."""
@@ -65,6 +67,8 @@ class PairwiseBpe:
         if whole is not None or not piece:
             return [whole] if piece else []
         n = len(piece)
+        if n > LONG:
+            return self._encode_long(piece)
         starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         for end, (rank, size) in self.found.iter(piece.decode("latin-1")):
             starts[end - size + 1].append((rank, size))  # ends rise, so the longest is last
@@ -84,6 +88,33 @@ class PairwiseBpe:
                 at -= len(self.bytes_of[out.pop()])
         return out
 
+    def _encode_long(self, piece: bytes) -> list[int]:
+        """The same for a long piece. Matches are looked up when a position is first reached, longest first, by the longest path of
+        the vocabulary's trie; what is kept grows with the tokens and not with all matches of the piece."""
+        n, letters = len(piece), piece.decode("latin-1")
+        dead, at, out, left = bytearray(n + 1), 0, [], []
+        size = self.found.longest_prefix(letters[:self.longest])
+        while at < n:
+            while size:
+                rank = self.ranks.get(piece[at:at + size])
+                if rank is not None and not dead[at + size] and (not out or self.stays(out[-1], rank)):
+                    break
+                size -= 1
+            if size:
+                out.append(rank)
+                left.append(size)  # the next one to try here is shorter
+                at += size
+                size = self.found.longest_prefix(letters[at:at + self.longest])
+                continue
+            if not out:
+                raise ValueError("the vocabulary lacks a byte of the text")
+            dead[at] = 1
+            out.pop()
+            size = left.pop()
+            at -= size
+            size -= 1
+        return out
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -101,7 +132,8 @@ class Codec:
         known = self.cache.get(piece)
         if known is None:
             known = tuple(self.bpe.encode(piece.encode()))
-            self.cache.put(piece, known)
+            if len(piece) <= REMEMBERED:
+                self.cache.put(piece, known)
         return known
 
     def encode(self, text: str) -> list[int]:

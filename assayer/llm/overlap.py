@@ -1,4 +1,4 @@
-"""Texts with similar shingle sets: a prefix filter over shingles in order of frequency, exact similarities, components."""
+"""Texts with similar shingle sets: fingerprints and minima connect what is alike, a prefix filter finds the rest, sets decide."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -11,18 +11,36 @@ from pyspark.sql import functions as F
 
 from assayer.llm.components import components
 from assayer.llm.scan import scan, slices, texts
-from assayer.llm.simhash import shingle_hashes
+from assayer.llm.simhash import link_fingerprints, majority
 from assayer.session import settle
 
 #: Words per shingle; two sets are similar if they share PART of WHOLE or more of their union.
 SIZE, PART, WHOLE = 5, 4, 5
 #: About so many texts tell which shingles are frequent. That decides the order of shingles, so the work but not the result.
 SAMPLE, OFTEN, FREQUENT = 20_000, 3, 1 << 18
-SKETCH = 4  # longs
+SKETCH, MINIMA = 4, 4  # longs, numbers
+#: Rows of a bucket of shingles, at least and at most; classes of a frequent shingle that are compared in one piece.
+FEW_ROWS, MANY_ROWS, PIECE = 1 << 16, 1 << 21, 1 << 19
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
+
+
+def shingles(text: str, size: int = SIZE) -> np.ndarray:
+    """A number of 64 bits for each run of ``size`` words, repeats included; fewer words are one run, no word is none."""
+    h = xxhash.xxh64_intdigest
+    words = np.array([h(w) for w in text.encode("utf-8", "surrogatepass").translate(_LOWER).split()], np.uint64)
+    size = min(size, len(words))
+    n = len(words) - size + 1
+    out = np.full(n if size else 0, size, np.uint64)
+    for i in range(size):
+        out = (out ^ words[i:i + n]) * _MIX[i % len(_MIX)]
+        out ^= out >> np.uint64(29)
+    out *= _MIX[1]
+    return out ^ out >> np.uint64(32)
 
 
 def shingle_set(text: str, size: int = SIZE) -> np.ndarray:
-    return np.unique(np.array(shingle_hashes(text, size), np.uint64))
+    return np.unique(shingles(text, size))
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -30,14 +48,22 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * WHOLE >= PART * (len(a) + len(b) - both)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
+def sketch(held: np.ndarray) -> np.ndarray:
     """Parities of the shingles by 8 of their bits: two sets differ in at least as many elements as their sketches in bits."""
-    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=64 * SKETCH) & 1
+    odd = np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=64 * SKETCH) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def _frequent(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of ``df``, rising, and in how many of its texts they are."""
+def minima(held: np.ndarray) -> list[int]:
+    """The least of the shingles in each of a few orders: similar sets have most of them in common."""
+    if not len(held):
+        return [0] * MINIMA
+    mixed = held ^ held >> np.uint64(31)
+    return [int((mixed * (_MIX[i] ^ np.uint64(2 * i))).min()) >> 3 << 2 | i for i in range(MINIMA)]
+
+
+def _frequent(df: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingles that are frequent in a sample of ``df``, rising, in how many of its texts they are, and the sample's share."""
     share = min(1.0, SAMPLE / max(1, df.count()))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,84 +77,175 @@ def _frequent(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     h, n = (found.column(i).to_numpy() for i in range(2))
     h = h.view(np.uint64)
     order = np.argsort(h)
-    return h[order], n[order]
+    return h[order], n[order], share
+
+
+def _times(often: np.ndarray, times: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """In how many texts of the sample each shingle is; 0 for those that are not frequent."""
+    if not len(often):
+        return np.zeros(len(held), np.int64)
+    at = np.minimum(np.searchsorted(often, held), len(often) - 1)
+    return np.where(often[at] == held, times[at], 0)
+
 
+def _lists(many: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, many)]), pa.int32()), pa.array(np.concatenate(many)))
 
-def _classes(df: DataFrame) -> DataFrame:
-    """(doc_id, cls, n, prefix, sketch) per row: a digest of its shingle set, the set's size, and of its shingles, frequent ones
-    last, as many as a set must share one of to be similar."""
-    shared = df.sparkSession.sparkContext.broadcast(_frequent(df))
+
+def _classes(df: DataFrame, shared) -> DataFrame:
+    """(doc_id, cls, n, prefix, sketch, minima, fp) per row: a digest of its shingle set, the set's size, of its shingles, frequent
+    ones last, as many as a set must share one of to be similar, and what connects likely pairs."""
     kind = dict(df.dtypes)["doc_id"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, times = shared.value
+        often, times, _ = shared.value
         for b in slices(batches, "text", 2 << 20):
-            cls, sizes, prefixes, sketches = [], [], [], []
+            cols: list[list] = [[] for _ in range(6)]
             for t in texts(b, "text"):
-                s = shingle_set(t)
-                at = np.minimum(np.searchsorted(often, s), max(0, len(often) - 1))
-                count = np.where(often[at] == s, times[at], 0) if len(often) else np.zeros(len(s), np.int64)
-                cls.append(xxhash.xxh64_intdigest(s.tobytes()))
-                sizes.append(len(s))
-                prefixes.append(s[np.lexsort((s, count))][:len(s) + PART * -len(s) // WHOLE + 1].view(np.int64) if len(s) else s.view(np.int64))
-                sketches.append(sketch(s))
-            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x))) for x in (prefixes, sketches)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), *lists],
-                                             ["doc_id", "cls", "n", "prefix", "sketch"])
+                runs = shingles(t)
+                s = np.unique(runs)
+                fp = majority(runs, np.array([0]))[:1].view(np.int64)[0] if len(runs) else 0
+                first = s[np.lexsort((s, _times(often, times, s)))][:len(s) + PART * -len(s) // WHOLE + 1] if len(s) else s
+                for c, v in zip(cols, (xxhash.xxh64_intdigest(s.tobytes()), len(s), first.view(np.int64), sketch(s), np.array(minima(s), np.int64), int(fp)), strict=True):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(cols[0], np.uint64).view(np.int64)), pa.array(cols[1], pa.int32()), *map(_lists, cols[2:5]), pa.array(cols[5], pa.int64())],
+                                             ["doc_id", "cls", "n", "prefix", "sketch", "minima", "fp"])
 
-    return scan(df.select("doc_id", "text"), task, f"doc_id {kind}, cls long, n int, prefix array<long>, sketch array<long>")
+    return scan(df.select("doc_id", "text"), task, f"doc_id {kind}, cls long, n int, prefix array<long>, sketch array<long>, minima array<long>, fp long")
 
 
-def _few(cls: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each with its neighbour in size and with the one in the middle: enough to connect a group that is all alike."""
-    order = np.lexsort((cls, n))
-    yield order[1:], order[:-1]
-    yield order, np.full(len(order), order[len(order) // 2])
+def _likely(classes: DataFrame) -> DataFrame:
+    """(a, b) pairs that connect most of what is similar, at most a few per class: classes that share a minimum with the least class
+    that has it, and those whose SimHash fingerprints link."""
+    least = classes.select("cls", F.explode("minima").alias("m"))
+    leads = least.groupBy("m").agg(F.min("cls").alias("a"))
+    by_minimum = least.join(leads, "m").select("a", F.col("cls").alias("b"))
+    fps = settle(classes.groupBy("fp").agg(F.min("cls").alias("lead")), "fingerprints")
+    same = classes.join(fps, "fp").select(F.col("lead").alias("a"), F.col("cls").alias("b"))
+    ends = fps.select(F.col("fp").alias("a"), F.col("lead").alias("x")), fps.select(F.col("fp").alias("b"), F.col("lead").alias("y"))
+    linked = link_fingerprints(fps.select("fp")).join(ends[0], "a").join(ends[1], "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    every = by_minimum.unionByName(same).unionByName(linked).filter("a <> b")
+    return every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _all(root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of different roots."""
-    for i in range(1, len(root)):
-        j = np.flatnonzero(root[:i] != root[i])
-        yield np.full(len(j), i), j
+_PLACE = np.dtype([("h", "<u8"), ("unit", "<i8"), ("cls", "<i8"), ("root", "<i8"), ("n", "<i4"), ("i", "<i4"), ("piece", "<i4")])
 
 
-def _pairs(groups: DataFrame, every: bool) -> DataFrame:
-    """(a, b) classes that meet in a shingle and may be similar by their sizes, the shingle's places and sketches."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(classes: DataFrame, root: DataFrame, shared, buckets: int) -> DataFrame:
+    """(a, b) classes of different roots that share a shingle of their prefixes and may be similar by their sizes and its places.
+
+    Shingles meet in buckets of bounded size. A shingle that the sample says is in more than PIECE classes is met piece by
+    piece: each class goes to the units that hold its piece, and a unit compares two pieces.
+    """
+    rows = classes.select("cls", "n", "prefix").join(root, "cls", "left").select("cls", "n", "prefix", F.coalesce("root", "cls").alias("root"))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, times, share = shared.value
+        for b in (x.slice(a, 256) for x in batches for a in range(0, x.num_rows, 256)):
+            lists = b.column(2)
+            size = lists.value_lengths().to_numpy(zero_copy_only=False)
+            who = np.repeat(np.arange(b.num_rows), size)
+            out = np.zeros(len(who), _PLACE)
+            out["h"] = lists.flatten().to_numpy().view(np.uint64)
+            out["i"] = np.arange(len(who)) - (np.cumsum(size) - size)[who]
+            for c, k in (("cls", 0), ("n", 1), ("root", 3)):
+                out[c] = b.column(k).to_numpy()[who]
+            pieces = np.ceil(_times(often, times, out["h"]) / share / PIECE).astype(np.int64)
+            crowded = np.flatnonzero(pieces > 1)
+            if len(crowded):
+                more = []
+                for r, k in zip(out[crowded], pieces[crowded].tolist(), strict=True):
+                    own = int(r["cls"]) % k
+                    for other in range(k):
+                        r["piece"], r["unit"] = own, min(own, other) * k + max(own, other)
+                        more.append(r.copy())
+                out = np.concatenate([np.delete(out, crowded), np.array(more, _PLACE)])
+            bucket = ((out["h"] ^ out["unit"].astype(np.uint64) * _MIX[3]) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, out = bucket[order], out[order]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+            ends = np.append(starts[1:], len(out))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array([out[x:y].tobytes() for x, y in zip(starts, ends, strict=True)], pa.binary())], ["bucket", "data"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
         for b in batches:
-            for members in b.column(0):
-                m = members.values
-                cls, n, at, root = (m.field(k).to_numpy(zero_copy_only=False) for k in ("cls", "n", "i", "root"))
-                sk = m.field("sketch").flatten().to_numpy().reshape(-1, SKETCH).view(np.uint64)
-                n, at = n.astype(np.int64), at.astype(np.int64)
-                for x, y in _all(root) if every else _few(cls, n):
-                    both = n[x] + n[y]
-                    most = np.minimum(n[x] - at[x], n[y] - at[y])  # shared from here on, if this is the first they share
-                    ok = (cls[x] != cls[y]) & (WHOLE * np.minimum(n[x], n[y]) >= PART * np.maximum(n[x], n[y])) & (most * (PART + WHOLE) >= PART * both)
-                    x, y, both = x[ok], y[ok], both[ok]
-                    ok = np.bitwise_count(sk[x] ^ sk[y]).sum(axis=1, dtype=np.int64) * (PART + WHOLE) <= (WHOLE - PART) * both
-                    if ok.any():
-                        p, q = cls[x[ok]], cls[y[ok]]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
-
-    return scan(groups, task, "a long, b long").distinct()
+            for bucket, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if bucket != now and held:
+                    yield from _pairs(np.frombuffer(b"".join(held), _PLACE))
+                    held = []
+                now = bucket
+                held.append(data)
+        if held:
+            yield from _pairs(np.frombuffer(b"".join(held), _PLACE))
+
+    dealt = scan(rows, placed, "bucket long, data binary").repartition("bucket").sortWithinPartitions("bucket")
+    return scan(dealt, met, "a long, b long").distinct()
+
+
+def _pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of different roots in the groups of a bucket that can be similar, if the shingle is the first one they share."""
+    rows = rows[np.lexsort((rows["n"], rows["unit"], rows["h"]))]
+    new = np.append(True, (rows["h"][1:] != rows["h"][:-1]) | (rows["unit"][1:] != rows["unit"][:-1]))
+    starts = np.flatnonzero(new)
+    if not len(starts) or len(starts) == len(rows):
+        return
+    mixed = np.flatnonzero(np.minimum.reduceat(rows["root"], starts) != np.maximum.reduceat(rows["root"], starts))
+    ends = np.append(starts[1:], len(rows))
+    out, held = [], 0
+    for g in mixed.tolist():
+        m = rows[starts[g]:ends[g]]
+        n, left = m["n"].astype(np.int64), (m["n"] - m["i"]).astype(np.int64)
+        pieces = len(np.unique(m["piece"])) > 1
+        # Each with those before it, which are as large or smaller: by size from the first that is large enough.
+        first = np.searchsorted(n, -(-PART * n // WHOLE))
+        for x in range(1, len(m)):
+            y = np.arange(first[x], x)
+            if not len(y):
+                continue
+            ok = (m["root"][y] != m["root"][x]) & (np.minimum(left[y], left[x]) * (PART + WHOLE) >= PART * (n[y] + n[x]))
+            if pieces:  # those of one piece meet in a unit of their own
+                ok &= m["piece"][y] != m["piece"][x]
+            y = y[ok]
+            if len(y):
+                out.append(np.stack([np.minimum(m["cls"][y], m["cls"][x]), np.maximum(m["cls"][y], m["cls"][x])]))
+                held += len(y)
+                if held > 1 << 18:
+                    both = np.unique(np.concatenate(out, axis=1), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+                    out, held = [], 0
+    if out:
+        both = np.unique(np.concatenate(out, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that can be similar by their sizes and sketches."""
+    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    bits = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    both = F.col("na") + F.col("nb")
+    near = (WHOLE * F.least("na", "nb") >= PART * F.greatest("na", "nb")) & (bits * (PART + WHOLE) <= (WHOLE - PART) * both)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(near).select("a", "b")
 
 
 def _verified(df: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose sets are similar, by the sets themselves."""
+    """The pairs whose sets are similar, by the sets themselves; a set is made again from its text and shuffled, never kept."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    ids = classes.join(asked, "cls").select("doc_id").distinct()
-    rows = df.select("doc_id", "text").join(ids, "doc_id", "left_semi").unionByName(df.filter("doc_id IS NULL").select("doc_id", "text"))
+    lead = classes.join(asked, "cls").select("doc_id", "cls")
+    rows = df.filter("doc_id IS NOT NULL").select("doc_id", "text").join(lead.filter("doc_id IS NOT NULL"), "doc_id")
+    rows = rows.unionByName(df.filter("doc_id IS NULL").select("doc_id", "text").withColumn("cls", F.lit(None).cast("long")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
             found = [shingle_set(t) for t in texts(b, "text")]
-            cls = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array([s.tobytes() for s in found], pa.binary())], ["cls", "shingles"])
+            own = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in found], np.uint64).view(np.int64).tolist()
+            at = [i for i, c in enumerate(b.column(2).to_pylist()) if c is None or c == own[i]]
+            yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in at], pa.int64()), pa.array([found[i].tobytes() for i in at], pa.binary())], ["cls", "shingles"])
 
-    kept = settle(scan(rows, sets, "cls long, shingles binary").dropDuplicates(["cls"]), "shingle-sets")
-    side = lambda c: kept.select(F.col("cls").alias(c), F.col("shingles").alias(f"s{c}"))
+    kept = scan(rows, sets, "cls long, shingles binary").dropDuplicates(["cls"])
+    # The larger class meets its pairs once, whatever their number.
+    of = settle(kept, "sets")
+    side = lambda c: of.select(F.col("cls").alias(c), F.col("shingles").alias(f"s{c}"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -144,23 +261,26 @@ def similar_groups(df: DataFrame) -> DataFrame:
     """(doc_id, component_id) per row of ``df``; component_id is the smallest id reached over pairs of texts that share four fifths
     or more of all their five-word shingles.
 
-    A text is known by its set of shingles, so copies cost nothing further. Similar sets share one of their first fifth of
-    shingles in any order that is the same for all; here frequent shingles come last. Pairs enough to connect groups of like texts
-    are compared first, then all others that meet and are not connected yet; each by its whole sets. A null text has no words; all
-    texts without words are alike. Null ids take part and get their component's smallest id.
+    A text is known by its set of shingles, so copies cost nothing further. Two passes: pairs that SimHash fingerprints or common
+    minima make likely connect nearly all that is similar; then all others that are not connected yet and meet in a prefix.
+    Similar sets share one of their first fifth of shingles in any order that is the same for all; here frequent shingles come
+    last. All pairs of either pass are decided by whole sets, so the result is that of all pairs. A null text has no words; all
+    texts without words are alike. Null ids take part and get their component's smallest id. Other columns are not read. An empty
+    table gives no rows.
     """
-    rows = settle(_classes(df), "shingles")
-    classes = settle(rows.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")), "classes")
-    place = classes.select("cls", "n", F.posexplode("prefix").alias("i", "h"))
-    met = settle(place.groupBy("h").agg(F.collect_list(F.struct("cls", "n", "i")).alias("m")).filter(F.size("m") > 1).select("h", F.explode("m").alias("x")).select("h", "x.*"), "met")
-    known = met.join(classes.select("cls", "sketch"), "cls")
-    links, root = None, classes.select("cls", F.col("cls").alias("root"))
-    for every in (False, True):
-        groups = (known.join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls")).groupBy("h")
-                  .agg(F.collect_list(F.struct("cls", "n", "i", "root", "sketch")).alias("m"), F.min("root").alias("_a"), F.max("root").alias("_b"))
-                  .filter("_a <> _b").select("m"))
-        new = settle(_verified(df, classes, settle(_pairs(groups, every), "pairs")), "similar")
-        links = new if links is None else links.unionByName(new)
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(_frequent(df))  # at most FREQUENT numbers
+    rows = settle(_classes(df, shared), "shingles")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id"))["doc_id"]
+    classes = settle(rows.groupBy("cls").agg(least.alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "prefix", "sketch", "minima", "fp")]), "classes")
+    links = settle(_verified(df, classes, settle(_plausible(_likely(classes), classes), "likely")), "similar")
+    root = settle(components(links).select(F.col("node").alias("cls"), "root"), "roots")
+    places = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    tasks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    buckets = int(max(1, -(-places // MANY_ROWS), min(tasks, -(-places // FEW_ROWS))))
+    rest = settle(_plausible(_met(classes, root, shared, buckets), classes), "met")
+    if not rest.isEmpty():
+        links = links.unionByName(settle(_verified(df, classes, rest), "similar"))
         root = settle(components(links).select(F.col("node").alias("cls"), "root"), "roots")
     named = classes.select("cls", "doc_id").join(root, "cls", "left").withColumn("_root", F.coalesce("root", "cls"))
     lows = named.groupBy("_root").agg(F.min("doc_id").alias("component_id"))

@@ -140,7 +140,11 @@ def _encode_pieces(tokenizer: Tokenizer, sizes: np.ndarray, new: list[str], grou
 
 
 def encoder(path: str, pattern: str):
-    """Texts to little-endian uint32 ids. The library encodes each piece of the pre-tokenizer's pattern once while it is remembered."""
+    """Texts to little-endian uint32 ids. The library encodes each piece of the pre-tokenizer's pattern once while it is remembered.
+
+    The name of an added token, such as that of the end of a text, is ordinary text where a document says it
+    (``encode_special_tokens``, as the vocabulary's notes advise): a document can't end itself.
+    """
     tokenizer, sizes, known = _tokenizer(path)
     split = regex.compile(pattern)
 

@@ -323,3 +323,18 @@ def test_native_operators_run_no_python(spark, docs):
     for df in (quality.judge_quality(docs), chat.chat_digest(conv), sharding.shard(docs)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
     assert docs.select(F.count("*")).first()[0] > 0
+
+
+def test_one_very_long_piece_is_encoded_in_small_memory():
+    import resource
+    import time
+    path = P.path("byte_bpe_50k.tiktoken")
+    ranks = bpe.read_ranks(path)
+    own, enc = bpe.PairwiseBpe(ranks), tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(4)
+    many = ["".join(r.choice("ab-=日é") for _ in range(r.randrange(2_000, 5_000))) for _ in range(12)] + ["-" * 3_000, "=-" * 2_500, "a" * 4_099]
+    for t in many:
+        assert own._encode_long(t.encode()) == own.encode(t.encode()) == enc._core_bpe.encode_single_piece(t.encode())
+    before, started = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    assert own.bytes_of[own.encode(b"-" * 1_000_000)[0]][:1] == b"-"
+    assert time.process_time() - started < 5 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000

@@ -2,6 +2,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from assayer.llm import overlap
 
 
@@ -49,3 +50,49 @@ def test_a_crowd_of_near_copies_is_one_group(spark):
         rows.append((i, " ".join(w)))
     d = spark.createDataFrame(rows, "doc_id long, text string")
     assert {x["component_id"] for x in overlap.similar_groups(d).collect()} == {0}
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    d = spark.createDataFrame([(1, "a b c d e f", 1, 2), (2, "a b c d e f", 1, 2), (2, "x", 1, 2), (None, None, 1, 2)], "doc_id long, text string, cls int, root int")
+    assert overlap.keep_first(d.limit(0)).count() == 0 and overlap.similar_groups(d.limit(0)).count() == 0
+    got = sorted(((x["doc_id"], x["text"]) for x in overlap.keep_first(d).collect()), key=repr)
+    assert got == sorted([(1, "a b c d e f"), (2, "x"), (2, "a b c d e f"), (None, None)], key=repr)
+
+
+def test_edited_templates_that_are_not_similar_meet_in_no_pair(spark):
+    """Many texts share a template in three quarters of their words: its shingles are in every prefix, yet too late in it."""
+    r = random.Random(7)
+    template, rows = [f"t{i}" for i in range(175)], []
+    for i in range(3_000):
+        own = [f"o{i}x{k}" for k in range(25)]
+        at = r.randrange(176)
+        rows.append((i, " ".join(template[:at] + own + template[at:])))
+    rows += [(5_000 + i, rows[i][1] + " more") for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    shared = spark.sparkContext.broadcast(overlap._frequent(d))
+    classes = overlap._classes(d, shared).cache()
+    root = classes.selectExpr("cls", "cls AS root")
+    assert overlap._met(classes, root, shared, 16).count() < 3 * len(rows)
+    got = {x["doc_id"]: x["component_id"] for x in overlap.similar_groups(d).collect()}
+    assert all(got[5_000 + i] == i for i in range(40)) and sum(k == v for k, v in got.items()) == 3_000
+
+
+def test_pieces_of_a_frequent_shingle_lose_no_pair():
+    r = np.random.default_rng(3)
+    members = np.zeros(60, overlap._PLACE)
+    members["h"], members["cls"], members["n"], members["i"] = 7, np.arange(60), r.integers(40, 60, 60), r.integers(0, 5, 60)
+    members["root"] = members["cls"] % 13
+
+    def found(rows):
+        return {(a, b) for batch in overlap._pairs(rows) for a, b in zip(*batch.to_pydict().values(), strict=True)}
+    n, left = members["n"].astype(int), (members["n"] - members["i"]).astype(int)
+    want = {(a, b) for b in range(60) for a in range(b) if a % 13 != b % 13 and 5 * min(n[a], n[b]) >= 4 * max(n[a], n[b]) and 9 * min(left[a], left[b]) >= 4 * (n[a] + n[b])}
+    assert found(members) == want and want
+    units = []
+    for m in members:
+        own = m["cls"] % 3
+        for other in range(3):
+            x = m.copy()
+            x["piece"], x["unit"] = own, min(own, other) * 3 + max(own, other)
+            units.append(x)
+    assert found(np.array(units, overlap._PLACE)) == want

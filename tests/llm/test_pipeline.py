@@ -3,7 +3,7 @@ import re
 
 import corpus_pipeline
 import pytest
-from assayer.llm import contamination, simhash, toxicity
+from assayer.llm import contamination, toxicity
 from assayer.llm.scan import table
 
 SF = "/root/testdata/sf0.001"
@@ -37,8 +37,18 @@ def test_toxic_documents_go(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
+    """All pairs of texts that share four fifths of their five-word shingles, by brute force."""
     before, after = stages["near_duplicates"]
-    assert ids(after) == sorted({r["component_id"] for r in simhash.near_duplicates(before).collect()})
+    docs = sorted((r["doc_id"], re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))) for r in before.collect())
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for _, w in docs]
+    low = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((low[i], low[j]))
+                low = [a if x == b else x for x in low]
+    want = sorted({docs[x][0] for x in low})
+    assert ids(after) == want and len(want) < len(docs)
 
 
 def test_repeats_are_cut_and_clean_texts_stay(stages):
@@ -67,3 +77,15 @@ def test_contaminated_documents_go(spark, stages):
 def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, SF).select("doc_id", "ids_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, stages["byte_bpe"][1].select("doc_id", "ids_sha256").collect()))
+
+
+def test_empty_tables_and_texts_go_through_all_stages(spark):
+    docs = table(spark, SF, "documents")
+    odd = spark.createDataFrame([(1, None, "en", "s", None), (2, "", "en", "s", 0), (3, "", None, None, None), (None, "one two three", "en", "s", 13), (None, None, None, None, None)], docs.schema)
+    for start in (docs.limit(0), odd):
+        kept = start
+        for name, stage in corpus_pipeline.STAGES:
+            kept = stage(spark, kept, SF).cache()
+            assert kept.columns == docs.columns or name == "byte_bpe"
+            assert kept.count() <= start.count()
+        assert (kept.count() > 0) == (start is odd)
