@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from assayer.operators import ordered
 from assayer.operators.bars import chunks_by_count
+from assayer.operators.partitions import spread
 
 FX: dict[str, str] = {
     "fx_calls": """SELECT concat('b',cast(l_orderkey % 5 AS VARCHAR)) AS brief,
@@ -163,6 +164,11 @@ class Tables:
             return self.read(name)
         raise AttributeError(name)
 
+    def wide(self, df: DataFrame) -> DataFrame:
+        """Columns of a table for CPU-heavy work: a table of fewer files than cores is dealt to all of them."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return spread(df, cores if len(df.inputFiles()) < cores else None)
+
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text, **frames)
 

@@ -13,7 +13,6 @@ from assayer.functions.similarity import similarity_ratio, word_opcodes
 from assayer.operators import intervals as I
 from assayer.operators import leaks as K
 from assayer.operators import lint as B
-from assayer.operators.partitions import spread
 from assayer.operators.rule_index import scan_rule_table
 from assayer.operators.votes import AXES
 from assayer.plans import captions as P
@@ -92,7 +91,7 @@ NORM = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_re
   SELECT doc_id, len(w) AS words, md5(array_to_string(w, ' ')) AS digest FROM (SELECT doc_id, list_filter(string_split({NORM.format(t='text')}, ' '), lambda x: x <> '') AS w FROM documents) t""")
 def normalise(t):
     w = c("w")
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", X.normalise(c("text")).alias("w")).select("doc_id", F.size(w).cast("bigint").alias("words"), F.md5(F.array_join(w, " ")).alias("digest"))
+    return t.wide(t.documents.select("doc_id", "text")).select("doc_id", X.normalise(c("text")).alias("w")).select("doc_id", F.size(w).cast("bigint").alias("words"), F.md5(F.array_join(w, " ")).alias("digest"))
 
 
 def neighbours(t: Tables):
@@ -105,7 +104,7 @@ def neighbours(t: Tables):
 @query("fold_numbers", "T2")
 def fold_numbers(t):
     w = c("w")
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", X.tokens(c("text")).alias("w")).select("doc_id", F.size(w).alias("words"), F.md5(F.array_join(w, " ")).alias("digest"))
+    return t.wide(t.documents.select("doc_id", "text")).select("doc_id", X.tokens(c("text")).alias("w")).select("doc_id", F.size(w).alias("words"), F.md5(F.array_join(w, " ")).alias("digest"))
 
 
 def spelled(number):
@@ -135,7 +134,7 @@ def spelled(number):
   SELECT o_orderkey, o_orderkey % 1000000 || ' crates by ' || o_custkey % 1000000 AS words, 'and ' || o_orderkey % 1000000 || ' or ' || o_orderkey % 1000 || ' a lot' AS more FROM orders""")
 def spelled_numbers(t):
     a, b, low = spelled(c("o_orderkey") % 1_000_000), spelled(c("o_custkey") % 1_000_000), spelled(c("o_orderkey") % 1_000)
-    told = spread(t.orders.select("o_orderkey", "o_custkey")).select("o_orderkey", F.concat(F.initcap(a), F.lit(" crates, by "), b, F.lit(".")).alias("words"),
+    told = t.wide(t.orders.select("o_orderkey", "o_custkey")).select("o_orderkey", F.concat(F.initcap(a), F.lit(" crates, by "), b, F.lit(".")).alias("words"),
                                                                      F.concat(F.lit("And "), a, F.lit(" or "), low, F.lit(" a lot!")).alias("more"))
     return told.select("o_orderkey", *[F.array_join(X.tokens(c(x)), " ").alias(x) for x in ("words", "more")])
 
@@ -174,7 +173,7 @@ SPLITS = f"""g AS (SELECT doc_id, other IS NULL AS none, {marked("text")} AS a,
   WITH e AS (SELECT doc_id, text, coalesce({EDITS_DUCK}, text || ' extra') AS other FROM documents), {SPLITS}
   SELECT doc_id, coalesce(splits, false) AS splits FROM v""")
 def split_only(t):
-    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.coalesce(F.expr(EDITS_SPARK), F.concat("text", F.lit(" extra"))))
+    d = t.wide(t.documents.select("doc_id", "text")).withColumn("other", F.coalesce(F.expr(EDITS_SPARK), F.concat("text", F.lit(" extra"))))
     return d.select("doc_id", X.split_only(X.marked_tokens(c("text")), X.marked_tokens(c("other"))).alias("splits"))
 
 
@@ -182,7 +181,7 @@ def split_only(t):
   WITH e AS (SELECT doc_id, text, {EDITS_DUCK} AS other FROM documents), {SPLITS}
   SELECT doc_id, CASE WHEN none OR len(wa) = 0 OR len(wb) = 0 THEN 'NOTHING COMPARED' WHEN wa = wb THEN 'MATCH' WHEN splits THEN 'MATCH (split)' ELSE 'MISMATCH' END AS verdict FROM v""")
 def same_words(t):
-    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.expr(EDITS_SPARK))
+    d = t.wide(t.documents.select("doc_id", "text")).withColumn("other", F.expr(EDITS_SPARK))
     return d.select("doc_id", X.same_words(c("text"), c("other")).alias("verdict"))
 
 
@@ -194,7 +193,7 @@ def word_list(column: str) -> str:
   WITH p AS (SELECT a.conv_id, a.turn, {word_list('a.text')} AS a, {word_list('b.text')} AS b FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)
   SELECT conv_id, turn, len(list_distinct(list_filter(a, lambda x: NOT list_contains(b, x)))) AS removed, len(list_distinct(list_filter(b, lambda x: NOT list_contains(a, x)))) AS added FROM p""")
 def word_diff(t):
-    p = spread(neighbours(t)).select("conv_id", "turn", X.word_diff(c("a"), c("b")).alias("d"))
+    p = neighbours(t).select("conv_id", "turn", X.word_diff(c("a"), c("b")).alias("d"))
     return p.select("conv_id", "turn", F.size("d.removed").cast("bigint").alias("removed"), F.size("d.added").cast("bigint").alias("added"))
 
 
@@ -225,7 +224,7 @@ def levenshtein_ratio(t):
   p AS (SELECT doc_id, {word_list('text')} AS a, {word_list('other')} AS b FROM e)
   SELECT doc_id, list_filter(a, lambda x: regexp_matches(x, '^[0-9]+$')) = list_filter(b, lambda x: regexp_matches(x, '^[0-9]+$')) AS equal FROM p""")
 def numbers_equal(t):
-    d = spread(t.documents.select("doc_id", "text")).withColumn("other", F.expr(
+    d = t.wide(t.documents.select("doc_id", "text")).withColumn("other", F.expr(
         "CASE doc_id % 3 WHEN 0 THEN replace(text, '7', '8') WHEN 1 THEN replace(text, '-', ' ') ELSE replace(text, ' a ', ' 4 ') END"))
     return d.select("doc_id", X.numbers_equal(c("text"), c("other")).alias("equal"))
 
@@ -248,7 +247,7 @@ def word_count(t):
 
 @query("regex_scan", "T12,J16,F2", f"""WITH {FINDINGS} SELECT doc_id, line_no, severity, "class", label FROM f""")
 def regex_scan(t):
-    return K.regex_scan(t.documents)
+    return K.regex_scan(t.wide(t.documents.select("doc_id", "text")))
 
 
 @query("scan_user_rules", "F2,T12", r"""
@@ -276,7 +275,7 @@ ALLOW = [("src1", "issue-tracker-key"), ("src", "wall-clock-time"), ("2", "email
 
 def pathed(t: Tables):
     d = t.documents.select(F.concat_ws("/", "source", c("doc_id").cast("string")).alias("path"), F.concat("text").alias("text"))
-    return K.suppress(K.regex_scan(d, key="path", keep_line=True), ALLOW, "path", marker="the")
+    return K.suppress(K.regex_scan(t.wide(d), key="path", keep_line=True), ALLOW, "path", marker="the")
 
 
 SUPPRESSED = FINDINGS + f""", s AS (SELECT *, contains(line, 'the') OR {' OR '.join(f"(contains(source || '/' || doc_id, '{a}') AND label = '{b}')" for a, b in ALLOW)} AS suppressed FROM f)"""
@@ -304,14 +303,14 @@ def scan_verdict(t):
 
 @query("order_findings", "K2", f"""WITH {FINDINGS} SELECT DISTINCT severity, "class", label, source FROM f""")
 def order_findings(t):
-    f = K.regex_scan(t.documents).join(t.documents.select("doc_id", "source"), "doc_id")
+    f = K.regex_scan(t.wide(t.documents.select("doc_id", "text"))).join(t.documents.select("doc_id", "source"), "doc_id")
     return K.order_findings(f.select("severity", "class", "label", "source"), ["class", "label", "source"])
 
 
 @query("export_findings", "S10", f"""
   WITH {FINDINGS} SELECT DISTINCT doc_id || ':' || line_no || ':' || "class" || ':' || severity || ':' || label AS finding FROM f""")
 def export_findings(t):
-    return sinks.export_findings(K.regex_scan(t.documents))
+    return sinks.export_findings(K.regex_scan(t.wide(t.documents.select("doc_id", "text"))))
 
 
 ROSTER, OWNERS = ["Elle", "O'Connor", "bad|name", "The Therin", ""], ["thon", "root", "ab", "x.y"]
@@ -347,7 +346,7 @@ def redacted_line(rules) -> str:
 
 @query("redact", "T15", f"SELECT doc_id, md5(array_to_string(list_transform(string_split(text, chr(10)), lambda x: {redacted_line(RULES)}), chr(10))) AS digest FROM documents")
 def redact(t):
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", F.md5(K.redact(c("text"), list(RULES))).alias("digest"))
+    return t.wide(t.documents.select("doc_id", "text")).select("doc_id", F.md5(K.redact(c("text"), list(RULES))).alias("digest"))
 
 
 @query("dismiss", "T16", f"""
@@ -355,7 +354,7 @@ def redact(t):
     WHEN "class" LIKE 'CLASS3%' AND regexp_matches(line, '@|[0-9]') THEN 2 END AS dismissed_by FROM f""")
 def dismiss(t):
     d = t.documents.select(F.concat_ws("/", "source", c("doc_id").cast("string")).alias("path"), "text")
-    f = K.dismiss(K.regex_scan(d, key="path", keep_line=True), [("CLASS6-BEHAVIORAL", "src1*", "."), ("CLASS3*", "*", "@|[0-9]")], "path")
+    f = K.dismiss(K.regex_scan(t.wide(d), key="path", keep_line=True), [("CLASS6-BEHAVIORAL", "src1*", "."), ("CLASS3*", "*", "@|[0-9]")], "path")
     return f.select(F.element_at(F.split("path", "/"), -1).cast("bigint").alias("doc_id"), "line_no", "label", "dismissed_by")
 
 
@@ -401,19 +400,27 @@ def pack_chunks(t):
     return K.pack_chunks(d, "source", "doc_id", c("bytes"), 12_000).groupBy("source", "pack_start").agg(n("docs"), F.sum("size").alias("bytes"))
 
 
-@query("parse_replies", "P2,F3", """
-  WITH r AS (SELECT l_orderkey % 9 AS form, 1 + l_quantity::INT % 10 AS craft, 1 + round(l_discount * 100)::INT AS message FROM lineitem)
-  SELECT CASE form WHEN 2 THEN 'not one JSON object' WHEN 3 THEN 'not one JSON object' WHEN 4 THEN 'duplicate key' WHEN 5 THEN 'not a number' WHEN 6 THEN 'not a number' WHEN 7 THEN 'missing axis'
-    WHEN 8 THEN 'not one JSON object' ELSE CASE WHEN message > 10 THEN 'out of range' END END AS reason, CASE WHEN form IN (0, 1) AND message <= 10 THEN craft END::DOUBLE AS craft, count(*) AS n FROM r GROUP BY ALL""")
+#: A reply per form: what is wrong with it, and the reply with a and b for its numbers.
+REPLIES = [
+    (None, '{"craft": <a>, "message": <b>, "warmth": 5}'), (None, '```json\n{"craft": <a>, "message": <b>, "warmth": 5}\n```'), ("not one JSON object", 'Sure: {"craft": <a>, "message": <b>, "warmth": 5}'),
+    ("not one JSON object", '{"craft": <a>, "message": <b>, "warmth": 5} {"craft": 1}'), ("duplicate key", '{"craft": <a>, "craft": 3, "message": <b>, "warmth": 5}'),
+    ("not a number", '{"craft": "<a>", "message": <b>, "warmth": 5}'), ("not a number", '{"craft": true, "message": <b>, "warmth": 5}'), ("missing axis", '{"craft": <a>, "message": <b>}'),
+    ("not one JSON object", '{"craft": NaN, "message": <b>, "warmth": 5}'), (None, '{"craft": <a>, "why": {"craft": 99, "note": "a }brace{ and \\"quote\\""}, "message": <b>, "warmth": 5}'),
+    ("duplicate key", '{"craft": <a>, "why": {"x": 1, "y": [{"z": 1, "z": 2}]}, "message": <b>, "warmth": 5}'), ("missing axis", '{"scores": {"craft": <a>, "message": <b>, "warmth": 5}}'),
+    ("not one JSON object", '[{"craft": <a>, "message": <b>, "warmth": 5}]'), ("not a number", '{"craft": {"value": <a>}, "message": <b>, "warmth": 5}'), ("not one JSON object", '{"craft": <a>, "why": {"x": 1}, "message": <b>, "warmth": 5'),
+    ("not one JSON object", '{"craft": <a>, "why": [1, {}], "message": <b>, "warmth": 5}}'), ("not a number", '{"craft": null, "why": [], "message": <b>, "warmth": 5}'),
+]
+
+
+@query("parse_replies", "P2,F3", f"""
+  WITH r AS (SELECT l_orderkey % {len(REPLIES)} AS form, 1 + l_quantity::INT % 10 AS craft, 1 + round(l_discount * 100)::INT AS message FROM lineitem),
+  f AS (SELECT unnest(range({len(REPLIES)})) AS form, unnest([{", ".join(f"'{why}'" if why else "NULL" for why, _ in REPLIES)}]) AS why)
+  SELECT coalesce(why, CASE WHEN message > 10 THEN 'out of range' END) AS reason, CASE WHEN why IS NULL AND message <= 10 THEN craft END::DOUBLE AS craft, count(*) AS n FROM r JOIN f USING (form) GROUP BY ALL""")
 def parse_replies_query(t):
-    r = t.lineitem.selectExpr(
-        "l_orderkey % 9 AS form", "1 + int(l_quantity) % 10 AS a", "1 + int(round(l_discount * 100)) AS b").selectExpr("""CASE form
-        WHEN 1 THEN concat('```json\n{"craft": ', a, ', "message": ', b, ', "warmth": 5}\n```') WHEN 2 THEN concat('Sure: {"craft": ', a, ', "message": ', b, ', "warmth": 5}')
-        WHEN 3 THEN concat('{"craft": ', a, ', "message": ', b, ', "warmth": 5} {"craft": 1}') WHEN 4 THEN concat('{"craft": ', a, ', "craft": 3, "message": ', b, ', "warmth": 5}')
-        WHEN 5 THEN concat('{"craft": "', a, '", "message": ', b, ', "warmth": 5}') WHEN 6 THEN '{"craft": true, "message": 4, "warmth": 5}'
-        WHEN 7 THEN concat('{"craft": ', a, ', "message": ', b, '}') WHEN 8 THEN '{"craft": NaN, "message": 4, "warmth": 5}'
-        ELSE concat('{"craft": ', a, ', "note": "a {brace} and \\\\"quote\\\\"", "message": ', b, ', "warmth": 5}') END AS text""")
-    return parse_replies(r, "text", AXES, nested=False).groupBy("reason", "craft").agg(n("n"))
+    forms = F.array(*[F.lit(text) for _, text in REPLIES])
+    r = t.lineitem.select(F.element_at(forms, (c("l_orderkey") % len(REPLIES) + 1).cast("int")).alias("text"), (1 + c("l_quantity").cast("int") % 10).alias("a"), (1 + F.round(c("l_discount") * 100).cast("int")).alias("b"))
+    filled = F.replace(F.replace("text", F.lit("<a>"), c("a").cast("string")), F.lit("<b>"), c("b").cast("string"))
+    return parse_replies(r.select(filled.alias("text")), "text", AXES).groupBy("reason", "craft").agg(n("n"))
 
 
 @query("words_in_window", "J8", """
@@ -518,7 +525,7 @@ def every(test: str) -> str:
   SELECT doc_id, n AS scenes, {", ".join(f'"{k}"' for k in CHECKS)}, CASE WHEN n > 0 AND {" AND ".join(f'"{k}"' for k in CHECKS)} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM k""")
 def board_lint(t):
     s = c("s")
-    d = spread(t.documents.select("doc_id", "n_chars", "lang", "text")).select("doc_id", "n_chars", "lang", F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "").alias("s"))
+    d = t.wide(t.documents.select("doc_id", "n_chars", "lang", "text")).select("doc_id", "n_chars", "lang", F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "").alias("s"))
     d = d.withColumn("keys", F.transform(s, lambda x, i: F.lpad((i + 1).cast("string"), 9, "0")))
     scene = lambda x: F.concat(x, F.when((c("n_chars") % 2 == 0) | (F.length(x) % 7 > 0), ", Mouth closed").otherwise(""), F.when(F.length(x) % 3 == 0, f" {B.PLACEHOLDER}").otherwise(""))
     d = d.withColumn("scenes", F.map_from_arrays("keys", F.transform(s, scene)))

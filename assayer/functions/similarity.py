@@ -1,9 +1,6 @@
-"""The three functions Spark's expressions cannot state, as Arrow-batched pandas UDFs over single rows."""
+"""The functions Spark's expressions cannot state, as Arrow-batched pandas UDFs over single rows."""
 from __future__ import annotations
 
-import json
-import math
-import re
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -46,55 +43,3 @@ def word_opcodes(a: pd.Series, b: pd.Series) -> pd.Series:
         ops = SequenceMatcher(a=x, b=y, autojunk=False).get_opcodes()
         out.append([f"{tag}: {' '.join(x[i1:i2])} / {' '.join(y[j1:j2])}" for tag, i1, i2, j1, j2 in ops if tag != "equal"])
     return pd.Series(out)
-
-
-FENCE = re.compile(r"```[A-Za-z]*\s*(.*?)\s*```", re.S)  # fixed value
-
-
-class _Refused(ValueError):
-    pass
-
-
-def strict_reply(axes: tuple[str, ...], lo: float, hi: float):
-    """pandas UDF: reply text -> struct of the axes and ``reason``. For replies that nest objects; flat ones are native."""
-    fields = ", ".join(f"{a} DOUBLE" for a in axes)
-
-    def unique(pairs):
-        names = [k for k, _ in pairs]
-        if len(set(names)) != len(names):
-            raise _Refused("duplicate key")
-        return dict(pairs)
-
-    def constant(_):
-        raise _Refused("not JSON")
-
-    def one(text, decoder):
-        row = dict.fromkeys(axes)
-        if text is None:
-            return row | {"reason": "not one JSON object"}
-        body = text.strip()
-        fenced = FENCE.fullmatch(body)
-        body = fenced.group(1) if fenced else body
-        try:
-            value, end = decoder.raw_decode(body)
-        except _Refused as e:
-            return row | {"reason": str(e)}
-        except ValueError:
-            return row | {"reason": "not one JSON object"}
-        if body[end:].strip() or not isinstance(value, dict):
-            return row | {"reason": "not one JSON object"}
-        if any(a not in value for a in axes):
-            return row | {"reason": "missing axis"}
-        got = [value[a] for a in axes]
-        if any(isinstance(v, bool) or not isinstance(v, (int, float)) for v in got):
-            return row | {"reason": "not a number"}
-        if any(not math.isfinite(v) or not lo <= v <= hi for v in got):
-            return row | {"reason": "out of range"}
-        return {a: float(v) for a, v in zip(axes, got, strict=True)} | {"reason": None}
-
-    @F.pandas_udf(f"{fields}, reason STRING")
-    def parse(text: pd.Series) -> pd.DataFrame:
-        decoder = json.JSONDecoder(object_pairs_hook=unique, parse_constant=constant)
-        return pd.DataFrame([one(t, decoder) for t in text], columns=[*axes, "reason"])
-
-    return parse

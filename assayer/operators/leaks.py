@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from assayer.functions.leak_rules import RULES, Rule
 from assayer.operators.ordered import chunk_of, scan_in_order
-from assayer.operators.partitions import spread
 from assayer.operators.spacing import spaced
 from assayer.sources.sinks import severity_rank
 
@@ -81,7 +80,7 @@ def regex_scan(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", k
     # which would run every rule twice.
     whole, line = F.col(text), F.col("line")
     maybe = [F.when(_guarded(whole, r, "(?m)"), F.lit(i)) for i, r in enumerate(rules)]
-    tried = spread(docs.select(key, text)).select(key, text, F.array_compact(F.array(*maybe)).alias("__rules"))
+    tried = docs.select(key, text, F.array_compact(F.array(*maybe)).alias("__rules"))
     lines = tried.select(key, "__rules", F.posexplode_outer(F.when(F.size("__rules") > 0, F.split(text, "\n", -1))).alias("__pos", "line"))
     lines = lines.where("line IS NOT NULL").withColumn("line_no", (F.col("__pos") + 1).cast("bigint"))
     hits = [F.when(F.array_contains("__rules", i) & _guarded(line, r), F.struct(

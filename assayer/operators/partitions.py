@@ -3,15 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SMALL_PER_CORE = 16 * 1024 * 1024
 
+def spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Give CPU-heavy work on few input splits ``tasks`` of them; None, for a large scan, keeps its own splits and shuffles nothing.
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work on a small input all cores.
-
-    A small file is often a single row group and so a single task. Only an input whose estimated size is under 16 MB per
-    core is redistributed; a large scan keeps its own splits and is not shuffled. Nothing is run to find out.
+    A small file is often a single row group and so a single task. Only the caller knows what it reads.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SMALL_PER_CORE else df
+    return df.repartition(tasks) if tasks else df

@@ -5,6 +5,10 @@ halo, sweeps over lags are equi-joins or frames exploded in place, so one long s
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +16,7 @@ from assayer.operators.bars import chunks_by_count
 from assayer.operators.ordered import CHUNK_ROWS, SPAN_CHUNKS, chunk_of, drop_halo, halo_window, scan_in_order, with_halo
 from assayer.operators.quantiles import percentiles
 from assayer.operators.spacing import spaced
+from assayer.session import settle
 
 
 def c(name: str) -> Column:
@@ -213,25 +218,121 @@ def _sizes(df: DataFrame, key: str, pos: str) -> DataFrame:
     return df.groupBy(key).agg((F.max(pos) + 1).alias("__n"))
 
 
+def lag_differences(x: np.ndarray, y: np.ndarray, held_x: np.ndarray, held_y: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of (x[p] - y[p + d])^2 over the places that both hold, and how many these are, for d from 1 - len(x) to len(y) - 1.
+
+    A squared difference is two squares and a product, so all lags come out of a few transforms. ``whole``: the values are
+    whole numbers, and so are the sums.
+    """
+    n = len(x) + len(y) - 1
+    size = 1 << (n - 1).bit_length()
+    x, y = np.where(held_x, x, 0.0), np.where(held_y, y, 0.0)
+    forward = lambda v: np.fft.rfft(v, size)
+    fx = [forward(v[::-1]) for v in (held_x.astype(float), x, x * x)]
+    fy = [forward(v) for v in (held_y.astype(float), y, y * y)]
+    both = np.rint(np.fft.irfft(fx[0] * fy[0], size)[:n])
+    total = np.fft.irfft(fx[2] * fy[0] + fx[0] * fy[2] - 2 * fx[1] * fy[1], size)[:n]
+    return np.maximum(np.rint(total) if whole else total, 0.0), both
+
+
+def _best_periods(df: DataFrame, key: str, pos: str, v: str, fps: int, min_period: int, max_period: int | None) -> DataFrame:
+    """(key, msd, period): the period of least mean squared difference over every fifth sample, the smallest on a tie.
+
+    Chunks of a series meet in pairs, and a pair's differences at all its lags come from one convolution: n log n for a series of
+    a few chunks. Partial sums travel as arrays, one per pair and block of lags, and are added as they stream by.
+    """
+    d = df.select(c(key).alias("k"), c(pos).cast("bigint").alias("p"), c(v).cast("double").alias("v")).where("k IS NOT NULL AND p IS NOT NULL")
+    sizes = settle(d.groupBy("k").agg((F.max("p") + 1).alias("n"), F.coalesce(F.round(F.avg("v")), F.lit(0.0)).alias("level")), "sizes")
+    longest = sizes.agg(F.max("n")).first()[0] or 1
+    width = min(max(1 << (-(-longest // 16) - 1).bit_length(), 1 << 13), 1 << 18)
+    kind = d.schema["k"].dataType.simpleString()
+
+    def top_of(n: int) -> int:
+        top = min(-int(-(n / fps) // 1.5) - 1, n // fps - 1)
+        return top if max_period is None else min(top, max_period)
+
+    rows = d.join(sizes, "k").withColumn("chunk", F.floor(c("p") / width))
+    packed = rows.groupBy("k", "n", "chunk").agg(F.sort_array(F.collect_list(F.struct("p", (c("v") - c("level")).alias("v")))).alias("m"))
+    reach = F.greatest(F.ceil(c("n") / F.lit(width)) - 1, F.lit(0)) if max_period is None else F.floor((c("chunk") + 1) + F.lit(max_period * fps) / width)
+    last = F.least(F.ceil(c("n") / F.lit(width)) - 1, reach).cast("bigint")
+    packed = settle(packed.select("k", "n", "chunk", c("m.p").alias("p"), c("m.v").alias("v"), last.alias("last")), "chunks")
+    left = packed.select("k", "n", c("chunk").alias("i"), F.explode(F.sequence("chunk", F.greatest("last", "chunk"))).alias("j"), F.lit(0).alias("side"), "p", "v")
+    lowest = F.lit(0) if max_period is None else F.greatest(F.lit(0), c("chunk") - 1 - F.lit(max_period * fps // width))
+    right = packed.select("k", "n", F.explode(F.sequence(lowest.cast("bigint"), "chunk")).alias("i"), c("chunk").alias("j"), F.lit(1).alias("side"), "p", "v")
+    unit = ["k", "i", "j"]
+    pairs = left.unionByName(right).repartition(*unit).sortWithinPartitions(*unit, "side").select("k", "n", "i", "j", "side", "p", "v")
+
+    def dense(p: np.ndarray, x: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+        out, held = np.zeros(width), np.zeros(width, bool)
+        good = ~np.isnan(x)
+        out[p[good] - chunk * width], held[p[good] - chunk * width] = x[good], True
+        return out, held
+
+    def convolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = None
+        for b in batches:
+            for at in range(b.num_rows):
+                k, n, i, j, side = (b.column(x)[at].as_py() for x in range(5))
+                p, x = b.column(5)[at].values.to_numpy(), b.column(6)[at].values.to_numpy(zero_copy_only=False).astype(float)
+                if not side:
+                    first = (k, i, j), dense(p, x, i)
+                    continue
+                if first is None or first[0] != (k, i, j):
+                    continue
+                (a, held_a), (y, held_y) = first[1], dense(p, x, j)
+                fifth = held_a & ((np.arange(width) + i * width) % 5 == 0)
+                whole = bool((a == np.rint(a)).all() and (y == np.rint(y)).all() and max(np.abs(a).max(), np.abs(y).max()) ** 2 * width < 1 << 48)
+                total, both = lag_differences(a, y, fifth, held_y, whole)
+                total, both = np.append(0.0, total), np.append(0.0, both)  # from lag -width on
+                for block, cut in ((j - i - 1, slice(0, width)), (j - i, slice(width, 2 * width))):
+                    if block >= 0 and both[cut].any():
+                        yield pa.RecordBatch.from_arrays([pa.array([k], b.schema.field(0).type), pa.array([n], pa.int64()), pa.array([block], pa.int64()),
+                                                          pa.array([total[cut].tobytes()], pa.binary()), pa.array([both[cut].tobytes()], pa.binary())], ["k", "n", "block", "total", "both"])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total, both, like = None, None, None, None
+
+        def told() -> Iterator[pa.RecordBatch]:
+            k, n, block = now
+            lag = np.arange(block * width, (block + 1) * width)
+            period = lag // fps
+            ok = (lag % fps == 0) & (period >= min_period) & (period <= top_of(n)) & (both > 0)
+            if ok.any():
+                msd = np.round(total[ok] / both[ok], 9)
+                at = int(msd.argmin())
+                yield pa.RecordBatch.from_arrays([pa.array([k], like), pa.array([float(msd[at])]), pa.array([int(period[ok][at])], pa.int64())], ["k", "msd", "period"])
+
+        for b in batches:
+            like = b.schema.field(0).type
+            for *key_, t, m in zip(*(b.column(x).to_pylist() for x in range(5)), strict=True):
+                t, m = np.frombuffer(t), np.frombuffer(m)
+                if key_ == now:
+                    total, both = total + t, both + m
+                    continue
+                if now is not None:
+                    yield from told()
+                now, total, both = key_, t, m
+        if now is not None:
+            yield from told()
+
+    by = ["k", "n", "block"]
+    sums = pairs.mapInArrow(convolved, f"k {kind}, n bigint, block bigint, total binary, both binary").repartition(*by).sortWithinPartitions(*by)
+    found = sums.mapInArrow(best, f"k {kind}, msd double, period bigint")
+    return found.groupBy(c("k").alias(key)).agg(F.min(F.struct("msd", "period")).alias("m"))
+
+
 def repeat_scan(df: DataFrame, key: str, pos: str, v: str, fps: int = 1, min_period: int = 5, max_period: int | None = None,
                 floor: float = 5.0, reject: float = 0.40) -> DataFrame:
     """Does a series come round again? Mean squared difference at each period against that of unrelated samples.
 
-    Every fifth sample is compared at every period, an equi-join on (key, position). UNJUDGEABLE when unrelated samples
-    hardly differ: a still series shows nothing either way.
+    Every fifth sample is compared at every period, by convolutions. UNJUDGEABLE when unrelated samples hardly differ: a still
+    series shows nothing either way. A NULL or missing sample is compared with none.
     """
-    n = _sizes(df, key, pos)
-    base = df.join(n, key)
+    base = df.join(_sizes(df, key, pos), key)
     other = df.select(key, c(pos).alias("__q"), c(v).alias("__w"))
     far = (base.where(c(pos) % 11 == 0).withColumn("__q", (c(pos) + F.floor(c("__n") / 3)) % c("__n")).join(other, [key, "__q"])
            .groupBy(key).agg(F.avg((c(v) - c("__w")) * (c(v) - c("__w"))).alias("far")))
-    top = F.ceil(c("__n") / F.lit(fps) / 1.5) - 1
-    top = F.least(top, F.floor(c("__n") / F.lit(fps)) - 1)
-    top = top if max_period is None else F.least(top, F.lit(max_period))
-    swept = (base.where(c(pos) % 5 == 0).where(top >= min_period).withColumn("period", F.explode(F.sequence(F.lit(min_period).cast("bigint"), top.cast("bigint"))))
-             .withColumn("__q", c(pos) + c("period") * fps).where(c("__q") < c("__n")))
-    msd = swept.join(other, [key, "__q"]).groupBy(key, "period").agg(F.avg((c(v) - c("__w")) * (c(v) - c("__w"))).alias("msd"))
-    best = msd.groupBy(key).agg(F.min(F.struct(F.round("msd", 9).alias("msd"), "period")).alias("m"))
+    best = _best_periods(df, key, pos, v, fps, min_period, max_period)
     j = far.join(best, key, "left").withColumn("share", c("m.msd") / F.greatest(c("far"), F.lit(1e-9)))
     judged = c("far") >= floor
     return j.select(key, "far", F.when(judged, c("share")).alias("share"), F.when(judged, c("m.period")).alias("period"),

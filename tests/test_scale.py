@@ -198,3 +198,41 @@ def test_spaced_top_k_limits_before_the_shuffle(spark):
         if len(chosen) == 10:
             break
     assert sorted(x["pos"] for x in found.collect()) == sorted(chosen)
+
+
+def test_differences_at_all_lags_by_convolution():
+    r = np.random.default_rng(4)
+    for whole in (True, False):
+        x, y = (r.integers(-40, 40, 90).astype(float) if whole else r.normal(size=90) for _ in range(2))
+        hx, hy = r.random(90) < 0.8, r.random(90) < 0.9
+        total, both = series.lag_differences(x, y, hx, hy, whole)
+        for d in range(-89, 90):
+            at = [p for p in range(90) if 0 <= p + d < 90 and hx[p] and hy[p + d]]
+            want = sum((x[p] - y[p + d]) ** 2 for p in at)
+            assert both[d + 89] == len(at) and (total[d + 89] == want if whole else abs(total[d + 89] - want) < 1e-9)
+
+
+def test_repeats_of_a_million_samples_and_of_gaps(spark):
+    n, period = 1_000_000, 217_351
+    wave = F.col("id") % period
+    long = spark.range(n).select(F.lit("long").alias("series"), F.col("id").alias("pos"), ((wave * 7_919 + wave * wave % 1_013) % 997).cast("double").alias("v"))
+    got = series.repeat_scan(long, "series", "pos", "v").first()
+    assert (got["period"], got["share"], got["verdict"]) == (period, 0.0, "REPLAYS")
+    r = random.Random(3)
+    rows = [(k, i, None if r.random() < 0.05 else float(r.randrange(30))) for k in ("a", "b") for i in range(400) if r.random() < 0.97]
+    df = spark.createDataFrame(rows, "series STRING, pos BIGINT, v DOUBLE")
+    for fps, most in ((1, None), (3, None), (2, 40)):
+        got = {x["series"]: (x["period"], x["share"]) for x in series.repeat_scan(df, "series", "pos", "v", fps=fps, max_period=most, floor=0.0).collect()}
+        for k in ("a", "b"):
+            at = {i: v for s, i, v in rows if s == k}
+            m = max(at) + 1
+            known = {i: v for i, v in at.items() if v is not None}
+            pairs = [(known[i] - known[(i + m // 3) % m]) ** 2 for i in known if i % 11 == 0 and (i + m // 3) % m in known]
+            tops = [x for x in range(5, m) if x < m / fps / 1.5 and x <= m // fps - 1 and x <= (most or m)]
+            msd = {}
+            for x in tops:
+                d = [(known[i] - known[i + x * fps]) ** 2 for i in known if i % 5 == 0 and i + x * fps in known]
+                if d:
+                    msd[x] = round(sum(d) / len(d), 9)
+            best = min(msd, key=lambda x: (msd[x], x))
+            assert got[k][0] == best and abs(got[k][1] - msd[best] / max(sum(pairs) / len(pairs), 1e-9)) < 1e-9
