@@ -11,10 +11,10 @@ NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\))$"
 
 
 def closings(bare: Column) -> Column:
-    """How often the brackets of a text without strings are all closed again."""
+    """After how many brackets of a text without strings none is open."""
     def step(a: Column, x: Column) -> Column:
         depth = a["depth"] + F.when(x.isin("{", "["), 1).otherwise(-1)
-        return F.struct(depth.alias("depth"), (a["closed"] + F.when(depth == 0, 1).otherwise(0)).alias("closed"))
+        return F.struct(depth.alias("depth"), (a["closed"] + F.when(depth <= 0, 1).otherwise(0)).alias("closed"))
 
     brackets = F.filter(F.split(F.regexp_replace(bare, r"[^{}\[\]]", ""), ""), lambda x: x != "")
     return F.aggregate(brackets, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed")), step)["closed"]
