@@ -225,7 +225,7 @@ class Tables:
 
     @cached_property
     def ledger(self) -> DataFrame:
-        parted = chunks_by_count(self.ledger_rows, ["run"], "ts")
+        parted = chunks_by_count(self.ledger_rows, ["run"], "ts", then="id")
         return ordered.scan_in_order(parted, ["run"], ["ts", "id"], F.col("__part"), row_number="seq").drop("__part")
 
     @cached_property

@@ -411,7 +411,7 @@ def next_step(t):
     from assayer.operators.bars import chunks_by_count
     from assayer.operators.ordered import scan_in_order
     named = t.ledger_rows.select("run", "ts", "id", F.element_at(F.array(*[F.lit(s) for s in STEPS]), ((c("cents") + c("k")) % 9 + 1).cast("int")).alias("step"), "cents", "k")
-    led = scan_in_order(chunks_by_count(named, ["run"], "ts"), ["run"], ["ts", "id"], c("__part"), lead={"actual": c("step")})
+    led = scan_in_order(chunks_by_count(named, ["run"], "ts", then="id"), ["run"], ["ts", "id"], c("__part"), lead={"actual": c("step")})
     facts = F.expr(f"""from_json(to_json(named_struct('pass', cents % 3 > 0, 'failed', k % 2 = 0, 'attempts', k % 4, 'caption', 'pass', 'drift', 'pass', 'override', cents % 7 = 0,
         'cause', element_at(array{CAUSES}, int(k % 6 + 1)),
         'mouth', CASE k % 5 WHEN 0 THEN 'pass' WHEN 1 THEN 'fail' WHEN 2 THEN 'review' WHEN 3 THEN 'noface' ELSE 'unreadable' END, 'lag_s', (k % 30) / 100.0D,

@@ -33,29 +33,42 @@ def in_bars(df: DataFrame, value: str, name: str, steps: int = STEPS) -> DataFra
     return df
 
 
-def chunks_by_count(df: DataFrame, keys: list[str], order: str, name: str = "__part", rows: int = 65_536, steps: int = STEPS) -> DataFrame:
+def chunks_by_count(df: DataFrame, keys: list[str], order: str, name: str = "__part", rows: int = 65_536, steps: int = STEPS,
+                    then: str | None = None) -> DataFrame:
     """Add ``name``: a chunk number per key, non-decreasing in ``order``, with chunk borders taken from the row counts.
 
     Keys are counted, and one of more than ``rows`` rows is cut into 2^steps chunks; chunks still above that are cut once
-    more, so a chunk of the hottest key holds about one row in 4^steps. Only crowded keys are sketched, and a level at
-    which nothing is crowded costs its count alone. ``order`` is a number or a time; rows that are equal in it stay
-    together, NULLs come first.
+    more, so a chunk of the hottest key holds about one row in 4^steps. A value that is a border has a chunk of its own. Where
+    ``rows`` rows of a key are equal in ``order``, they stay together, or are cut by ``then``, the next column of the order. Only
+    crowded keys are sketched, and a level at which nothing is crowded costs its count alone. Both columns are numbers or times;
+    NULLs come first.
     """
-    at = df.withColumn("__x", F.col(order).cast("double")).withColumn("__high", F.lit(0)).withColumn("__low", F.lit(0))
+    at = df.withColumn("__x", F.col(order).cast("double")).withColumns({c: F.lit(0) for c in ("__high", "__low", "__tie")})
+    if then:
+        at = at.withColumn("__y", F.col(then).cast("double"))
     by = [*keys]
-    for column in ("__high", "__low"):
+    for column in ("__high", "__low", *(["__tie"] if then else [])):
         marks = [f"__k{i}" for i in range(len(by))]
         renamed = [F.col(k).alias(m) for k, m in zip(by, marks, strict=True)]
+        value = "__y" if column == "__tie" else "__x"
 
         def meets(small: DataFrame, frame: DataFrame = at, pairs: tuple = tuple(zip(by, marks, strict=True))) -> Column:
             """Equality of the keys in which NULL meets NULL."""
             return reduce(lambda a, b: a & b, [frame[k].eqNullSafe(small[m]) for k, m in pairs])
 
-        # Settled, so that its true size is known when Spark chooses how to join the rows with it.
-        crowded = settle(at.groupBy(*by).agg(F.count("__x").alias("__rows")).where(F.col("__rows") > rows).select(*renamed), "crowded")
+        # Settled, so that its true size is known when Spark chooses how to join the rows with it. The next column may cut only
+        # what is equal in the first one.
+        full = at.groupBy(*by).agg(F.count("__x").alias("__rows"), F.min("__x").alias("__a"), F.max("__x").alias("__b")).where(F.col("__rows") > rows)
+        crowded = settle((full.where("__a = __b") if column == "__tie" else full).select(*renamed), "crowded")
         if crowded.isEmpty():
             break
-        cut = settle(borders(at.join(crowded, meets(crowded), "left_semi"), by, "__x", steps).select(*renamed, "__borders"), "borders")
-        at = in_bars(at.drop(column).join(cut, meets(cut), "left"), "__x", column, steps).drop("__borders", *marks)
+        cut = settle(borders(at.join(crowded, meets(crowded), "left_semi"), by, value, steps).select(*renamed, "__borders"), "borders")
+        at = in_bars(at.drop(column).join(cut, meets(cut), "left"), value, column, steps)
+        if column != "__tie":
+            own = F.coalesce(F.array_contains("__borders", F.col(value)), F.lit(False)).cast("int")
+            at = at.withColumn(column, F.col(column) * F.lit(2) + own)
+        at = at.drop("__borders", *marks)
         by = [*by, column]
-    return at.withColumn(name, (F.col("__high") * F.lit(2 ** steps) + F.col("__low")).cast("bigint")).drop("__x", "__high", "__low")
+    wide = F.lit(2 ** (steps + 1))
+    number = ((F.col("__high").cast("bigint") * wide + F.col("__low")) * F.lit(2 ** steps) + F.col("__tie")).cast("bigint")
+    return at.withColumn(name, number).drop("__x", "__y", "__high", "__low", "__tie")

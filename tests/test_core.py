@@ -185,3 +185,17 @@ def test_linear_resample(spark):
     df = spark.createDataFrame([("s", 0.0, 0.0), ("s", 2.0, 20.0), ("s", 2.5, 0.0)], "series STRING, t DOUBLE, v DOUBLE")
     got = {r["bin"]: r["v"] for r in series.resample_linear(df, "series", "t", "v", 2.0).collect()}
     assert got == {0: 0.0, 1: 5.0, 2: 10.0, 3: 15.0, 4: 20.0}
+
+
+def test_rows_of_one_time_are_cut_by_the_next_column(spark):
+    """A bulk import: half of a run's rows at one time, some at another, the rest spread."""
+    rows = [("hot", 50, i * 7 % 9_001) for i in range(9_000)] + [("hot", 70, i) for i in range(700)] + [("hot", 1 + i % 90, 20_000 + i) for i in range(3_000)] + [("few", 50, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "run STRING, t BIGINT, id BIGINT").repartition(5)
+    parted = bars.chunks_by_count(df, ["run"], "t", rows=100, steps=4, then="id")
+    got = ordered.scan_in_order(parted, ["run"], ["t", "id"], F.col("__part"), row_number="rn", lag={"p": F.col("id")}).where("run = 'hot'").orderBy("rn").collect()
+    want = sorted((t, i) for k, t, i in rows if k == "hot")
+    assert [(r["t"], r["id"]) for r in got] == want and [r["p"] for r in got] == [None, *[i for _, i in want[:-1]]]
+    sizes = [r["count"] for r in parted.where("run = 'hot'").groupBy("__part").count().collect()]
+    assert max(sizes) < 1_500 and sum(sizes) == len(want)
+    whole = bars.chunks_by_count(df, ["run"], "t", rows=100, steps=4)
+    assert max(r["count"] for r in whole.groupBy("run", "__part").count().collect()) >= 9_000
