@@ -288,13 +288,13 @@ HISTORY = """h AS (SELECT 's' || (user_id % 7) AS shoot, event_id AS line, event
 def history(t: Tables):
     return R.classify_history(t.read("events").selectExpr(
         "concat('s', user_id % 7) AS shoot", "event_id AS line", "event_type", "bigint(get_json_object(props, '$.k')) AS k", "date_format(ts, 'yyyy-MM-dd') AS day"
-    ).where("event_type <> 'view'").selectExpr(
+    ).selectExpr(
         "shoot", "line", "day", "IF(event_type = 'click', 'requests.jsonl', 'landings.jsonl') AS file",
-        "CASE event_type WHEN 'click' THEN NULL WHEN 'error' THEN 'gated master' WHEN 'purchase' THEN 'master' ELSE 'withdrawn' END AS kind",
+        "CASE event_type WHEN 'click' THEN NULL WHEN 'error' THEN 'gated master' WHEN 'purchase' THEN 'master' WHEN 'view' THEN IF(line % 2 = 0, 'glimpse', NULL) ELSE 'withdrawn' END AS kind",
         "CASE event_type WHEN 'click' THEN concat('spot', k % 9, '-', element_at(array('a', 'b', 'c'), int(k % 3 + 1)), IF(line % 4 = 0, '2', '')) WHEN 'purchase' THEN concat('spot', k % 9) END AS scene",
         "IF(k % 2 = 0, 'omni', 'wan3') AS engine", "CAST(NULL AS STRING) AS leg", "CAST(NULL AS STRING) AS status", "CAST(NULL AS STRING) AS url", "CAST(NULL AS INT) AS roll",
         "CAST(NULL AS INT) AS attempt", "IF(event_type = 'click', CASE line % 5 WHEN 0 THEN 'the author asked' WHEN 1 THEN 'it timed out' WHEN 2 THEN 'hands look odd' END, NULL) AS why",
-        "CASE WHEN event_type NOT IN ('click', 'error', 'purchase') THEN CASE line % 3 WHEN 0 THEN 'closer off' WHEN 1 THEN 'scene bad' ELSE 'other' END END AS reason",
+        "CASE WHEN event_type NOT IN ('click', 'error', 'purchase', 'view') THEN CASE line % 3 WHEN 0 THEN 'closer off' WHEN 1 THEN 'scene bad' ELSE 'other' END END AS reason",
         "CASE line % 3 WHEN 0 THEN 'REVIEW, eye approved' WHEN 1 THEN 'PASS' ELSE 'REVIEW' END AS mouth", "IF(line % 2 = 1, 'withdrawn cut', 'none') AS supersedes",
         "IF(line % 3 = 0, 'ship_gate pass', 'ship_gate fail') AS gate", "concat('spot', k % 9) AS ad",
         "array(named_struct('ad', concat('spot', k % 9)), named_struct('ad', concat('spot', (k + 1) % 9))) AS withdrawn"))
@@ -305,6 +305,12 @@ def replay_history(t):
     return R.replay_history(history(t)).select("shoot", "src", "dst", "line")
 
 
+@query("unknown_rows", "L2", f"""
+  WITH {HISTORY} SELECT shoot, CASE event_type WHEN 'click' THEN 'requests.jsonl' ELSE 'landings.jsonl' END AS file, line FROM h WHERE event_type = 'view'""")
+def unknown_rows(t):
+    return R.unknown_rows(history(t))
+
+
 @query("backed_edges", "U1", f"WITH {HISTORY} SELECT src, dst FROM mv UNION SELECT src, dst FROM fx_moves")
 def backed_edges(t):
     return U.backed_edges(R.replay_history(history(t)), L.row_moves(t.ledger))
