@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.scan import scan, slices, texts
+from assayer.session import settle
 
 WINDOW = 10
 #: Item text per automaton, in bytes. Its tree takes up to 600 times that (150 MB) in a worker; more items mean more passes.
@@ -149,5 +150,5 @@ def contamination_digest(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_of(df: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``df`` without a hit. Rows with a null id stay: no benchmark finding can be tied to them."""
-    hit = contamination(df, benchmark, **how).filter("n_hit > 0").select("doc_id").distinct()
+    hit = settle(contamination(df, benchmark, **how).filter("n_hit > 0").select("doc_id").distinct(), "hit")
     return df.join(hit, "doc_id", "left_anti").select(*df.columns)

@@ -231,7 +231,8 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _verified(df: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose sets are similar, by the sets themselves; a set is made again from its text and shuffled, never kept."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    lead = classes.join(asked, "cls").select("doc_id", "cls")
+    # Settled, as elsewhere, so that its true size is known when Spark chooses how to join the texts with it.
+    lead = settle(classes.join(asked, "cls").select("doc_id", "cls"), "asked")
     rows = df.filter("doc_id IS NOT NULL").select("doc_id", "text").join(lead.filter("doc_id IS NOT NULL"), "doc_id")
     rows = rows.unionByName(df.filter("doc_id IS NULL").select("doc_id", "text").withColumn("cls", F.lit(None).cast("long")))
 
@@ -289,5 +290,5 @@ def similar_groups(df: DataFrame) -> DataFrame:
 
 def keep_first(df: DataFrame) -> DataFrame:
     """The rows of ``df`` whose id is its component's smallest; of rows that repeat an id, all stay. A null id stays."""
-    first = similar_groups(df).filter("doc_id = component_id").select("doc_id").distinct()
+    first = settle(similar_groups(df).filter("doc_id = component_id").select("doc_id").distinct(), "first")
     return df.filter("doc_id IS NULL").unionByName(df.join(first, "doc_id", "left_semi").select(*df.columns))

@@ -314,6 +314,7 @@ def cut_passages(df: DataFrame, passages: DataFrame) -> DataFrame:
     free = lambda name: name if name not in df.columns else free(f"_{name}")
     id_, key, spans = free("_id"), free("_text_key"), free("_spans")
     found = passages.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias(spans)).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), spans)
+    found = settle(found, "spans")
     joined = df.join(found, (F.col("doc_id") == F.col(id_)) & (text_key() == F.col(key)), "left").drop(id_, key)
     out = df.columns
     at = out.index("text")

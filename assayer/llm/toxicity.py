@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.scan import scan, slices, texts
+from assayer.session import settle
 
 GRAMS = (3, 4, 5)
 BUCKET_BITS, DIM = 17, 8
@@ -180,5 +181,6 @@ def toxicity_digest(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 def mild_only(df: DataFrame, model: Model) -> DataFrame:
     """The rows of ``df`` that are not predicted toxic; rows that share an id go when one of them is. A null id stays."""
-    bad = score_toxicity(df, model).filter("predicted = 1").select("doc_id").distinct()
+    # Settled, so that its true size is known when Spark chooses how to join the texts with it.
+    bad = settle(score_toxicity(df, model).filter("predicted = 1").select("doc_id").distinct(), "toxic")
     return df.join(bad, "doc_id", "left_anti").select(*df.columns)
