@@ -28,5 +28,5 @@ def agree(spark, tmp_path):
 
 
 def test_times_go_to_the_nearest_second(agree):
-    agree("nearest_sample", events="""SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_microseconds(i * 29700000) AS ts, i % 3 AS user_id,
+    agree("nearest_sample", events="""SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_microseconds(i * 59700000) AS ts, i % 3 AS user_id,
       CASE WHEN i % 2 = 0 THEN 'error' ELSE 'view' END AS event_type, 1.0::DOUBLE AS value, '{"k": 1}' AS props FROM range(200) r(i)""")
