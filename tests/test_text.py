@@ -229,3 +229,16 @@ def test_more_board_shapes(spark):
     assert "chain" in lint(scenes=pronoun, chain=["a", "b"])["failed"]
     card = B.score_card(spark.createDataFrame([BOARD | {"scores": {"hook": 1, "realism": 9, "logic": 2}, "scored_by": " "}], B.BOARD_SCHEMA)).first()
     assert card["unmet"] == {"hook": "under 2", "realism": "not a whole number from 0 to 3", "absurdity": "missing", "scored_by": "missing"}
+
+
+def test_long_runs_of_number_words(spark):
+    big = " ".join(["hundred"] * 12)  # 10^24 is beyond 64 bits
+    rows = [("a " * 20_000, " ".join(["a"] * 20_000)), ("one " * 20_000, " ".join(["1"] * 20_000)), (big, str(100 ** 12)),
+            ("two " + "hundred " * 2_700, "2" + "0" * 5_400), ("six and " * 5_000 + "six", " ".join(["6 and"] * 5_000) + " 6")]
+    df = spark.createDataFrame(rows, "t STRING, want STRING")
+    got = df.select("want", F.array_join(X.tokens(c("t")), " ").alias("got"), X.same_words(c("t"), c("want")).alias("v"), X.numbers_equal(c("t"), c("want")).alias("e"),
+                    X.split_only(X.marked_tokens(c("t")), X.marked_tokens(F.replace(c("t"), F.lit("a a "), F.lit("a-a ")))).alias("s")).collect()
+    assert all(x["got"] == x["want"] and x["v"] == "MATCH" and x["e"] and x["s"] for x in got), [x["got"][:80] for x in got]
+    none = spark.createDataFrame([(None, "one"), (None, None)], "a STRING, b STRING").select(
+        X.tokens(c("a")).alias("t"), X.normalise(c("a")).alias("n"), X.numbers_equal(c("a"), c("b")).alias("e"), X.same_words(c("a"), c("b")).alias("v")).collect()
+    assert {tuple(x) for x in none} == {(None, None, None, "NOTHING COMPARED")}
