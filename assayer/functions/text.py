@@ -56,6 +56,11 @@ def same_words(a: pa.Array, b: pa.Array) -> pa.Array:
     return _each(W.verdict, pa.string(), a, b)
 
 
+def simple_upper(text: Column) -> Column:
+    """Capitals of the letters that have a single one; the others, such as the sharp s, stay."""
+    return F.array_join(F.transform(F.split(text, ""), lambda x: F.when(F.length(F.upper(x)) == 1, F.upper(x)).otherwise(x)), "")
+
+
 def once(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed a single time per row, however often ``use`` refers to it."""
     return F.transform(F.array(value), use)[0]
