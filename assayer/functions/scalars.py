@@ -21,6 +21,14 @@ def cents(usd: Column) -> Column:
     return F.bround(usd.cast("decimal(20,4)") * 100, 0).cast("bigint")
 
 
+def scaled_round(x: Column, places: int) -> Column:
+    """Half away from zero of x * 10^places as a double, over 10^places; ``F.round`` looks at the shortest decimal of x instead."""
+    scale = float(10 ** places)
+    size = F.abs(x) * scale
+    whole = F.floor(size)
+    return F.when(F.isnan(x) | (size >= 2.0 ** 53), x).otherwise(F.signum(x) * (whole + F.when(size - whole >= 0.5, 1).otherwise(0)) / scale)
+
+
 def relative_tolerance(label: Column, k: float, floor: float = 0.05) -> Column:
     return F.greatest(F.lit(floor), F.lit(k) * F.abs(label))
 
