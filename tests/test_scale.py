@@ -236,3 +236,18 @@ def test_repeats_of_a_million_samples_and_of_gaps(spark):
                     msd[x] = round(sum(d) / len(d), 9)
             best = min(msd, key=lambda x: (msd[x], x))
             assert got[k][0] == best and abs(got[k][1] - msd[best] / max(sum(pairs) / len(pairs), 1e-9)) < 1e-9
+
+
+def test_drawn_counts_are_the_draws_of_spark(spark):
+    # 12,345 slots have one to five digits; the last seed's text is longer than a block of the digest.
+    for seed, rep, units in ((7, 0, 12_345), (7, 3_999, 999), (10 ** 60, 5, 40), (3, 1, 1), (3, 1, 0)):
+        slots = spark.range(units).select(B.draw(seed, units, F.lit(rep), "id").alias("idx")) if units else None
+        want = dict(slots.groupBy("idx").count().collect()) if units else {}
+        got = B.drawn_counts(seed, rep, units)
+        assert len(got) == units and {int(i): int(got[i]) for i in np.flatnonzero(got)} == want
+
+
+def test_unit_weights_are_drawn_without_a_shuffle(spark):
+    df = B.unit_weights(spark, 5_000, 3, 9)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sum(x["w"] for x in df.collect()) == 15_000
