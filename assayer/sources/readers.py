@@ -114,7 +114,21 @@ def read_readings_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     else:
         t = t.select(file, "value").select("file", F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 1).alias("item"),
                                            F.regexp_extract("file", r"^(.*)\.([a-z_]+)\.txt$", 2).alias("probe"), F.col("value").alias("text"))
-    parsed = t.withColumn("reading", parse_reading(F.col("probe"), F.col("text"))).drop("text")
+    return _read_and_missed(t)
+
+
+def read_readings_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``read_readings_text`` of outputs saved as records (item, probe, value) of JSON lines files, many to a file.
+
+    A file of its own for every output costs a listing, a commit and a task's open each; past some ten thousand of them that is
+    all the time there is.
+    """
+    t = spark.read.schema("item STRING, probe STRING, value STRING").json(path)
+    return _read_and_missed(t.select(F.col("_metadata.file_name").alias("file"), "item", "probe", F.col("value").alias("text")))
+
+
+def _read_and_missed(outputs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    parsed = outputs.withColumn("reading", parse_reading(F.col("probe"), F.col("text"))).drop("text")
     return parsed.where("reading IS NOT NULL"), parsed.where("reading IS NULL").drop("reading")
 
 

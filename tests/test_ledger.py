@@ -226,3 +226,20 @@ def test_budget_state_survives_a_compaction(spark, tmp_path, monkeypatch):
     got = {(r["run"], r["seq"]): r["state"] for r in spark.read.parquet(f"{tmp_path}/decisions").collect()}
     refused = {k for k, v in got.items() if v != "sent"}
     assert refused == {("b", 4), ("a", 3), ("b", 5)} and got["b", 5] == "not sent" and got["a", 3] == "refused"
+
+
+def test_outputs_saved_as_records_need_no_file_each(spark, tmp_path):
+    rows = [(f"i{i}", ("hand_probe", "bg_detail")[i % 2], f"noise\nHAND gesture ratio {i}.5  (x)\n") for i in range(2_000)]
+    spark.createDataFrame(rows, "item STRING, probe STRING, value STRING").coalesce(2).write.json(str(tmp_path / "out"))
+    read, unread = readers.read_readings_records(spark, str(tmp_path / "out"))
+    assert {(r["item"], r["reading"]) for r in read.collect()} == {(f"i{i}", i + 0.5) for i in range(0, 2_000, 2)}
+    assert {r["item"] for r in unread.collect()} == {f"i{i}" for i in range(1, 2_000, 2)}
+
+
+def test_file_readings_write_no_file_an_item(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as entry
+    duckdb.sql(f"COPY (SELECT i AS s_suppkey, i / 7.0 - 9 AS s_acctbal FROM range(500) r(i)) TO '{tmp_path}/supplier.parquet' (FORMAT parquet)")
+    df = entry.queries()["file_readings"](spark, str(tmp_path))
+    assert df.count() == 500 and len(df.inputFiles()) < 50
