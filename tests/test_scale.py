@@ -251,3 +251,19 @@ def test_unit_weights_are_drawn_without_a_shuffle(spark):
     df = B.unit_weights(spark, 5_000, 3, 9)
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     assert sum(x["w"] for x in df.collect()) == 15_000
+
+
+def test_guards_hold_for_every_alternative(spark):
+    lines = ["10.0.0.1", "at 192.168.1.7 now", "172.16.0.3", "172.31.9.9", "on EKS now", "namespace a1", "namespace ab-cd", "staging7", *[f"{k}0ABCDEFGH1" for k in "UDCBTGWE"],
+             "while you are asleep", "while they were asleep", "every morning", "every night", "every evening", "overnight run", "overnight session", "wake time", "goes to sleep",
+             "just-past-midnight", "before dawn", "before sunrise", "Calendar.app", "Mail.app", "iCloud", "Photos library", "osascript -e Mail", *[f"she {v}: 'no'" for v in
+             ("said", "says", "asked", "wrote", "told me")], "credit remaining", "credits remaining", "credit balance", "billing cycle", "renewal date", "subscription tier", "Plan: pro",
+             "session transcript", "session transcripts", "/projects/x.jsonl", "history/logs.md", "self-model", "job search", "job-search"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id BIGINT, text STRING")
+    slow = ("private-lan-address", "internal-cluster-reference", "chat-workspace-object-id", "presence-or-routine-prose", "personal-mail-or-calendar-ingest",
+            "private-conversation-quote", "account-financial-state", "private-corpus-ingest")
+    rules = [r for r in RULES if r.label in slow]
+    assert len(rules) == len(slow) and all(r.guard and "." not in r.guard for r in rules)
+    got = sorted(tuple(x) for x in K.regex_scan(docs, rules).collect())
+    assert {x[0] for x in got} == set(range(len(lines)))
+    assert got == sorted(tuple(x) for x in K.regex_scan(docs, [r._replace(guard=()) for r in rules]).collect())
