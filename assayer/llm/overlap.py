@@ -6,7 +6,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.components import components
@@ -18,7 +18,7 @@ from assayer.session import settle
 SIZE, PART, WHOLE = 5, 4, 5
 #: About so many texts tell which shingles are frequent. That decides the order of shingles, so the work but not the result.
 SAMPLE, OFTEN, FREQUENT = 20_000, 3, 1 << 18
-SKETCH, MINIMA = 4, 4  # longs, numbers
+SKETCH, SKETCH_MOST, MINIMA = 4, 1 << 14, 4  # longs at least and at most, numbers
 #: Rows of a bucket of shingles, at least and at most; classes of a frequent shingle that are compared in one piece.
 FEW_ROWS, MANY_ROWS, PIECE = 1 << 16, 1 << 21, 1 << 19
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -49,11 +49,26 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketch(held: np.ndarray) -> np.ndarray:
-    """Parities of the shingles by 8 of their bits: two sets differ in at least as many elements as their sketches in bits."""
-    odd = np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=64 * SKETCH) & 1
+    """Parities of the shingles by some of their bits: two sets differ in at least as many elements as their sketches in bits.
+
+    There are as many parities as shingles or more, up to twice as many, so that they tell sets of any size apart. Sets that can
+    be similar have sketches of one length, or of twice it; a longer one is halved by joining its halves (``_bits_apart``).
+    """
+    bits = min(max(64 * SKETCH, 1 << max(0, len(held) - 1).bit_length()), 64 * SKETCH_MOST)
+    odd = np.bincount((held >> np.uint64(32)).astype(np.int64) & bits - 1, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    """In how many bits two columns of sketches differ; one may be twice as long as the other."""
+    def halved(long: str, short: str) -> Column:
+        size = F.size(short)
+        both = F.zip_with(F.slice(long, F.lit(1), size), F.slice(long, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(long) > size, both).otherwise(F.col(long))
+
+    return F.aggregate(F.zip_with(halved(a, b), halved(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+
+
 def minima(held: np.ndarray) -> list[int]:
     """The least of the shingles in each of a few orders: similar sets have most of them in common."""
     if not len(held):
@@ -131,6 +146,20 @@ def _likely(classes: DataFrame) -> DataFrame:
 _PLACE = np.dtype([("h", "<u8"), ("unit", "<i8"), ("cls", "<i8"), ("root", "<i8"), ("n", "<i4"), ("i", "<i4"), ("piece", "<i4")])
 
 
+def _packed(rows: np.ndarray) -> bytes:
+    """Places column by column, a root as what it differs in from its class, so that a shuffle compresses them well."""
+    return b"".join(np.ascontiguousarray(rows["root"] ^ rows["cls"] if c == "root" else rows[c]).tobytes() for c in _PLACE.names)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out, at = np.empty(len(data) // _PLACE.itemsize, _PLACE), 0
+    for c in _PLACE.names:
+        out[c] = np.frombuffer(data, _PLACE[c], len(out), at)
+        at += len(out) * _PLACE[c].itemsize
+    out["root"] ^= out["cls"]
+    return out
+
+
 def _met(classes: DataFrame, root: DataFrame, shared, buckets: int) -> DataFrame:
     """(a, b) classes of different roots that share a shingle of their prefixes and may be similar by their sizes and its places.
 
@@ -165,19 +194,19 @@ def _met(classes: DataFrame, root: DataFrame, shared, buckets: int) -> DataFrame
             bucket, out = bucket[order], out[order]
             starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
             ends = np.append(starts[1:], len(out))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array([out[x:y].tobytes() for x, y in zip(starts, ends, strict=True)], pa.binary())], ["bucket", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array([_packed(out[x:y]) for x, y in zip(starts, ends, strict=True)], pa.binary())], ["bucket", "data"])
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for b in batches:
             for bucket, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if bucket != now and held:
-                    yield from _pairs(np.frombuffer(b"".join(held), _PLACE))
+                    yield from _pairs(np.concatenate(held))
                     held = []
                 now = bucket
-                held.append(data)
+                held.append(_unpacked(data))
         if held:
-            yield from _pairs(np.frombuffer(b"".join(held), _PLACE))
+            yield from _pairs(np.concatenate(held))
 
     dealt = scan(rows, placed, "bucket long, data binary").repartition("bucket").sortWithinPartitions("bucket")
     return scan(dealt, met, "a long, b long").distinct()
@@ -222,9 +251,8 @@ def _pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that can be similar by their sizes and sketches."""
     side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-    bits = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     both = F.col("na") + F.col("nb")
-    near = (WHOLE * F.least("na", "nb") >= PART * F.greatest("na", "nb")) & (bits * (PART + WHOLE) <= (WHOLE - PART) * both)
+    near = (WHOLE * F.least("na", "nb") >= PART * F.greatest("na", "nb")) & (_bits_apart("sa", "sb") * (PART + WHOLE) <= (WHOLE - PART) * both)
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(near).select("a", "b")
 
 

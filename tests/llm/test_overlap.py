@@ -96,3 +96,27 @@ def test_pieces_of_a_frequent_shingle_lose_no_pair():
             x["piece"], x["unit"] = own, min(own, other) * 3 + max(own, other)
             units.append(x)
     assert found(np.array(units, overlap._PLACE)) == want
+
+
+def test_sketches_tell_large_sets_apart_and_lose_no_similar_pair(spark):
+    """Sets of thousands that share half of their shingles go before they are compared whole; those that share enough stay."""
+    r, sets, pairs, near = np.random.default_rng(5), [], [], []
+    for n in (3, 60, 300, 500, 1_000, 2_040, 4_000, 9_000):
+        for share in (1.0, 0.95, 0.9, 0.89, 0.5, 0.3):
+            one = np.unique(r.integers(0, 1 << 63, n, np.int64).view(np.uint64))
+            two = np.unique(np.concatenate([one[:int(share * n)], r.integers(0, 1 << 63, n - int(share * n) + n // 40, np.int64).view(np.uint64)]))
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [one, two]
+            if overlap.similar(one, two):
+                near.append(pairs[-1])
+    classes = spark.createDataFrame([(i, len(s), overlap.sketch(s).tolist()) for i, s in enumerate(sets)], "cls long, n int, sketch array<long>")
+    kept = {tuple(x) for x in overlap._plausible(spark.createDataFrame(pairs, "a long, b long"), classes).collect()}
+    assert set(near) <= kept and len(near) > 20
+    assert not {(a, b) for a, b in kept if len(sets[a]) > 250 and 2 * len(np.intersect1d(sets[a], sets[b])) <= 1.02 * len(sets[a])}
+
+
+def test_packed_places_are_read_back():
+    places = np.zeros(300, overlap._PLACE)
+    for k, c in enumerate(overlap._PLACE.names):
+        places[c] = np.random.default_rng(k).integers(0, 1 << 30, 300)
+    assert (overlap._unpacked(overlap._packed(places)) == places).all() and not len(overlap._unpacked(b""))
