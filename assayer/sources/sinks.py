@@ -17,17 +17,24 @@ def with_row_hash(df: DataFrame, key: str) -> DataFrame:
 def conflicts(existing: DataFrame, proposed: DataFrame, key: str) -> DataFrame:
     """(key, reason): ids proposed twice, offered ids recorded twice, and ids whose recorded content differs.
 
-    The record is reduced to the offered ids before anything of it is hashed or grouped.
+    Either side becomes one row per id before the two meet, so an id that repeats on both sides costs no pairs: its count, and
+    the least and the greatest of its contents, which are equal if there is one content. Rows are dealt by id before they are
+    grouped; most ids come once, and a task that groups what it reads would hold all of its ids.
     """
-    p = with_row_hash(proposed, key).select(key, "__hash")
-    e = with_row_hash(existing.join(proposed.select(key).distinct(), key, "left_semi"), key).select(key, "__hash")
-
-    def twice(df: DataFrame, why: str) -> DataFrame:
-        return df.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(key, F.lit(why).alias("reason"))
-
-    differs = (p.join(e.withColumnRenamed("__hash", "__old"), key).where(F.col("__hash") != F.col("__old"))
-               .select(key, F.lit("recorded with other content").alias("reason")).distinct())
-    return twice(p, "proposed twice").unionByName(twice(e, "recorded twice")).unionByName(differs)
+    halves = {f"__h{i}": F.conv(F.substring("__hash", i, 15), 16, 10).cast("bigint") for i in (1, 16)}  # numbers need no sort to be grouped
+
+    def told(df: DataFrame, side: str) -> DataFrame:
+        rows = with_row_hash(df, key).select(key, *[h.alias(name) for name, h in halves.items()]).repartition(key)
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias(f"__n{side}"), *[f(h).alias(f"{h}{low}{side}") for h in halves for low, f in (("a", F.min), ("z", F.max))])
+
+    # A NULL id can be proposed twice, but is none that the record could hold.
+    both = told(proposed, "p").join(told(existing.where(F.col(key).isNotNull()), "e"), key, "left")
+    one = F.lit(True)
+    for h in halves:
+        one &= (F.col(f"{h}ap") == F.col(f"{h}zp")) & (F.col(f"{h}ae") == F.col(f"{h}ze")) & (F.col(f"{h}ap") == F.col(f"{h}ae"))
+    reasons = F.array(F.when(F.col("__np") > 1, F.lit("proposed twice")), F.when(F.col("__ne") > 1, F.lit("recorded twice")),
+                      F.when(F.col("__ne").isNotNull() & ~one, F.lit("recorded with other content")))
+    return both.select(key, F.explode(F.filter(reasons, lambda r: r.isNotNull())).alias("reason"))
 
 
 def unseen(existing: DataFrame, proposed: DataFrame, key: str) -> DataFrame:

@@ -243,3 +243,18 @@ def test_file_readings_write_no_file_an_item(spark, tmp_path):
     duckdb.sql(f"COPY (SELECT i AS s_suppkey, i / 7.0 - 9 AS s_acctbal FROM range(500) r(i)) TO '{tmp_path}/supplier.parquet' (FORMAT parquet)")
     df = entry.queries()["file_readings"](spark, str(tmp_path))
     assert df.count() == 500 and len(df.inputFiles()) < 50
+
+
+def test_conflicts_of_an_id_that_repeats_on_both_sides_cost_no_pairs(spark):
+    """One id in 20,000 rows of either side: 400 million pairs if they met row by row."""
+    from assayer.sources import sinks
+    rows = spark.range(20_000).selectExpr("IF(id < 19990, 7, id) AS id", "id % 3 AS v")
+    old = rows.unionByName(spark.sql("SELECT NULL AS id, 1 AS v")).unionByName(spark.sql("SELECT 5 AS id, 1 AS v"))
+    new = rows.unionByName(spark.sql("SELECT NULL AS id, v FROM VALUES (1), (1) AS t(v)")).unionByName(spark.sql("SELECT 5 AS id, 2 AS v")).unionByName(spark.sql("SELECT 6 AS id, 2 AS v"))
+    found = sinks.conflicts(old, new, "id")
+    assert sorted((r["id"] or 0, r["reason"]) for r in found.collect()) == [
+        (0, "proposed twice"), (5, "recorded with other content"), (7, "proposed twice"), (7, "recorded twice"), (7, "recorded with other content")]
+    # Each side is grouped behind its shuffle: no task that reads rows holds the ids it reads, and no rows are joined ungrouped.
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("REPARTITION_BY_COL") == 2
+    assert plan.index("HashAggregate") < plan.index("REPARTITION_BY_COL")
