@@ -8,7 +8,9 @@ from re import _constants as C
 from re import _parser
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +103,16 @@ class RuleIndex:
         return sorted((n + 1, i) for n, i in self.candidates(text) if self.matches(i, lines[n]))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches (key, text) in slices of about ``size`` bytes of text, so that what is held goes by bytes and not by rows."""
+    for b in batches:
+        lengths = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        block = (np.cumsum(lengths, dtype=np.int64) - lengths) // size
+        starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist() if b.num_rows else []
+        for x, y in zip(starts, [*starts[1:], b.num_rows], strict=True):
+            yield b.slice(x, y - x)
+
+
 def rule_blocks(rules: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[Rule]]:
     """The rule table (severity, class, label, regex[, flags]) in blocks of about ``block_bytes``; rows without a regex are none.
 
@@ -133,7 +145,7 @@ def scan_rule_table(docs: DataFrame, rules: DataFrame, text: str = "text", key:
 
         def task(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = RuleIndex(shared.value)
-            for b in batches:
+            for b in _slices(batches):
                 rows, found = [], []
                 for i, t in enumerate(b.column(1).to_pylist()):
                     for hit in index.findings(t) if t is not None else ():

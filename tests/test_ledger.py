@@ -258,3 +258,14 @@ def test_conflicts_of_an_id_that_repeats_on_both_sides_cost_no_pairs(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "SortAggregate" not in plan and plan.count("REPARTITION_BY_COL") == 2
     assert plan.index("HashAggregate") < plan.index("REPARTITION_BY_COL")
+
+
+def test_a_rule_scan_holds_texts_by_bytes():
+    import pyarrow as pa
+
+    from assayer.operators.rule_index import _slices
+    texts = ["x" * n for n in (900_000, 900_000, 10, 3_000_000, 5)] + [None, ""] + ["y" * 300_000] * 9
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    got = list(_slices(iter([batch, batch.slice(0, 0)])))
+    assert [i for b in got for i in b.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()[:-1]) <= 1 << 20 for b in got) and len(got) > 4
