@@ -8,6 +8,7 @@ from assayer.functions.verdicts import CAST_MIN, DRIFT_MAX, FACE_COVERAGE_MIN, S
 from assayer.operators.bars import chunks_by_count
 from assayer.operators.ordered import scan_in_order
 from assayer.operators.quantiles import medians, percentiles
+from assayer.session import settle
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -50,7 +51,8 @@ def consensus(df: DataFrame, group: list[str], name: str, x: str, y: str) -> Dat
 
 def survivor(deviations: DataFrame, group: list[str], name: str) -> DataFrame:
     """The middle survivor of each group, or the nearest row when every row drifted, with the survivors counted."""
-    d = deviations.select(*group, name, F.round("deviation", 12).alias("dev"))
+    # Settled: counted, cut into chunks, summed up and ranked, so it is read four times or more.
+    d = settle(deviations.select(*group, name, F.round("deviation", 12).alias("dev")), "deviations")
     n = d.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("dev") <= DRIFT_MAX).cast("bigint")).alias("survivors"))
     ranked = scan_in_order(chunks_by_count(d, group, "dev"), group, ["dev", name], F.col("__part"), row_number="__rn")
     want = F.when(F.col("survivors") > 0, F.floor(F.col("survivors") / 2) + 1).otherwise(1)

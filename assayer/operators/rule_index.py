@@ -106,9 +106,11 @@ class RuleIndex:
 def _slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches (key, text) in slices of about ``size`` bytes of text, so that what is held goes by bytes and not by rows."""
     for b in batches:
+        if not b.num_rows:
+            continue
         lengths = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
         block = (np.cumsum(lengths, dtype=np.int64) - lengths) // size
-        starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist() if b.num_rows else []
+        starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
         for x, y in zip(starts, [*starts[1:], b.num_rows], strict=True):
             yield b.slice(x, y - x)
 
