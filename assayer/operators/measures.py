@@ -44,19 +44,26 @@ def consensus(df: DataFrame, group: list[str], name: str, x: str, y: str) -> Dat
     Groups with fewer than two measurable rows have no consensus and no rows here.
     """
     ok = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double")))
-    d = ok.join(medians(ok, group, {"med_x": x, "med_y": y}).where("n >= 2").drop("n"), group)
+    # Settled, so that its true size is known when Spark chooses how to join the rows with it.
+    middle = settle(medians(ok, group, {"med_x": x, "med_y": y}).where("n >= 2").drop("n"), "medians")
+    d = ok.join(middle, group)
     dev = F.hypot((F.col(x) - F.col("med_x")) / F.col("med_x"), (F.col(y) - F.col("med_y")) / F.col("med_y"))
     return d.withColumn("deviation", dev).withColumn("class", deviation_class(F.col("deviation"))).drop("med_x", "med_y")
 
 
 def survivor(deviations: DataFrame, group: list[str], name: str) -> DataFrame:
-    """The middle survivor of each group, or the nearest row when every row drifted, with the survivors counted."""
-    # Settled: counted, cut into chunks, summed up and ranked, so it is read four times or more.
-    d = settle(deviations.select(*group, name, F.round("deviation", 12).alias("dev")), "deviations")
-    n = d.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("dev") <= DRIFT_MAX).cast("bigint")).alias("survivors"))
-    ranked = scan_in_order(chunks_by_count(d, group, "dev"), group, ["dev", name], F.col("__part"), row_number="__rn")
-    want = F.when(F.col("survivors") > 0, F.floor(F.col("survivors") / 2) + 1).otherwise(1)
-    return ranked.join(n, group).where(F.col("__rn") == want).select(*group, "rows", "survivors", F.col(name).alias("survivor"))
+    """The middle survivor of each group, or the nearest row when every row drifted, with the survivors counted.
+
+    Only survivors are ranked: no other row is before one of them. A row without a deviation is behind all others.
+    """
+    d = deviations.select(*group, name, F.round("deviation", 12).alias("dev"))
+    n = d.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum((F.col("dev") <= DRIFT_MAX).cast("bigint")), F.lit(0)).alias("survivors"))
+    n = settle(n, "survivors")
+    near = settle(d.where(F.col("dev") <= DRIFT_MAX), "near")
+    ranked = scan_in_order(chunks_by_count(near, group, "dev"), group, ["dev", name], F.col("__part"), row_number="__rn")
+    middle = ranked.join(n, group).where(F.col("__rn") == F.floor(F.col("survivors") / 2) + 1).select(*group, "rows", "survivors", F.col(name).alias("survivor"))
+    none = d.join(n.where("survivors = 0"), group).groupBy(*group, "rows", "survivors")
+    return middle.unionByName(none.agg(F.min(F.struct(F.col("dev").isNull(), "dev", F.col(name).alias("name")))["name"].alias("survivor")))
 
 
 def spread(df: DataFrame, by: list[str], v: str) -> DataFrame:

@@ -269,3 +269,9 @@ def test_a_rule_scan_holds_texts_by_bytes():
     got = list(_slices(iter([batch, batch.slice(0, 0)])))
     assert [i for b in got for i in b.column(0).to_pylist()] == list(range(len(texts)))
     assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column(1).to_pylist()[:-1]) <= 1 << 20 for b in got) and len(got) > 4
+
+
+def test_survivors_alone_are_ranked_and_a_row_without_a_deviation_is_behind_all(spark):
+    rows = [("g", i, d) for i, d in enumerate([None, 0.01, 0.14, 0.15, 0.02, 0.9, 0.02, None])] + [("h", 1, None), ("h", 3, 0.4), ("h", 2, 0.4), ("h", 4, 0.8), ("i", 9, None), ("i", 8, None)]
+    got = measures.survivor(spark.createDataFrame(rows, "g STRING, take INT, deviation DOUBLE"), ["g"], "take")
+    assert sorted(map(tuple, got.collect())) == [("g", 8, 5, 6), ("h", 4, 0, 2), ("i", 2, 0, 8)]
