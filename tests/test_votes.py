@@ -149,3 +149,18 @@ def test_replies_are_read_strictly(spark):
             assert craft is None and reason == want, text
         else:
             assert craft == 7.0
+
+
+def test_coins_are_digested_together(monkeypatch):
+    """The digests of many ids are those of hashlib, which is asked only for nulls and for texts of more than one block."""
+    from hashlib import md5
+
+    from assayer.operators import resampling
+    asked, ids = [], ["1", "22", None, "", "x" * 60, "é5", *[str(10 ** 6 + i) for i in range(150)]]
+    monkeypatch.setattr(resampling, "md5", lambda text: asked.append(text) or md5(text))
+    words = resampling.coin_words(ids, 125, 7)
+    for r, i in enumerate(ids):
+        for b in (0, 9, 10, 99, 100, 124):
+            digits = md5((f"7:{b}" if i is None else f"7:{b}:{i}").encode()).hexdigest()
+            assert int(words[r, b]) == sum((x >= "8") << k for k, x in enumerate(digits))
+    assert len(asked) == 2 * 125
