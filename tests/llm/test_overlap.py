@@ -120,3 +120,58 @@ def test_packed_places_are_read_back():
     for k, c in enumerate(overlap._PLACE.names):
         places[c] = np.random.default_rng(k).integers(0, 1 << 30, 300)
     assert (overlap._unpacked(overlap._packed(places)) == places).all() and not len(overlap._unpacked(b""))
+
+
+def test_a_crowd_that_no_minimum_connects_meets_in_few_pairs(spark, monkeypatch):
+    """Of some hundred edited copies each two are similar now and then: they are connected before all their pairs meet."""
+    r, settle, made = random.Random(11), overlap.settle, {}
+    base, texts = [f"b{i}" for i in range(150)], []
+    for i in range(700):
+        w = list(base)
+        for k in range(r.choice((1, 2, 2, 2, 2, 3))):
+            w[r.randrange(150)] = f"x{i}y{k}"
+        texts.append(" ".join(w))
+
+    def counted(df, what):
+        out = settle(df, what)
+        made[what] = made.get(what, 0) + out.count()
+        return out
+    monkeypatch.setattr(overlap, "settle", counted)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["component_id"] for x in overlap.similar_groups(d).collect()}
+    sets, low, links = [overlap.shingle_set(t) for t in texts], list(range(len(texts))), 0
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+    for i in range(len(texts)):
+        for j in range(i):
+            if overlap.similar(sets[i], sets[j]):
+                links += 1
+                a, b = sorted((find(i), find(j)))
+                low[b] = a
+    assert got == {i: find(i) for i in range(len(texts))} and links > 20 * len(texts)
+    assert made["met"] < 10 * len(texts) and made.get("near", 0) < 3 * 40 * len(texts)
+
+
+def test_folded_sketches_lose_no_similar_pair():
+    r, sets = np.random.default_rng(6), []
+    for n in (5, 200, 250, 256, 257, 300, 500, 512, 513, 900, 5_000):
+        for share in (1.0, 0.97, 0.9, 0.3):
+            one = np.unique(r.integers(0, 1 << 63, n, np.int64).view(np.uint64))
+            sets += [one, np.unique(np.concatenate([one[:int(share * n)], r.integers(0, 1 << 63, n // 12, np.int64).view(np.uint64)]))]
+    places = np.zeros(len(sets), overlap._KNOWN)
+    for p, s in zip(places, sets, strict=True):
+        long = overlap.sketch(s).view("<u8")
+        long = np.append(long, np.zeros(-len(long) % overlap.FOLDED, "<u8"))
+        p["n"], p["sketch"] = len(s), np.bitwise_xor.reduce(long.reshape(-1, overlap.FOLDED), axis=0)
+    near = 0
+    for i in range(len(sets)):
+        apart = overlap._folded_apart(places, i, np.arange(len(sets)))
+        for j in range(len(sets)):
+            assert apart[j] <= len(np.setxor1d(sets[i], sets[j], assume_unique=True))
+            near += overlap.similar(sets[i], sets[j])
+    assert near > len(sets) + 40
+    kept = overlap._unpacked(overlap._packed(places), overlap._KNOWN)
+    assert (kept == places).all()
