@@ -88,8 +88,8 @@ def stream_request_landing(t):
 def stream_transitions(t):
     out, check = shared_dir(t.spark, "transitions"), shared_dir(t.spark, "transitions-checkpoint")
     J.run_batches(third(settle(t.ledger, "ledger")), "b", BATCHES,
-                  lambda s: J.run_to_folder(J.transition_monitor(s, L.edges(t.spark)), out, check), "ledger-files")
-    return t.spark.read.parquet(out).select("run", "seq", "src", "dst")
+                  lambda s: J.run_to_folder(s, out, check, transform=J.transition_monitor(out, L.edges(t.spark))), "ledger-files")
+    return J.moves_of(t.spark, out)
 
 
 @query("stream_budget", "X7", f"""

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from assayer.operators.ledger import spend_states
 from assayer.operators.ordered import chunk_of, scan_in_order
@@ -56,19 +57,44 @@ def request_landing_join(requests: DataFrame, landings: DataFrame, keys: list[st
     return r.join(l, on, "left_outer")
 
 
-def transition_monitor(stream: DataFrame, edges: DataFrame, ts: str = "ts", delay: str = "1 hour", horizon: str = "30 days") -> DataFrame:
-    """Moves without an edge, as they happen.
+def transition_monitor(out: str, edges: DataFrame, ts: str = "ts", delay: str = "1 hour", horizon: str = "30 days") -> Callable[[DataFrame, int], DataFrame]:
+    """``transform`` of ``run_to_folder(stream, out, ...)`` for moves without an edge, as they happen; ``moves_of(out)`` reads them.
 
-    A row meets its successor in a stream-stream join on (run, seq): no ordering inside a batch is needed, and both
-    rows are forgotten ``horizon`` after they came. The edge list is a static table.
+    A row meets its successor in a join on (run, seq) over the batch and what the batches before left open: rows whose
+    successor or predecessor has not come, in a ledger that is appended in order two a run. Only those are kept, beside the
+    moves, so a row that has met both is read once and costs no state. An open row is forgotten when it is ``horizon`` and
+    ``delay`` older than the newest open one. A (run, seq) comes once; repeats go through ``dedupe_by_id`` before. The edge list is a static table.
     """
-    here = stream.select("run", "seq", F.col("step").alias("src"), F.col(ts).alias("src_ts")).withWatermark("src_ts", delay)
-    nxt = stream.select("run", (F.col("seq") - 1).alias("seq"), F.col("step").alias("dst"), F.col(ts).alias("dst_ts")).withWatermark("dst_ts", delay)
-    a, b = here.alias("a"), nxt.alias("b")
-    near = (F.col("b.dst_ts") >= F.col("a.src_ts")) & (F.col("b.dst_ts") <= F.col("a.src_ts") + F.expr(f"INTERVAL {horizon}"))
-    moves = a.join(b, (F.col("a.run") == F.col("b.run")) & (F.col("a.seq") == F.col("b.seq")) & near).select("a.run", "a.seq", "src", "dst")
     known = edges.select("src", "dst").distinct().withColumn("__edge", F.lit(True))
-    return moves.join(known, ["src", "dst"], "left").where("__edge IS NULL").drop("__edge")
+    far, late = F.expr(f"INTERVAL {horizon}"), F.expr(f"INTERVAL {delay}")
+
+    def moves(df: DataFrame, batch_id: int) -> DataFrame:
+        rows = df.where("run IS NOT NULL AND seq IS NOT NULL")
+        here = rows.select("run", "seq", F.col("step").alias("src"), F.col(ts).alias("src_ts"))
+        nxt = rows.select("run", (F.col("seq") - 1).alias("seq"), F.col("step").alias("dst"), F.col(ts).alias("dst_ts"))
+        if batch_id:
+            left = _left_open(df.sparkSession, out, batch_id - 1, here, nxt)
+            newest = left.agg(F.max(F.coalesce("src_ts", "dst_ts")).alias("t"))
+            left = left.crossJoin(newest).where(F.coalesce("src_ts", "dst_ts") >= F.col("t") - far - late)
+            here = here.unionByName(left.where("src_ts IS NOT NULL").select(*here.columns))
+            nxt = nxt.unionByName(left.where("dst_ts IS NOT NULL").select(*nxt.columns))
+        # A row without a time meets nothing, now or later.
+        met = here.where("src_ts IS NOT NULL").join(nxt.where("dst_ts IS NOT NULL"), ["run", "seq"], "full_outer")
+        met = met.withColumn("open", F.col("src_ts").isNull() | F.col("dst_ts").isNull())
+        near = (F.col("dst_ts") >= F.col("src_ts")) & (F.col("dst_ts") <= F.col("src_ts") + far)
+        return met.where(F.col("open") | near).join(known, ["src", "dst"], "left").where("open OR __edge IS NULL").drop("__edge")
+
+    return moves
+
+
+def _left_open(spark: SparkSession, out: str, batch_id: int, here: DataFrame, nxt: DataFrame) -> DataFrame:
+    form = StructType([*here.schema.fields, *nxt.schema.fields[2:], StructField("open", BooleanType())])
+    return spark.read.schema(form).parquet(batch_path(out, batch_id)).where("open")
+
+
+def moves_of(spark: SparkSession, out: str) -> DataFrame:
+    """(run, seq, src, dst): what ``transition_monitor`` has found so far."""
+    return spark.read.parquet(out).where("NOT open").select("run", "seq", "src", "dst")
 
 
 def batch_path(out: str, batch_id: int) -> str:

@@ -212,6 +212,30 @@ def test_stream_functions_over_several_batches(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["x", "x2", "y", "z"]
 
 
+def test_moves_are_found_over_batches_and_only_open_rows_are_kept(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("src", "out", "check"))
+    schema = "run STRING, seq BIGINT, step STRING, ts TIMESTAMP"
+    edges = spark.createDataFrame([("s0", "s1"), ("s1", "s2")], "src STRING, dst STRING")
+    rows = [(r, i, f"s{i % 3}", f"2024-01-{1 + i // 20:02d} {i % 20:02d}:00:00") for r in ("a", "b") for i in range(1, 301)]
+    # A late predecessor, a step that is not known, a row without a run, a gap that never closes, a successor after the horizon.
+    late = [x for x in rows if x[:2] == ("a", 50)]
+    rows = [x for x in rows if x[:2] not in {("a", 50), ("b", 70)}] + [("c", 1, None, "2024-01-01 00:00:00"), (None, 1, "s0", "2024-01-01 00:00:00")]
+    parts = [[x for x in rows if x[3] < "2024-01-06"], [x for x in rows if x[3] >= "2024-01-06"] + late + [("c", 2, "s1", "2024-01-07 00:00:00")],
+             [("b", 301, "s1", "2024-06-01 00:00:00"), ("d", 1, "s0", "2024-06-01 00:00:00")], [("d", 2, "s0", "2024-06-01 00:00:00"), ("c", 3, "s2", "2024-06-01 00:00:00")]]
+    kept = []
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, schema.replace("TIMESTAMP", "STRING")).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(src)
+        s = jobs.stream_ledger(spark, src, schema)
+        query = jobs.run_to_folder(s, out, check, transform=jobs.transition_monitor(out, edges))
+        query.awaitTermination()
+        kept.append(spark.read.parquet(jobs.batch_path(out, n)).where("open").count())
+    there = {(r, i): step for r, i, step, _ in sum(parts, []) if r and not (r, i) in {("b", 301), ("c", 3)}}
+    want = {(r, i, s, there[r, i + 1]) for (r, i), s in there.items() if (r, i + 1) in there and (s, there[r, i + 1]) not in {("s0", "s1"), ("s1", "s2")}}
+    assert {tuple(x) for x in jobs.moves_of(spark, out).collect()} == want and ("a", 49, "s1", "s2") not in want and ("c", 1, None, "s1") in want
+    # Two a run and two a gap, however many rows have come; no state store holds any.
+    assert kept[0] <= 2 * 3 + 4 and kept[1] <= 2 * 3 + 2 and max(kept) < 12
+
+
 def test_state_folders_start_at_the_newest_compaction():
     assert jobs.state_paths("o", 0) == [] and jobs.state_paths("o", 1) == ["o/batch=0"]
     assert jobs.state_paths("o", 16) == [f"o/batch={b}" for b in range(16)]
